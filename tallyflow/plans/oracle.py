@@ -237,4 +237,10 @@ WHERE prev IS NULL OR prev <> fingerprint"""
     "remove_metrics": _q(
         _METRICS + f"SELECT key, value FROM metrics WHERE key NOT IN ({_ratio_keys('error')})"
     ),
+    "stream_turnover": _q(_METRICS + "SELECT key, value FROM metrics WHERE key NOT LIKE 'ratio%'"),
+    "stream_upsert": _q(_METRICS + "SELECT key, value FROM metrics WHERE key NOT LIKE 'ratio%'"),
+    "stream_ratio": _q(_METRICS + "SELECT key, value FROM metrics WHERE key LIKE 'ratio%'"),
 }
+
+# Streaming D2 must equal batch D2 on the same (redelivered) feed.
+ORACLE_SQL["stream_changed_payments"] = ORACLE_SQL["changed_payments"]

@@ -1,3 +1,102 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries.
 
-STREAM_QUERIES: dict = {}
+Each query replays a feed derived by Spark from the driver's tables as
+arrival-ordered files, runs the streaming plan to completion with an
+``availableNow`` trigger (one file per micro-batch), and returns the table
+the stream wrote. Checkpoints, feeds and outputs live in fresh folders under
+the shared checkpoint directory, so a lost executor or a restarted driver
+resumes from the checkpoint and replays batches idempotently.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyflow.operators.matching import first_orders
+from tallyflow.session import shared_path
+from tallyflow.sinks.metrics_store import MetricsTable
+from tallyflow.sources.tables import orders_ev, payments_v, redelivered
+from tallyflow.streaming.feeds import read_feed, write_feed
+from tallyflow.streaming.state import changed_payments_stream
+from tallyflow.streaming.turnover import (
+    ArrivalOrderRatio,
+    start_closed_minutes,
+    start_turnover_upsert,
+    turnover_stream,
+)
+
+FEED_FILES = 8
+
+
+def _replay(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    path = write_feed(df, shared_path(spark, "feeds", name, unique=True), FEED_FILES)
+    return read_feed(spark, path, df.schema)
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _turnover_upsert(spark: SparkSession, sf: str, name: str, feed: DataFrame) -> DataFrame:
+    stream = _replay(spark, name, feed)
+    table = MetricsTable(spark, shared_path(spark, name, "table", unique=True))
+    turnover = turnover_stream(stream, first_orders(orders_ev(spark, sf)))
+    _run(start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True)))
+    return table.read()
+
+
+def q_stream_turnover(spark, sf):
+    """T1, T2, T4, T5 + K1: turnover metrics published in update mode."""
+    return _turnover_upsert(spark, sf, "stream_turnover", payments_v(spark, sf))
+
+
+def q_stream_upsert(spark, sf):
+    """K1 with T7/T8 semantics: the whole feed is delivered twice; the
+    published table must equal the batch metrics."""
+    return _turnover_upsert(spark, sf, "stream_upsert", redelivered(payments_v(spark, sf)))
+
+
+def q_stream_closed_minutes(spark, sf):
+    """Append mode publishes a minute only once the watermark closes it;
+    the newest minutes stay unpublished (rows-only check)."""
+    stream = _replay(spark, "stream_closed_minutes", payments_v(spark, sf))
+    out = shared_path(spark, "stream_closed_minutes", "table", unique=True)
+    turnover = turnover_stream(stream, first_orders(orders_ev(spark, sf)))
+    _run(start_closed_minutes(turnover, out, shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True)))
+    return spark.read.schema(turnover.schema).parquet(out)
+
+
+def q_stream_ratio(spark, sf):
+    """Ratio in arrival order; equals W2 when the feed is in order."""
+    stream = _replay(spark, "stream_ratio", payments_v(spark, sf))
+    ratio = ArrivalOrderRatio(spark, shared_path(spark, "stream_ratio", "table", unique=True))
+    _run(ratio.start(stream, shared_path(spark, "stream_ratio", "checkpoint", unique=True)))
+    return ratio.table.read()
+
+
+def q_stream_changed_payments(spark, sf):
+    """D2 with per-order state; equals the batch D2 on the same feed."""
+    stream = _replay(spark, "stream_changed_payments", redelivered(payments_v(spark, sf)))
+    out = shared_path(spark, "stream_changed_payments", "table", unique=True)
+    changed = changed_payments_stream(stream)
+    query = (
+        changed.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", shared_path(spark, "stream_changed_payments", "checkpoint", unique=True))
+        .trigger(availableNow=True)
+        .start()
+    )
+    _run(query)
+    return spark.read.schema(changed.schema).parquet(out)
+
+
+STREAM_QUERIES = {
+    "stream_turnover": q_stream_turnover,
+    "stream_upsert": q_stream_upsert,
+    "stream_closed_minutes": q_stream_closed_minutes,
+    "stream_ratio": q_stream_ratio,
+    "stream_changed_payments": q_stream_changed_payments,
+}
