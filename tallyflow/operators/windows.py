@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.constants import DEVICE_PC, JAVA_DOUBLE_MAX
+from tallyflow.session import materialize
 
 MINUTES_PER_DAY = 1440
 
@@ -53,6 +54,8 @@ def running_aggregate(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inner = d.select(*d.columns, *[fn(v).over(w_in).alias(f"_in_{v}") for v in value_cols])
+    # Block totals straight from the input: a partial aggregate, so this
+    # branch shuffles one row per block per map task, not the rows.
     per_block = d.groupBy(*by, "_blk").agg(*[fn(v).alias(f"_b_{v}") for v in value_cols])
     w_b = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select(
@@ -97,11 +100,12 @@ def previous_value(
 def cumulative_turnover(device_minute: DataFrame) -> DataFrame:
     """Running PC and wireless totals since the start, per minute.
 
-    Input: ``minute, pc_cents, wl_cents`` (A2). Output adds
-    ``cum_pc_cents, cum_wl_cents``.
+    Input: ``minute, pc_cents, wl_cents`` (A2), one row per minute; it is
+    materialised first so the two levels read it, not the payments.
+    Output adds ``cum_pc_cents, cum_wl_cents``.
     """
     return running_aggregate(
-        device_minute, "minute", ["pc_cents", "wl_cents"], suffix="_cum"
+        materialize(device_minute), "minute", ["pc_cents", "wl_cents"], suffix="_cum"
     ).withColumnRenamed("pc_cents_cum", "cum_pc_cents").withColumnRenamed("wl_cents_cum", "cum_wl_cents")
 
 
@@ -164,7 +168,9 @@ def wireless_pc_ratio_reset(payments: DataFrame, device_col: str = "pay_platform
     """
     dev = F.when(F.col(device_col) == DEVICE_PC, F.lit(0)).otherwise(F.lit(1))
     per = payments.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").alias("cents"))
-    runs = island_totals(per, "device")
+    # One row per (device, minute): bounded by the time span, not the data.
+    # Materialised once so the run detection below scans it, not the payments.
+    runs = island_totals(materialize(per), "device")
     pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
     wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
     both = pc.join(wl, "minute", "full_outer")

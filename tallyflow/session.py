@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every entry point applies. All are session-scoped and
 # safe to set on a running session.
@@ -86,3 +86,13 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         segments.append(uuid.uuid4().hex)
     return "/".join(segments)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss; never local).
+
+    Meant for small intermediate tables (one row per minute or per block)
+    that several branches of a plan read."""
+    _checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
