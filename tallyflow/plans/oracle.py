@@ -192,6 +192,10 @@ WHERE t.total_cents - COALESCE(p.paid_cents, 0) <> 0"""
     "matched_payments": _q(
         """SELECT p.arrival, p.order_id, p.amount_cents, p.pay_source, p.pay_platform, p.minute, f.platform
 FROM pay_v p JOIN first_ev f ON p.order_id = f.order_id"""
+    ),
+    "platform_payments": _q(
+        """SELECT p.arrival, p.order_id, p.amount_cents, f.platform
+FROM pay_v p JOIN first_ev f ON p.order_id = f.order_id WHERE f.platform = 1"""
     ),
     "first_orders": _q("SELECT order_id, platform, first_arrival FROM first_ev"),
     "pending_payments": _q(

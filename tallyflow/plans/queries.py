@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.constants import DEFAULT_TEAM, END_MARKER, RATIO_PREFIX
+from tallyflow.constants import DEFAULT_TEAM, END_MARKER, PLATFORM_TMALL, RATIO_PREFIX
 from tallyflow.functions import (
     device_label,
     exact_add,
@@ -35,6 +35,7 @@ from tallyflow.operators import (
     device_minute_turnover,
     distinct_payments,
     first_orders,
+    for_platform,
     match_arrived,
     match_by_set,
     match_payments,
@@ -187,6 +188,12 @@ def q_matched_payments(spark, sf):
     return m.select("arrival", "order_id", "amount_cents", "pay_source", "pay_platform", "minute", "platform")
 
 
+def q_platform_payments(spark, sf):
+    """The matched payments routed to the Tmall branch."""
+    m = for_platform(match_payments(_norm(payments_v(spark, sf)), orders_ev(spark, sf)), PLATFORM_TMALL)
+    return m.select("arrival", "order_id", "amount_cents", "platform")
+
+
 def q_first_orders(spark, sf):
     return first_orders(orders_ev(spark, sf)).select("order_id", "platform", "first_arrival")
 
@@ -296,6 +303,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "positive_payments": q_positive_payments,
     "order_reconciliation": q_order_reconciliation,
     "matched_payments": q_matched_payments,
+    "platform_payments": q_platform_payments,
     "first_orders": q_first_orders,
     "pending_payments": q_pending_payments,
     "set_matched": q_set_matched,

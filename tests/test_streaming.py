@@ -67,3 +67,20 @@ def test_upsert_is_idempotent_and_last_write_wins(spark):
     seq = spark.createDataFrame([("d", 1.0, 2), ("d", 9.0, 1)], "key string, value double, seq int")
     table.upsert(seq, 2, order_col="seq")
     assert table.read().where(F.col("key") == "d").first().value == 1.0
+
+
+def test_complete_mode_snapshot_equals_update(spark):
+    feed = shared_path(spark, "test_complete", unique=True)
+    for i, (minute, amount) in enumerate([(0, 1.25), (0, 2.00), (1, 1.25), (3, 1.25)]):
+        _append(spark, feed, [_pay(i, minute, amount)])
+    orders = spark.createDataFrame([(1, 1)], "order_id long, platform int")
+    results = []
+    for mode in ("update", "complete"):
+        table = MetricsTable(spark, shared_path(spark, f"test_{mode}", unique=True))
+        q = start_turnover_upsert(
+            turnover_stream(read_feed(spark, feed, SCHEMA), orders), table,
+            shared_path(spark, "ck", unique=True), team="t", output_mode=mode,
+        )
+        q.awaitTermination()
+        results.append(sorted(map(tuple, table.read().collect())))
+    assert results[0] == results[1] and [v for _, v in results[0]] == [3.25, 1.25, 1.25]
