@@ -248,3 +248,4 @@ WHERE prev IS NULL OR prev <> fingerprint"""
 
 # Streaming D2 must equal batch D2 on the same (redelivered) feed.
 ORACLE_SQL["stream_changed_payments"] = ORACLE_SQL["changed_payments"]
+ORACLE_SQL["stream_matched_payments"] = ORACLE_SQL["matched_payments"]

@@ -17,6 +17,7 @@ from tallyflow.session import shared_path
 from tallyflow.sinks.metrics_store import MetricsTable
 from tallyflow.sources.tables import orders_ev, payments_v, redelivered
 from tallyflow.streaming.feeds import read_feed, write_feed
+from tallyflow.streaming.matching import match_payments_stream
 from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
     ArrivalOrderRatio,
@@ -93,7 +94,28 @@ def q_stream_changed_payments(spark, sf):
     return spark.read.schema(changed.schema).parquet(out)
 
 
+def q_stream_matched_payments(spark, sf):
+    """J1 + J2 on two streams (append mode); equals the batch J1."""
+    pays = _replay(spark, "stream_matched_payments_pay", payments_v(spark, sf))
+    orders = _replay(spark, "stream_matched_payments_orders", orders_ev(spark, sf))
+    matched = match_payments_stream(pays, orders).select(
+        "arrival", "order_id", "amount_cents", "pay_source", "pay_platform", "minute", "platform"
+    )
+    out = shared_path(spark, "stream_matched_payments", "table", unique=True)
+    query = (
+        matched.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", shared_path(spark, "stream_matched_payments", "checkpoint", unique=True))
+        .trigger(availableNow=True)
+        .start()
+    )
+    _run(query)
+    return spark.read.schema(matched.schema).parquet(out)
+
+
 STREAM_QUERIES = {
+    "stream_matched_payments": q_stream_matched_payments,
     "stream_turnover": q_stream_turnover,
     "stream_upsert": q_stream_upsert,
     "stream_closed_minutes": q_stream_closed_minutes,

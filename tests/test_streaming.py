@@ -84,3 +84,28 @@ def test_complete_mode_snapshot_equals_update(spark):
         q.awaitTermination()
         results.append(sorted(map(tuple, table.read().collect())))
     assert results[0] == results[1] and [v for _, v in results[0]] == [3.25, 1.25, 1.25]
+
+
+def test_stream_stream_match_on_fixture(spark):
+    from tallyflow.streaming.matching import match_payments_stream
+    from tests.fixture import orders_df, payments_df
+
+    def feed(df, name, cols):
+        path = shared_path(spark, name, unique=True)
+        for (row,) in df.select(F.struct(*cols).alias("r")).orderBy("arrival").collect():
+            spark.createDataFrame([tuple(row)], df.select(*cols).schema).write.mode("append").parquet(path)
+        return read_feed(spark, path, df.select(*cols).schema)
+
+    pcols = ["name", "arrival", "order_id", "pay_amount", "pay_source", "pay_platform", "create_time_ms"]
+    ocols = ["arrival", "order_id", "platform", "create_time_ms"]
+    for horizon in (None, 10):
+        pays = feed(payments_df(spark), "fx_pay", pcols)
+        orders = feed(orders_df(spark), "fx_orders", ocols)
+        out = shared_path(spark, "fx_out", unique=True)
+        m = match_payments_stream(pays, orders, horizon_minutes=horizon).select("name", "platform")
+        q = (m.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", shared_path(spark, "ck", unique=True))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = sorted(map(tuple, spark.read.parquet(out).collect()))
+        assert got == [("p1", 0), ("p2", 0), ("p3", 0), ("p4", 1), ("p5", 1), ("p7", 0), ("p8", 0)], horizon
