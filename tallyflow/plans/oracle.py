@@ -249,3 +249,10 @@ WHERE prev IS NULL OR prev <> fingerprint"""
 # Streaming D2 must equal batch D2 on the same (redelivered) feed.
 ORACLE_SQL["stream_changed_payments"] = ORACLE_SQL["changed_payments"]
 ORACLE_SQL["stream_matched_payments"] = ORACLE_SQL["matched_payments"]
+
+# Append mode publishes a minute once the watermark (newest minute start
+# minus 6 minutes) reaches the end of its window: minutes up to newest - 7.
+ORACLE_SQL["stream_closed_minutes"] = _q(
+    ", t AS (" + _turnover("pay_v", "first_ev", True) + ")\n"
+    "SELECT platform, minute, turnover_cents, turnover FROM t WHERE minute <= (SELECT MAX(minute) FROM t) - 7"
+)
