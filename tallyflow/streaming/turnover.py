@@ -35,7 +35,11 @@ from tallyflow.sources.feeds import payments_source
 def turnover_stream(
     payments: DataFrame, first_orders: DataFrame, late_minutes: int = LATE_MINUTES, cents_mode: str = "exact"
 ) -> DataFrame:
-    """Streaming M1/M2: ``platform, minute, turnover_cents, turnover``."""
+    """Streaming M1/M2: ``platform, minute, turnover_cents, turnover``.
+
+    ``first_orders`` is the static side, re-read by every micro-batch: pass
+    a materialised table (one row per order id), not an unevaluated plan
+    over the raw orders."""
     p = payments_source(payments, cents_mode).withColumn("minute_ts", minute_start("create_time_ms"))
     matched = p.join(first_orders.select("order_id", "platform"), "order_id", "inner")
     distinct = matched.withWatermark("minute_ts", f"{late_minutes + 1} minutes").dropDuplicates(
