@@ -26,6 +26,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state in RocksDB (spills to local disk of the executor and is
+    # checkpointed to the shared folder); commits write a changelog instead
+    # of a full snapshot every micro-batch.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -51,10 +58,6 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

@@ -1,12 +1,15 @@
 """The key -> value metrics table: rows (K4), lookup (K2), removal (K3) and
-an idempotent, versioned upsert (K1).
-
-Plain parquet has no MERGE, so every upsert writes a complete new version
-``v=<batch id>`` of the table: the previous complete version minus the
-updated keys, plus the updates. A retried batch rewrites its own version
-from the same inputs, so replays are idempotent; readers take the newest
-version that has a ``_SUCCESS`` marker. The table holds one row per metric
-key (three per minute), so a full rewrite per batch stays small.
+an idempotent, log-structured upsert (K1).
+
+Plain parquet has no MERGE. Each micro-batch therefore writes only its own
+updates, reduced to one row per key, into ``deltas/batch=<id>`` (overwrite:
+a retried batch rewrites exactly its own folder, so replays are
+idempotent). A read resolves the newest value per key over the deltas with
+a hash aggregate (``max_by`` on the batch id, partial step map-side).
+``compact`` folds everything up to a batch into ``snapshots/at=<id>``;
+reads then start from the newest snapshot and prune older delta folders by
+partition. Deletions are tombstones, so they replay like any update.
+Writing costs O(updates of the batch), never O(table).
 """
 
 from __future__ import annotations
@@ -47,52 +50,105 @@ def remove_metrics(metrics: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 class MetricsTable:
-    """K1: versioned key -> value table under ``root`` (a shared folder)."""
+    """K1: log-structured key -> value table under ``root`` (a shared folder)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.deltas = f"{self.root}/deltas"
+        self.snapshots = f"{self.root}/snapshots"
 
-    def _fs(self):
+    def _list(self, folder: str, prefix: str) -> list[int]:
+        """Ids of the committed sub-folders ``<prefix><id>`` (one listing;
+        the ``_SUCCESS`` check only on the folders a reader needs)."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        """Complete versions, oldest first."""
-        path, fs = self._fs()
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
             return []
-        out = []
+        ids = []
         for status in fs.listStatus(path):
             name = status.getPath().getName()
-            if name.startswith("v=") and fs.exists(
-                self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            ):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def _version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:012d}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        if version is None:
-            done = self.versions()
-            if not done:
-                return self.spark.createDataFrame([], METRICS_SCHEMA)
-            version = done[-1]
-        return self.spark.read.schema(METRICS_SCHEMA).parquet(self._version_path(version))
+            if name.startswith(prefix):
+                ids.append(int(name[len(prefix):]))
+        return sorted(ids)
+
+    def _committed(self, folder: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def versions(self) -> list[int]:
+        """Batch ids written so far, oldest first."""
+        return self._list(self.deltas, "batch=")
+
+    def _latest_snapshot(self, before: int | None) -> int | None:
+        for sid in reversed(self._list(self.snapshots, "at=")):
+            if (before is None or sid < before) and self._committed(f"{self.snapshots}/at={sid:012d}"):
+                return sid
+        return None
+
+    def _entries(self, before: int | None = None) -> DataFrame:
+        """All (key, value, deleted, batch) entries visible before ``before``."""
+        schema = "key string, value double, deleted boolean"
+        parts = []
+        snap = self._latest_snapshot(before)
+        if snap is not None:
+            parts.append(
+                self.spark.read.schema(schema).parquet(f"{self.snapshots}/at={snap:012d}").withColumn("batch", F.lit(snap).cast("long"))
+            )
+        if self.versions():
+            d = self.spark.read.schema(schema + ", batch long").option("basePath", self.deltas).parquet(self.deltas)
+            if snap is not None:
+                d = d.where(F.col("batch") > snap)
+            if before is not None:
+                d = d.where(F.col("batch") < before)
+            parts.append(d)
+        if not parts:
+            return self.spark.createDataFrame([], schema + ", batch long")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current ``(key, value)`` rows: newest entry per key, tombstones dropped."""
+        return _newest(self._entries(before))
+
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.deltas}/batch={batch_id:012d}")
 
     def upsert(self, updates: DataFrame, batch_id: int, order_col: str | None = None) -> None:
-        """Last write wins per key. With ``order_col`` the updates are first
-        reduced to their latest row per key; otherwise keys must be unique."""
+        """Last write wins per key. With ``order_col`` the batch's updates are
+        first reduced to their latest row per key; otherwise keys must be
+        unique within the batch."""
         if order_col is not None:
             updates = updates.groupBy("key").agg(F.max_by("value", order_col).alias("value"))
-        updates = updates.select("key", F.col("value").cast("double"))
-        earlier = [v for v in self.versions() if v < batch_id]
-        if earlier:
-            current = self.read(earlier[-1])
-            merged = current.join(updates.select("key"), "key", "left_anti").unionByName(updates)
-        else:
-            merged = updates
-        merged.write.mode("overwrite").parquet(self._version_path(batch_id))
+        self._write(
+            updates.select("key", F.col("value").cast("double"), F.lit(False).alias("deleted")), batch_id
+        )
+
+    def remove(self, keys: DataFrame, batch_id: int) -> None:
+        """K3 on the table: tombstones for ``keys``."""
+        self._write(
+            keys.select("key").distinct().select(
+                "key", F.lit(None).cast("double").alias("value"), F.lit(True).alias("deleted")
+            ),
+            batch_id,
+        )
+
+    def compact(self, up_to_batch: int) -> None:
+        """Fold every entry up to ``up_to_batch`` into one snapshot."""
+        snap = _newest(self._entries(before=up_to_batch + 1))
+        snap.withColumn("deleted", F.lit(False)).write.mode("overwrite").parquet(
+            f"{self.snapshots}/at={up_to_batch:012d}"
+        )
+
+
+def _newest(entries: DataFrame) -> DataFrame:
+    """Newest entry per key (a batch writes each key at most once), without
+    tombstones. Two ``max_by`` on primitive columns keep it a hash aggregate."""
+    latest = entries.groupBy("key").agg(
+        F.max_by("value", "batch").alias("value"), F.max_by("deleted", "batch").alias("deleted")
+    )
+    return latest.where(~F.coalesce(F.col("deleted"), F.lit(False))).select("key", "value")

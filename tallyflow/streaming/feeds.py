@@ -17,15 +17,21 @@ from tallyflow.sources.feeds import bounded_ingest_options
 def write_feed(df: DataFrame, path: str, n_files: int = 8, order_col: str = "arrival") -> str:
     """Write ``df`` under ``path`` as ``n_files`` appends, slice i holding the
     i-th arrival quantile, so file modification order is arrival order."""
-    cuts = sorted(set(df.approxQuantile(order_col, [i / n_files for i in range(1, n_files)], 0.001)))
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(order_col) >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(order_col) < F.lit(hi))
-        df.where(cond).coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
+    # Each slice is one file written by one task: it stands for one ordered
+    # topic partition of a replay, so its rows must stay in one ordered file.
+    df = df.persist()
+    try:
+        cuts = sorted(set(df.approxQuantile(order_col, [i / n_files for i in range(1, n_files)], 0.001)))
+        bounds = [None, *cuts, None]
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            cond = F.lit(True)
+            if lo is not None:
+                cond = cond & (F.col(order_col) >= F.lit(lo))
+            if hi is not None:
+                cond = cond & (F.col(order_col) < F.lit(hi))
+            df.where(cond).coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
+    finally:
+        df.unpersist()
     return path
 
 

@@ -113,7 +113,8 @@ class ArrivalOrderRatio:
     arrival order, two-level), sums per effective minute, continues the
     running totals and upserts ``ratio_<team>_<secs>`` for every minute it
     touched. The state is three numbers, versioned by batch id next to the
-    output, so a retried batch starts from the same state.
+    output (read as of the batches before it), so a retried batch starts
+    from the same state.
     """
 
     def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM):
@@ -124,10 +125,9 @@ class ArrivalOrderRatio:
         self.state = MetricsTable(spark, f"{self.root}/state")
 
     def _prior(self, batch_id: int) -> tuple[int | None, int, int]:
-        earlier = [v for v in self.state.versions() if v < batch_id]
-        if not earlier:
+        vals = {r["key"]: r["value"] for r in self.state.read(before=batch_id).collect()}  # three rows
+        if not vals:
             return None, 0, 0
-        vals = {r["key"]: r["value"] for r in self.state.read(earlier[-1]).collect()}  # three rows
         return int(vals["minute"]), int(vals["pc"]), int(vals["wl"])
 
     def process(self, batch: DataFrame, batch_id: int) -> None:

@@ -109,3 +109,18 @@ def test_stream_stream_match_on_fixture(spark):
         q.awaitTermination()
         got = sorted(map(tuple, spark.read.parquet(out).collect()))
         assert got == [("p1", 0), ("p2", 0), ("p3", 0), ("p4", 1), ("p5", 1), ("p7", 0), ("p8", 0)], horizon
+
+
+def test_tombstones_and_compaction(spark):
+    table = MetricsTable(spark, shared_path(spark, "test_compact", unique=True))
+    kv = "key string, value double"
+    table.upsert(spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], kv), 0)
+    table.remove(spark.createDataFrame([("b",)], "key string"), 1)
+    table.upsert(spark.createDataFrame([("a", 5.0)], kv), 2)
+    before = sorted(map(tuple, table.read().collect()))
+    assert before == [("a", 5.0), ("c", 3.0)]
+    assert sorted(map(tuple, table.read(before=2).collect())) == [("a", 1.0), ("c", 3.0)]
+    table.compact(1)
+    table.upsert(spark.createDataFrame([("b", 7.0)], kv), 3)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 5.0), ("b", 7.0), ("c", 3.0)]
+    assert sorted(map(tuple, table.read(before=3).collect())) == before
