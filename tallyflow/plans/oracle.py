@@ -89,9 +89,9 @@ FROM ({_CUMULATIVE}) WHERE cum_pc_cents <> 0"""
 
 # Runs of consecutive minutes per device: minute - row_number() is constant
 # inside a run (gaps-and-islands).
-_RESET = """, per AS (
+_RESET_TMPL = """, per AS (
   SELECT CASE WHEN pay_platform = 0 THEN 0 ELSE 1 END AS device, minute, SUM(amount_cents) AS cents
-  FROM pay_v GROUP BY 1, 2),
+  FROM {src} GROUP BY 1, 2),
 runs AS (
   SELECT device, minute, cents,
          minute - ROW_NUMBER() OVER (PARTITION BY device ORDER BY minute) AS island
@@ -107,6 +107,7 @@ SELECT COALESCE(pc.minute, wl.minute) AS minute, pc.pc_run, wl.wl_run,
        CASE WHEN pc.pc_run IS NULL THEN 1.7976931348623157e308
             ELSE CAST(COALESCE(wl.wl_run, 0) AS DOUBLE) / CAST(pc.pc_run AS DOUBLE) END AS ratio
 FROM pc FULL OUTER JOIN wl ON pc.minute = wl.minute"""
+_RESET = _RESET_TMPL.format(src="pay_v")
 
 _MIXED = """SELECT CASE WHEN event_type = 'signup'
                  THEN CASE WHEN event_id % 2 = 0 THEN 'taobao_orders' ELSE 'tmall_orders' END
@@ -124,6 +125,18 @@ metrics AS (
 """
 
 
+def _changed(src: str) -> str:
+    """D2 as a CTE named ``changed``."""
+    return f""", f AS (
+  SELECT arrival, order_id, minute, amount_cents, pay_platform,
+         CAST(amount_cents AS BIGINT) | (CAST(pay_source AS BIGINT) << 10)
+         | (CAST(pay_platform AS BIGINT) << 11) | CAST(minute AS BIGINT) AS fingerprint
+  FROM {src}),
+l AS (SELECT *, LAG(fingerprint) OVER (PARTITION BY order_id ORDER BY arrival) AS prev FROM f),
+changed AS (SELECT arrival, order_id, minute, amount_cents, pay_platform, fingerprint FROM l
+            WHERE prev IS NULL OR prev <> fingerprint)"""
+
+
 def _ratio_keys(event_type: str) -> str:
     return (
         f"SELECT 'ratio_{DEFAULT_TEAM}_' || CAST((epoch_us(ts) // 1000 // 60000) * 60 AS VARCHAR) AS key "
@@ -214,16 +227,8 @@ FROM pay_v p JOIN s ON p.order_id = s.order_id AND p.arrival > s.seen"""
     "distinct_payments": _q(
         "SELECT DISTINCT order_id, amount_cents, pay_source, pay_platform, minute FROM pay_re"
     ),
-    "changed_payments": _q(
-        """, f AS (
-  SELECT arrival, order_id, minute, amount_cents, pay_platform,
-         CAST(amount_cents AS BIGINT) | (CAST(pay_source AS BIGINT) << 10)
-         | (CAST(pay_platform AS BIGINT) << 11) | CAST(minute AS BIGINT) AS fingerprint
-  FROM pay_re),
-l AS (SELECT *, LAG(fingerprint) OVER (PARTITION BY order_id ORDER BY arrival) AS prev FROM f)
-SELECT arrival, order_id, minute, amount_cents, pay_platform, fingerprint FROM l
-WHERE prev IS NULL OR prev <> fingerprint"""
-    ),
+    "changed_payments": _q(_changed("pay_re") + "\nSELECT * FROM changed"),
+    "wireless_pc_ratio_reset_changed": _q(_changed("pay_v") + _RESET_TMPL.format(src="changed")),
     "platform_minute_turnover": _q(_turnover("pay_li", "first_v", True)),
     "platform_minute_turnover_events": _q(_turnover("pay_re", "first_ev", True)),
     "device_minute_turnover": _q(_DEVICE),

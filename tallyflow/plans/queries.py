@@ -291,6 +291,11 @@ def q_remove_metrics(spark, sf):
     return remove_metrics(_metrics(spark, sf), _ratio_keys_of(spark, sf, "error"))
 
 
+def q_wireless_pc_ratio_reset_changed(spark, sf):
+    """D2 feeding W3, as the reference's unwired dispatch -> ratio chain."""
+    return wireless_pc_ratio_reset(changed_payments(_norm(payments_v(spark, sf))))
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "payments_normalised": q_payments_normalised,
     "payments_truncated": q_payments_truncated,
@@ -318,6 +323,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "cumulative_turnover": q_cumulative_turnover,
     "wireless_pc_ratio": q_wireless_pc_ratio,
     "wireless_pc_ratio_reset": q_wireless_pc_ratio_reset,
+    "wireless_pc_ratio_reset_changed": q_wireless_pc_ratio_reset_changed,
     "metrics_rows": q_metrics_rows,
     "lookup_metrics": q_lookup_metrics,
     "remove_metrics": q_remove_metrics,
