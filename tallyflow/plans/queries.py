@@ -142,7 +142,7 @@ def q_drop_end_markers(spark, sf):
 
 def q_delimited_orders(spark, sf):
     path = shared_path(spark, "delimited_orders", unique=True)
-    write_delimited_orders(orders_ev(spark, sf), path, n_files=4)
+    write_delimited_orders(orders_ev(spark, sf), path)
     return read_delimited_orders(spark, path).select("arrival", "order_id", "create_time_ms", "platform")
 
 

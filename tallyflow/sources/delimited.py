@@ -29,9 +29,12 @@ ORDER_BODY_SCHEMA = StructType(
 _HEADER = r"^[0-9]+$"
 
 
-def write_delimited_orders(orders: DataFrame, path: str, n_files: int = 4) -> str:
+def write_delimited_orders(orders: DataFrame, path: str, n_files: int | None = None) -> str:
     """Write ``orders`` (platform + ORDER_BODY_SCHEMA columns) as ``n_files``
-    delimited files under ``path`` (one ``part=<i>`` folder each)."""
+    delimited files under ``path`` (one ``part=<i>`` folder each, one task
+    per file); by default as many files as shuffle partitions."""
+    if n_files is None:
+        n_files = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body_cols = [f.name for f in ORDER_BODY_SCHEMA.fields]
     records = orders.select(
         # Deterministic file assignment: a task retry writes the same rows.

@@ -26,7 +26,7 @@ from tallyflow.streaming.turnover import (
     turnover_stream,
 )
 
-FEED_FILES = 8
+FEED_FILES = 4
 
 
 def _replay(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
