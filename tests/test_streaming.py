@@ -124,3 +124,23 @@ def test_tombstones_and_compaction(spark):
     table.upsert(spark.createDataFrame([("b", 7.0)], kv), 3)
     assert sorted(map(tuple, table.read().collect())) == [("a", 5.0), ("b", 7.0), ("c", 3.0)]
     assert sorted(map(tuple, table.read(before=3).collect())) == before
+
+
+def test_arrival_order_ratio_adds_late_payment_to_current_minute(spark):
+    from tallyflow.streaming.turnover import ArrivalOrderRatio
+
+    feed = shared_path(spark, "test_t6", unique=True)
+    # arrival, minute, amount, device (0 PC, 1 wireless); the wireless 3.00 of
+    # minute 0 arrives after minute 1 opened.
+    rows = [(1, 0, 10.00, 0), (2, 1, 5.00, 1), (3, 0, 3.00, 1), (4, 2, 2.00, 0)]
+    for arrival, minute, amount, device in rows:
+        _append(spark, feed, [(arrival, 1, amount, 0, device, T0 + minute * 60_000 + 1_000)])
+    ratio = ArrivalOrderRatio(spark, shared_path(spark, "test_t6_out", unique=True), team="t")
+    ratio.start(read_feed(spark, feed, SCHEMA), shared_path(spark, "ck", unique=True)).awaitTermination()
+    m0 = T0 // 60_000
+    got = {r.key: r.value for r in ratio.table.read().collect()}
+    assert got == {
+        f"ratio_t_{m0 * 60}": 0.0,
+        f"ratio_t_{(m0 + 1) * 60}": 0.8,
+        f"ratio_t_{(m0 + 2) * 60}": 8 / 12,
+    }
