@@ -261,3 +261,4 @@ ORACLE_SQL["stream_closed_minutes"] = _q(
     ", t AS (" + _turnover("pay_v", "first_ev", True) + ")\n"
     "SELECT platform, minute, turnover_cents, turnover FROM t WHERE minute <= (SELECT MAX(minute) FROM t) - 7"
 )
+ORACLE_SQL["stream_metrics"] = ORACLE_SQL["metrics_rows"]

@@ -17,6 +17,7 @@ from tallyflow.session import materialize, shared_path
 from tallyflow.sinks.metrics_store import MetricsTable
 from tallyflow.sources.tables import orders_ev, payments_v, redelivered
 from tallyflow.streaming.feeds import read_feed, write_feed
+from tallyflow.streaming.live import LiveMetrics
 from tallyflow.streaming.matching import match_payments_stream
 from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
@@ -120,7 +121,18 @@ def q_stream_matched_payments(spark, sf):
     return spark.read.schema(matched.schema).parquet(out)
 
 
+def q_stream_metrics(spark, sf):
+    """The whole live flow: payment and order streams -> M1, M2, M3."""
+    pays = _replay(spark, "stream_metrics_pay", payments_v(spark, sf))
+    orders = _replay(spark, "stream_metrics_orders", orders_ev(spark, sf))
+    live = LiveMetrics(spark, shared_path(spark, "stream_metrics", "table", unique=True))
+    for query in live.start(pays, orders, shared_path(spark, "stream_metrics", "checkpoint", unique=True)):
+        _run(query)
+    return live.metrics()
+
+
 STREAM_QUERIES = {
+    "stream_metrics": q_stream_metrics,
     "stream_matched_payments": q_stream_matched_payments,
     "stream_turnover": q_stream_turnover,
     "stream_upsert": q_stream_upsert,

@@ -55,3 +55,26 @@ def test_positive_and_rejected(spark):
     assert positive_payments(p).count() == 8
     rej = rejected_payments(p).collect()
     assert [(r.pay_amount, r.reason) for r in rej] == [(-1.0, "negative")]
+
+
+def test_topic_decoding_drops_markers_and_tags_platform(spark):
+    import json
+
+    from tallyflow.sources.topics import decode_orders, decode_payments
+
+    pay = json.dumps({"orderId": 1, "payAmount": 19.99, "paySource": 1, "payPlatform": 1, "createTime": 1467849602000})
+    order = json.dumps({"orderId": 1, "buyerId": "b", "productId": "p", "salerId": "s", "createTime": 1, "totalPrice": 51.98})
+    msgs = spark.createDataFrame(
+        [
+            ("pay", bytearray(pay.encode())),
+            ("pay", bytearray(END_MARKER)),
+            ("tb", bytearray(order.encode())),
+            ("tm", bytearray(order.encode())),
+            ("tm", bytearray(END_MARKER)),
+        ],
+        "topic string, value binary",
+    )
+    p = decode_payments(msgs.where("topic = 'pay'")).collect()
+    assert [(r.order_id, r.pay_amount, r.pay_source, r.pay_platform) for r in p] == [(1, 19.99, 1, 1)]
+    o = decode_orders(msgs, "tb", "tm").orderBy("platform").collect()
+    assert [(r.order_id, r.platform, r.total_price) for r in o] == [(1, 0, 51.98), (1, 1, 51.98)]

@@ -144,3 +144,27 @@ def test_arrival_order_ratio_adds_late_payment_to_current_minute(spark):
         f"ratio_t_{(m0 + 1) * 60}": 0.8,
         f"ratio_t_{(m0 + 2) * 60}": 8 / 12,
     }
+
+
+def test_live_metrics_with_compaction_equal_batch_metrics(spark):
+    from tallyflow.plans.metrics import platform_turnover, ratio_metric
+    from tallyflow.sinks import metrics_rows
+    from tallyflow.streaming.live import LiveMetrics
+    from tests.fixture import orders_df, payments_df
+
+    pays, orders = payments_df(spark).drop("name"), orders_df(spark).drop("name", "total_price")
+    pay_feed, order_feed = shared_path(spark, "live_pay", unique=True), shared_path(spark, "live_ord", unique=True)
+    # Three slices of each feed, in arrival order.
+    for lo, hi in [(0, 30), (30, 700), (700, 10_000)]:
+        pays.where(f"arrival >= {lo} AND arrival < {hi}").coalesce(1).write.mode("append").parquet(pay_feed)
+        orders.where(f"arrival >= {lo} AND arrival < {hi}").coalesce(1).write.mode("append").parquet(order_feed)
+    live = LiveMetrics(spark, shared_path(spark, "live_out", unique=True), team="t", compact_every=1)
+    queries = live.start(
+        read_feed(spark, pay_feed, pays.schema), read_feed(spark, order_feed, orders.schema),
+        shared_path(spark, "live_ck", unique=True),
+    )
+    for q in queries:
+        q.awaitTermination()
+    want = metrics_rows(platform_turnover(pays, orders), ratio_metric(pays), team="t")
+    assert sorted(map(tuple, live.metrics().collect())) == sorted(map(tuple, want.collect()))
+    assert live.cents._latest_snapshot(None) is not None
