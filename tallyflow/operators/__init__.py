@@ -1,7 +1,12 @@
 """Relational operators: quality (P*), matching (J*), dedup (D*),
 aggregates (A*) and ordered windows (W*)."""
 
-from tallyflow.operators.aggregates import device_minute_turnover, minutes_seen, platform_minute_turnover
+from tallyflow.operators.aggregates import (
+    device_minute_turnover,
+    minutes_seen,
+    minutes_seen_approx,
+    platform_minute_turnover,
+)
 from tallyflow.operators.dedup import D1_KEYS, changed_payments, distinct_payments
 from tallyflow.operators.matching import (
     first_orders,
@@ -38,6 +43,7 @@ __all__ = [
     "match_by_set",
     "match_payments",
     "minutes_seen",
+    "minutes_seen_approx",
     "pending_payments",
     "platform_minute_turnover",
     "positive_payments",

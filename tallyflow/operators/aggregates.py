@@ -42,3 +42,13 @@ def minutes_seen(payments: DataFrame, expected: int = EXPECTED_MINUTES) -> DataF
         F.lit(expected).alias("expected"),
         (F.col("minutes") >= F.lit(expected)).alias("complete"),
     )
+
+
+def minutes_seen_approx(payments: DataFrame, expected: int = EXPECTED_MINUTES, rsd: float = 0.01) -> DataFrame:
+    """A4 on an unbounded stream: HyperLogLog estimate of the distinct
+    minutes (bounded state, complete or update mode)."""
+    return payments.agg(F.approx_count_distinct("minute", rsd).alias("minutes")).select(
+        "minutes",
+        F.lit(expected).alias("expected"),
+        (F.col("minutes") >= F.lit(expected)).alias("complete"),
+    )

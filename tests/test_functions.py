@@ -69,3 +69,10 @@ def test_labels(spark):
     assert [r.s for r in rows] == ["alipay", "voucher", "unionpay", "other", None]
     assert [r.d for r in rows] == ["pc", "wireless", "wireless", "wireless", "wireless"]
     assert [r.p for r in rows] == ["taobao", "tmall", "tmall", "tmall", "tmall"]
+
+
+def test_exact_division_by_zero_raises(spark):
+    from pyspark.errors import ArithmeticException
+
+    with pytest.raises(ArithmeticException):
+        one(spark, exact_div(F.lit(1.0), F.lit(0.0)).alias("d"))

@@ -168,3 +168,18 @@ def test_live_metrics_with_compaction_equal_batch_metrics(spark):
     want = metrics_rows(platform_turnover(pays, orders), ratio_metric(pays), team="t")
     assert sorted(map(tuple, live.metrics().collect())) == sorted(map(tuple, want.collect()))
     assert live.cents._latest_snapshot(None) is not None
+
+
+def test_minutes_seen_on_a_stream(spark):
+    from tallyflow.operators import minutes_seen_approx
+    from tallyflow.sources import payments_source
+
+    feed = shared_path(spark, "test_a4", unique=True)
+    for i, minute in enumerate([0, 0, 1, 5, 5, 9]):
+        _append(spark, feed, [_pay(i, minute, 1.00)])
+    out = minutes_seen_approx(payments_source(read_feed(spark, feed, SCHEMA)), expected=4)
+    q = (out.writeStream.outputMode("complete").format("memory").queryName("a4_test")
+         .option("checkpointLocation", shared_path(spark, "ck", unique=True)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    r = spark.sql("SELECT * FROM a4_test").first()
+    assert (r.minutes, r.complete) == (4, True)
