@@ -26,7 +26,6 @@ from tallyflow.functions import (
     payment_fingerprint,
     platform_name,
     result_key,
-    to_cents,
 )
 from tallyflow.functions.time import epoch_millis_ntz
 from tallyflow.operators import (
@@ -43,7 +42,6 @@ from tallyflow.operators import (
     pending_payments,
     positive_payments,
     reconcile_order_payments,
-    wireless_pc_ratio,
     wireless_pc_ratio_reset,
 )
 from tallyflow.plans.metrics import platform_turnover, ratio_metric
