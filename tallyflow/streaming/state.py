@@ -39,11 +39,11 @@ def _changed(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterato
         state.remove()
         return
     rows = pd.concat(list(batches), ignore_index=True).sort_values("arrival", kind="stable")
-    fp = rows["fingerprint"].astype("int64")
+    fp = rows["fingerprint"].astype("Int64")  # nullable ints: exact, no float round trip
     prev = fp.shift(1)
     if state.exists:
         prev.iloc[0] = state.get[0]
-    keep = prev.isna() | (prev != fp)
+    keep = (prev.isna() | (prev != fp)).fillna(True).astype(bool)
     state.update((int(fp.iloc[-1]),))
     yield rows.loc[keep, [f.name for f in CHANGED_SCHEMA.fields]]
 

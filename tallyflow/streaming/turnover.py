@@ -117,10 +117,11 @@ class ArrivalOrderRatio:
     from the same state.
     """
 
-    def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM):
+    def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
         self.spark = spark
         self.root = root.rstrip("/")
         self.team = team
+        self.compact_every = compact_every
         self.table = MetricsTable(spark, f"{self.root}/ratio")
         self.state = MetricsTable(spark, f"{self.root}/state")
 
@@ -158,8 +159,10 @@ class ArrivalOrderRatio:
                     )
                 ).alias("s")
             ).select("s.*")
-            # Upsert merges with the previous version: an empty batch carries it.
+            # An empty batch writes no state row: the previous one stays newest.
             self.state.upsert(state, batch_id)
+            if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+                self.state.compact(batch_id)
         finally:
             cum.unpersist()
 
