@@ -131,7 +131,9 @@ def q_drop_end_markers(spark, sf):
         "body", F.lit(END_MARKER)
     )
     all_msgs = msgs.unionByName(markers)
-    done = feed_completion(all_msgs)
+    # One row per topic: a bounded broadcast, so the join never shuffles the
+    # messages on a three-valued key.
+    done = F.broadcast(feed_completion(all_msgs))
     kept = drop_end_markers(all_msgs)
     return kept.join(done, "topic", "inner").select(
         "topic", "arrival", F.octet_length("body").alias("body_bytes"), "complete"
