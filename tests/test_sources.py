@@ -78,3 +78,13 @@ def test_topic_decoding_drops_markers_and_tags_platform(spark):
     assert [(r.order_id, r.pay_amount, r.pay_source, r.pay_platform) for r in p] == [(1, 19.99, 1, 1)]
     o = decode_orders(msgs, "tb", "tm").orderBy("platform").collect()
     assert [(r.order_id, r.platform, r.total_price) for r in o] == [(1, 0, 51.98), (1, 1, 51.98)]
+
+
+def test_delimited_header_mismatch_is_reported(spark):
+    path = shared_path(spark, "test_delimited_bad", unique=True)
+    body = '{"arrival": 1, "order_id": 5, "create_time_ms": 7}'
+    lines = spark.createDataFrame([("3",), ("0" + body,), ("1" + body,)], "value string").coalesce(1)
+    lines.write.option("lineSep", ";;\n").text(path)
+    check = delimited_file_check(spark, path).collect()
+    assert [(r.declared, r.found, r.ok) for r in check] == [(3, 2, False)]
+    assert sorted(r.platform for r in read_delimited_orders(spark, path).collect()) == [0, 1]
