@@ -10,6 +10,8 @@ resumes from the checkpoint and replays batches idempotently.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyflow.operators.matching import first_orders
@@ -41,6 +43,35 @@ def _known_first_orders(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(first_orders(orders_ev(spark, sf)).select("order_id", "platform"))
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession):
+    """Start streams with at most one state partition per core.
+
+    A stateful stream pins its partition count when it first starts; each
+    state partition is a state-store instance opened every micro-batch, so
+    more partitions than cores only adds per-batch cost. The stream runs in a
+    clone of the session taken at ``start()``, so the session's own setting
+    is restored right after."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, min(int(old), spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _start_parquet_sink(df: DataFrame, path: str, checkpoint: str):
+    return (
+        df.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -51,7 +82,9 @@ def _turnover_upsert(spark: SparkSession, sf: str, name: str, feed: DataFrame) -
     stream = _replay(spark, name, feed)
     table = MetricsTable(spark, shared_path(spark, name, "table", unique=True))
     turnover = turnover_stream(stream, _known_first_orders(spark, sf))
-    _run(start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True)))
+    with _state_partitions(spark):
+        query = start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True))
+    _run(query)
     return table.read()
 
 
@@ -72,7 +105,9 @@ def q_stream_closed_minutes(spark, sf):
     stream = _replay(spark, "stream_closed_minutes", payments_v(spark, sf))
     out = shared_path(spark, "stream_closed_minutes", "table", unique=True)
     turnover = turnover_stream(stream, _known_first_orders(spark, sf))
-    _run(start_closed_minutes(turnover, out, shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True)))
+    with _state_partitions(spark):
+        query = start_closed_minutes(turnover, out, shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True))
+    _run(query)
     return spark.read.schema(turnover.schema).parquet(out)
 
 
@@ -80,7 +115,9 @@ def q_stream_ratio(spark, sf):
     """Ratio in arrival order; equals W2 when the feed is in order."""
     stream = _replay(spark, "stream_ratio", payments_v(spark, sf))
     ratio = ArrivalOrderRatio(spark, shared_path(spark, "stream_ratio", "table", unique=True))
-    _run(ratio.start(stream, shared_path(spark, "stream_ratio", "checkpoint", unique=True)))
+    with _state_partitions(spark):
+        query = ratio.start(stream, shared_path(spark, "stream_ratio", "checkpoint", unique=True))
+    _run(query)
     return ratio.table.read()
 
 
@@ -89,14 +126,8 @@ def q_stream_changed_payments(spark, sf):
     stream = _replay(spark, "stream_changed_payments", redelivered(payments_v(spark, sf)))
     out = shared_path(spark, "stream_changed_payments", "table", unique=True)
     changed = changed_payments_stream(stream)
-    query = (
-        changed.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", shared_path(spark, "stream_changed_payments", "checkpoint", unique=True))
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_partitions(spark):
+        query = _start_parquet_sink(changed, out, shared_path(spark, "stream_changed_payments", "checkpoint", unique=True))
     _run(query)
     return spark.read.schema(changed.schema).parquet(out)
 
@@ -109,14 +140,8 @@ def q_stream_matched_payments(spark, sf):
         "arrival", "order_id", "amount_cents", "pay_source", "pay_platform", "minute", "platform"
     )
     out = shared_path(spark, "stream_matched_payments", "table", unique=True)
-    query = (
-        matched.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", shared_path(spark, "stream_matched_payments", "checkpoint", unique=True))
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _state_partitions(spark):
+        query = _start_parquet_sink(matched, out, shared_path(spark, "stream_matched_payments", "checkpoint", unique=True))
     _run(query)
     return spark.read.schema(matched.schema).parquet(out)
 
@@ -126,7 +151,9 @@ def q_stream_metrics(spark, sf):
     pays = _replay(spark, "stream_metrics_pay", payments_v(spark, sf))
     orders = _replay(spark, "stream_metrics_orders", orders_ev(spark, sf))
     live = LiveMetrics(spark, shared_path(spark, "stream_metrics", "table", unique=True))
-    for query in live.start(pays, orders, shared_path(spark, "stream_metrics", "checkpoint", unique=True)):
+    with _state_partitions(spark):
+        started = live.start(pays, orders, shared_path(spark, "stream_metrics", "checkpoint", unique=True))
+    for query in started:
         _run(query)
     return live.metrics()
 

@@ -183,3 +183,13 @@ def test_minutes_seen_on_a_stream(spark):
     q.awaitTermination()
     r = spark.sql("SELECT * FROM a4_test").first()
     assert (r.minutes, r.complete) == (4, True)
+
+
+def test_stream_queries_restore_shuffle_partitions(spark):
+    from tallyflow.streaming.queries import _state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with _state_partitions(spark):
+        inside = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert inside <= spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
