@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.session import materialize
+
 DEFAULT_ROWS_PER_TASK = 5_000_000
 DEFAULT_SAMPLE_FRACTION = 1e-3
 DEFAULT_BUCKETS = 32
@@ -62,7 +64,9 @@ def salted_join(
         raise ValueError(f"unsupported join type {how!r}")
     if hot is None:
         hot = hot_keys(left, on, rows_per_task)
-    flags = F.broadcast(hot.select(on).distinct().withColumn("_hot", F.lit(True)))
+    # Computed once (the sample scans the whole key column) and shared by
+    # both sides; a handful of rows, checkpointed in the shared folder.
+    flags = F.broadcast(materialize(hot.select(on).distinct().withColumn("_hot", F.lit(True))))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     salted_left = (
         left.join(flags, on, "left")
