@@ -193,3 +193,26 @@ def test_stream_queries_restore_shuffle_partitions(spark):
         inside = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert inside <= spark.sparkContext.defaultParallelism
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_restart_from_checkpoint_equals_batch(spark):
+    from tallyflow.operators import first_orders
+    from tallyflow.plans.metrics import platform_turnover
+    from tallyflow.sources import orders_ev, payments_v
+
+    sf = "/root/testdata/sf0.001"
+    pays, orders = payments_v(spark, sf), orders_ev(spark, sf)
+    feed = shared_path(spark, "restart_feed", unique=True)
+    ck = shared_path(spark, "restart_ck", unique=True)
+    table = MetricsTable(spark, shared_path(spark, "restart_table", unique=True))
+    known = first_orders(orders).select("order_id", "platform")
+    cut = pays.approxQuantile("arrival", [0.5], 0.0)[0]
+    for part in (pays.where(F.col("arrival") < cut), pays.where(F.col("arrival") >= cut)):
+        part.coalesce(1).sortWithinPartitions("arrival").write.mode("append").parquet(feed)
+        q = start_turnover_upsert(turnover_stream(read_feed(spark, feed, pays.schema), known), table, ck, team="t")
+        q.awaitTermination()
+    want = platform_turnover(pays, orders)
+    from tallyflow.streaming.turnover import turnover_metric_rows
+
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, turnover_metric_rows(want, "t").collect()))
+    assert len(table.versions()) >= 2
