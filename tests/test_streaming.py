@@ -216,3 +216,18 @@ def test_restart_from_checkpoint_equals_batch(spark):
 
     assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, turnover_metric_rows(want, "t").collect()))
     assert len(table.versions()) >= 2
+
+
+def test_duplicate_within_watermark_counted_once(spark):
+    feed = shared_path(spark, "test_dup", unique=True)
+    _append(spark, feed, [_pay(1, 3, 2.50)])
+    _append(spark, feed, [_pay(2, 4, 1.00), _pay(3, 3, 2.50)])  # redelivered copy, same minute
+    _append(spark, feed, [_pay(4, 3, 2.50)])  # and again, a batch later
+    orders = spark.createDataFrame([(1, 0)], "order_id long, platform int")
+    table = MetricsTable(spark, shared_path(spark, "test_dup_t", unique=True))
+    q = start_turnover_upsert(turnover_stream(read_feed(spark, feed, SCHEMA), orders), table,
+                              shared_path(spark, "ck", unique=True), team="t")
+    q.awaitTermination()
+    m0 = T0 // 60_000
+    got = {r.key: r.value for r in table.read().collect()}
+    assert got == {f"platformTaobao_t_{(m0 + 3) * 60}": 2.5, f"platformTaobao_t_{(m0 + 4) * 60}": 1.0}
