@@ -138,8 +138,12 @@ def island_totals(device_minute_rows: DataFrame, by: str = "device") -> DataFram
     present = device_minute_rows.select(by, "minute", "cents")
     prefix = running_aggregate(present, "minute", ["cents"], by=(by,), suffix="_pre")
     prev = present.select(by, (F.col("minute") + 1).alias("minute"), F.lit(True).alias("_has_prev"))
-    flagged = prefix.join(prev, [by, "minute"], "left").withColumn(
-        "_start", F.when(F.col("_has_prev").isNull(), F.col("minute"))
+    # Read by two branches below; one row per (by, minute), so it is
+    # materialised once rather than recomputed per branch.
+    flagged = materialize(
+        prefix.join(prev, [by, "minute"], "left").withColumn(
+            "_start", F.when(F.col("_has_prev").isNull(), F.col("minute"))
+        )
     )
     with_start = running_aggregate(
         flagged.select(by, "minute", "cents", "cents_pre", "_start"),
