@@ -10,9 +10,11 @@ event time without a payment for the order, bounding state on long runs.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,6 +35,10 @@ CHANGED_SCHEMA = StructType(
 )
 STATE_SCHEMA = StructType([StructField("last_fp", LongType())])
 
+# The state function runs in executor Python workers. Ship it by value (code
+# and the globals it reads) so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _changed(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
