@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -21,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tallyflow.functions.codes import payment_fingerprint
+from tallyflow.functions.time import event_time
 from tallyflow.sources.feeds import payments_source
 
 CHANGED_SCHEMA = StructType(
@@ -40,7 +42,9 @@ STATE_SCHEMA = StructType([StructField("last_fp", LongType())])
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _changed(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _changed(
+    key, batches: Iterator[pd.DataFrame], state: GroupState, timeout_ms: int | None = None
+) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
@@ -51,17 +55,29 @@ def _changed(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterato
         prev.iloc[0] = state.get[0]
     keep = (prev.isna() | (prev != fp)).fillna(True).astype(bool)
     state.update((int(fp.iloc[-1]),))
+    if timeout_ms is not None:
+        # Expire after ``timeout_ms`` of event time without a payment for the
+        # order; never at or before the current watermark (Spark rejects it).
+        expire = int(rows["create_time_ms"].max()) + timeout_ms
+        state.setTimeoutTimestamp(max(expire, state.getCurrentWatermarkMs() + 1))
     yield rows.loc[keep, [f.name for f in CHANGED_SCHEMA.fields]]
 
 
-def changed_payments_stream(payments: DataFrame) -> DataFrame:
+def changed_payments_stream(payments: DataFrame, timeout_minutes: int | None = None) -> DataFrame:
     """Streaming D2 over raw payments (``arrival`` and the payment columns)."""
     p = payments_source(payments)
     fp = payment_fingerprint("amount_cents", "pay_source", "pay_platform", "minute")
     d = p.select(
         "arrival", "order_id", "minute", "amount_cents", F.col("pay_platform").cast("int").alias("pay_platform"),
-        fp.alias("fingerprint"),
+        fp.alias("fingerprint"), "create_time_ms",
     )
+    if timeout_minutes is None:
+        return d.groupBy("order_id").applyInPandasWithState(
+            _changed, CHANGED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        )
+    timeout_ms = timeout_minutes * 60_000
+    d = d.withColumn("event_ts", event_time("create_time_ms")).withWatermark("event_ts", f"{timeout_minutes} minutes")
     return d.groupBy("order_id").applyInPandasWithState(
-        _changed, CHANGED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        partial(_changed, timeout_ms=timeout_ms), CHANGED_SCHEMA, STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout,
     )

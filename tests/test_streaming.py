@@ -231,3 +231,21 @@ def test_duplicate_within_watermark_counted_once(spark):
     m0 = T0 // 60_000
     got = {r.key: r.value for r in table.read().collect()}
     assert got == {f"platformTaobao_t_{(m0 + 3) * 60}": 2.5, f"platformTaobao_t_{(m0 + 4) * 60}": 1.0}
+
+
+def test_changed_payments_state_timeout(spark):
+    from tallyflow.operators import changed_payments
+    from tallyflow.sources import payments_source, payments_v, redelivered
+    from tallyflow.streaming.feeds import write_feed
+    from tallyflow.streaming.state import changed_payments_stream
+
+    pays = redelivered(payments_v(spark, "/root/testdata/sf0.001"))
+    feed = write_feed(pays, shared_path(spark, "test_d2_timeout", unique=True), 3)
+    want = sorted(r.arrival for r in changed_payments(payments_source(pays)).collect())
+    for timeout in (None, 60 * 24 * 90):  # the feed spans one month
+        out = shared_path(spark, "test_d2_out", unique=True)
+        q = (changed_payments_stream(read_feed(spark, feed, pays.schema), timeout_minutes=timeout)
+             .writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", shared_path(spark, "ck", unique=True)).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert sorted(r.arrival for r in spark.read.parquet(out).collect()) == want, timeout
