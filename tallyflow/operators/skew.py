@@ -14,7 +14,8 @@ not apply. Hot ids are therefore salted explicitly:
   deterministic hash of the row (a retried task salts identically) and
   replicates that id's few order-side rows once per salt. Other ids keep
   salt 0 and are joined as usual. The result is exactly the plain join's,
-  for inner, left outer, left semi and left anti joins.
+  for inner, left outer, left semi and left anti joins. With no hot id the
+  plain join is planned.
 """
 
 from __future__ import annotations
@@ -66,7 +67,10 @@ def salted_join(
         hot = hot_keys(left, on, rows_per_task)
     # Computed once (the sample scans the whole key column) and shared by
     # both sides; a handful of rows, checkpointed in the shared folder.
-    flags = F.broadcast(materialize(hot.select(on).distinct().withColumn("_hot", F.lit(True))))
+    hot_table = materialize(hot.select(on).distinct().withColumn("_hot", F.lit(True)))
+    if hot_table.isEmpty():
+        return left.join(right, on, how)
+    flags = F.broadcast(hot_table)
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     salted_left = (
         left.join(flags, on, "left")
