@@ -249,3 +249,14 @@ def test_changed_payments_state_timeout(spark):
              .option("checkpointLocation", shared_path(spark, "ck", unique=True)).trigger(availableNow=True).start())
         q.awaitTermination()
         assert sorted(r.arrival for r in spark.read.parquet(out).collect()) == want, timeout
+
+
+def test_empty_batch_upsert_keeps_table_readable(spark):
+    table = MetricsTable(spark, shared_path(spark, "test_empty", unique=True))
+    kv = "key string, value double"
+    table.upsert(spark.createDataFrame([("a", 1.0)], kv), 0)
+    table.upsert(spark.createDataFrame([], kv), 1)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1.0)]
+    empty = MetricsTable(spark, shared_path(spark, "test_empty2", unique=True))
+    empty.upsert(spark.createDataFrame([], kv), 0)
+    assert empty.read().collect() == []
