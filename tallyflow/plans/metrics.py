@@ -1,16 +1,23 @@
 """End-to-end batch plans for the three published metrics.
 
 M1/M2 (platform turnover): payments -> cents/minute -> D1 distinct ->
-pre-aggregate per (order, minute) -> join the first order of each id (J2,
-J1) -> sum per (platform, minute) (A1).
+sum per (order, minute) -> join the first order of each id (J2, J1) -> sum
+per (platform, minute) (A1).
 
-D1 and A1 commute with the join (the platform is a function of the order id
-once J2 has run), so both are pushed below it: the join sees at most one row
-per (order, minute) instead of one per payment, and a hot order id is
-collapsed map-side before any shuffle. Shuffles: D1 on the five fields,
-pre-aggregate on (order_id, minute), the join on order_id (the order side is
-already partitioned on it by J2), the final aggregate on (platform, minute);
-each carries partial-aggregated rows except the first.
+D1 and the sum commute with the join (the platform is a function of the
+order id once J2 has run), so both run below it, and all three are served
+by ONE shuffle of the payments on ``order_id``: D1's five fields and the
+(order, minute) sum both contain the id, and so does the join key. The
+order side is shuffled once on ``order_id`` by J2's aggregate, which the
+join reuses (or AQE broadcasts it when it measures small).
+
+One shuffle on the id would put a hot id's rows in one task. Hot ids are
+therefore found first (a sample of the ``order_id`` column, checkpointed,
+at most rows / ``rows_per_task`` ids) and salted: their payments spread
+over ``buckets`` salt values derived from the five D1 fields (so copies of
+a payment share a salt and D1 stays exact), and their single order row is
+replicated per salt. The shuffle key becomes (order_id, salt). With no hot
+id the plain plan runs. ``rows_per_task=None`` skips the detection.
 
 M3 (ratio): payments only (no join, no dedup) -> A2 per minute -> W1
 running totals (two-level, parallel per day) -> W2.
@@ -22,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.operators.aggregates import device_minute_turnover, platform_minute_turnover
-from tallyflow.operators.dedup import distinct_payments
+from tallyflow.operators.dedup import D1_KEYS
 from tallyflow.operators.matching import first_orders
+from tallyflow.operators.skew import DEFAULT_BUCKETS, DEFAULT_ROWS_PER_TASK, hot_keys
 from tallyflow.operators.windows import cumulative_turnover, wireless_pc_ratio
+from tallyflow.session import materialize
 from tallyflow.sources.feeds import payments_source
 
 
@@ -34,16 +43,37 @@ def platform_turnover(
     arrival_col: str = "arrival",
     cents_mode: str = "exact",
     dedup: bool = True,
+    rows_per_task: int | None = DEFAULT_ROWS_PER_TASK,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """M1/M2. Output: ``platform, minute, turnover_cents, turnover``.
 
     ``dedup=False`` gives A3 (sum without D1)."""
-    p = payments_source(payments, cents_mode)
-    if dedup:
-        p = distinct_payments(p)
-    per_order = p.groupBy("order_id", "minute").agg(F.sum("amount_cents").alias("amount_cents"))
+    p = payments_source(payments, cents_mode).select(*D1_KEYS)
     first = first_orders(orders, arrival_col).select("order_id", "platform")
-    return platform_minute_turnover(per_order.join(first, "order_id", "inner"))
+    flags = None
+    if rows_per_task is not None:
+        flags = materialize(hot_keys(p, "order_id", rows_per_task).distinct().withColumn("_hot", F.lit(True)))
+        if flags.isEmpty():
+            flags = None
+    if flags is None:
+        keys = ["order_id"]
+        p = p.repartition("order_id")
+    else:
+        keys = ["order_id", "_salt"]
+        hot = F.broadcast(flags)  # bounded: at most rows / rows_per_task ids
+        p = (
+            p.join(hot, "order_id", "left")
+            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*D1_KEYS), F.lit(buckets))).otherwise(F.lit(0)))
+            .drop("_hot")
+            .repartition("order_id", "_salt")
+        )
+        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+        first = first.join(hot, "order_id", "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    if dedup:
+        p = p.dropDuplicates([*D1_KEYS, *keys[1:]])
+    per_order = p.groupBy(*keys, "minute").agg(F.sum("amount_cents").alias("amount_cents"))
+    return platform_minute_turnover(per_order.join(first, keys, "inner"))
 
 
 def ratio_metric(payments: DataFrame, cents_mode: str = "exact") -> DataFrame:

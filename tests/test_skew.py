@@ -80,9 +80,14 @@ def test_hot_key_anti_semi_joins_are_correct(skewed, rows_per_task):
     assert got == int(pays.order_id.isin(orders.order_id).sum())
 
 
-def test_hot_key_turnover_is_correct(skewed):
+@pytest.mark.parametrize("rows_per_task", [2_000, None])
+def test_hot_key_turnover_is_correct(skewed, rows_per_task):
     pays, orders, p, o = skewed
-    got = {(r.platform, r.minute): r.turnover_cents for r in platform_turnover(p, o).collect()}
+    t = platform_turnover(p, o, rows_per_task=rows_per_task)
+    got = {(r.platform, r.minute): r.turnover_cents for r in t.collect()}
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    if rows_per_task is not None:  # the hot id is salted: shuffled on (order_id, _salt)
+        assert "_salt" in plan
     cents = (pays.pay_amount * 100).round().astype("int64")
     d = pays.assign(amount_cents=cents, minute=pays.create_time_ms // 60_000)
     d = d.drop_duplicates(["order_id", "amount_cents", "pay_source", "pay_platform", "minute"])
