@@ -1,9 +1,10 @@
 """The whole live flow on Structured Streaming: payment and order streams in,
 the three metrics (M1, M2, M3) out, in one key -> value view.
 
-M1/M2: payments ⋈ orders as a stream-stream join (J1; the first order of an
-id wins, J2), then D1 with a watermark, then ``foreachBatch`` adds each
-micro-batch's cents per (platform, minute) to a cents table. A
+M1/M2: D1 with a watermark on the payments, then payments ⋈ orders as a
+stream-stream join (J1; the first order of an id wins, J2), then
+``foreachBatch`` adds each micro-batch's cents per (platform, minute) to a
+cents table. A
 stream-stream join only runs in append mode, so the running sums are kept
 by the sink rather than by a streaming aggregation: every batch publishes
 the minutes it changed, the newest included (T4, T5).
@@ -26,6 +27,7 @@ from tallyflow.functions.money import from_cents
 from tallyflow.functions.time import minute_start
 from tallyflow.operators.dedup import D1_KEYS
 from tallyflow.sinks.metrics_store import MetricsTable
+from tallyflow.sources.feeds import payments_source
 from tallyflow.streaming.matching import match_payments_stream
 from tallyflow.streaming.turnover import ArrivalOrderRatio, turnover_metric_rows
 
@@ -50,11 +52,20 @@ class LiveMetrics:
             self.cents.compact(batch_id)
 
     def turnover_matches(self, payments: DataFrame, orders: DataFrame, late_minutes: int = LATE_MINUTES) -> DataFrame:
-        """Matched, deduplicated payments (J2 -> J1 -> D1) on streams."""
-        matched = match_payments_stream(payments, orders).withColumn("minute_ts", minute_start("create_time_ms"))
-        return matched.withWatermark("minute_ts", f"{late_minutes + 1} minutes").dropDuplicates(
-            [*D1_KEYS, "minute_ts"]
+        """Deduplicated, matched payments (D1 -> J2 -> J1) on streams.
+
+        D1 runs before the join (it commutes with it: the platform is a
+        function of the order id): a payment released from the join state
+        when its order finally arrives may be far behind the watermark, and
+        must still be counted. The join itself has no event-time condition,
+        so it drops nothing as late."""
+        p = (
+            payments_source(payments)
+            .withColumn("minute_ts", minute_start("create_time_ms"))
+            .withWatermark("minute_ts", f"{late_minutes + 1} minutes")
+            .dropDuplicates([*D1_KEYS, "minute_ts"])
         )
+        return match_payments_stream(p, orders, normalised=True)
 
     def start(self, payments: DataFrame, orders: DataFrame, checkpoint_root: str, trigger: dict | None = None):
         trig = trigger or {"availableNow": True}

@@ -21,8 +21,12 @@ from tallyflow.functions.time import event_time
 from tallyflow.sources.feeds import payments_source
 
 
-def match_payments_stream(payments: DataFrame, orders: DataFrame, horizon_minutes: int | None = None) -> DataFrame:
-    p = payments_source(payments)
+def match_payments_stream(
+    payments: DataFrame, orders: DataFrame, horizon_minutes: int | None = None, normalised: bool = False
+) -> DataFrame:
+    """``normalised=True`` when ``payments`` already went through
+    ``payments_source`` (e.g. deduplicated upstream)."""
+    p = payments if normalised else payments_source(payments)
     o = orders.select("order_id", "platform", F.col("create_time_ms").alias("order_time_ms"))
     if horizon_minutes is None:
         first = o.dropDuplicates(["order_id"]).select("order_id", "platform")
