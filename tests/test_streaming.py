@@ -260,3 +260,30 @@ def test_empty_batch_upsert_keeps_table_readable(spark):
     empty = MetricsTable(spark, shared_path(spark, "test_empty2", unique=True))
     empty.upsert(spark.createDataFrame([], kv), 0)
     assert empty.read().collect() == []
+
+
+def test_live_flow_counts_payment_released_long_after_its_minute(spark):
+    from tallyflow.streaming.live import LiveMetrics
+
+    ord_schema = "arrival long, order_id long, platform int, create_time_ms long"
+    pay_feed, ord_feed = shared_path(spark, "rel_pay", unique=True), shared_path(spark, "rel_ord", unique=True)
+    # batch 0: order 5's payment (minute 0) waits; order 6 and its payment are known.
+    _append(spark, pay_feed, [(1, 5, 4.00, 0, 0, T0 + 1_000)])
+    spark.createDataFrame([(2, 6, 1, T0)], ord_schema).write.mode("append").parquet(ord_feed)
+    # batch 1: order 6 pays two hours later: the watermark moves far past minute 0.
+    _append(spark, pay_feed, [(3, 6, 2.00, 0, 0, T0 + 120 * 60_000)])
+    spark.createDataFrame([(4, 7, 1, T0 + 120 * 60_000)], ord_schema).write.mode("append").parquet(ord_feed)
+    # batch 2: a filler payment, then order 5 finally arrives.
+    _append(spark, pay_feed, [(5, 6, 3.00, 0, 0, T0 + 121 * 60_000)])
+    spark.createDataFrame([(6, 5, 0, T0 + 121 * 60_000)], ord_schema).write.mode("append").parquet(ord_feed)
+    live = LiveMetrics(spark, shared_path(spark, "rel_out", unique=True), team="t")
+    for q in live.start(read_feed(spark, pay_feed, SCHEMA), read_feed(spark, ord_feed, ord_schema),
+                        shared_path(spark, "rel_ck", unique=True)):
+        q.awaitTermination()
+    m0 = T0 // 60_000
+    got = {r.key: r.value for r in live.metrics().collect() if r.key.startswith("platform")}
+    assert got == {
+        f"platformTaobao_t_{m0 * 60}": 4.0,
+        f"platformTmall_t_{(m0 + 120) * 60}": 2.0,
+        f"platformTmall_t_{(m0 + 121) * 60}": 3.0,
+    }
