@@ -40,13 +40,18 @@ def reconcile_order_payments(
     cents_mode: str = "exact",
     total_col: str = "total_price",
     amount_col: str = "pay_amount",
+    arrival_col: str | None = None,
 ) -> DataFrame:
     """Orders whose payments do not add up to the order total.
 
     Payments are summed per order first (map-side partial aggregation), so
     the join sees one row per paid order however skewed the payment keys.
-    Orders without any payment are reported with ``paid_cents = 0``.
+    Orders without any payment are reported with ``paid_cents = 0``. Orders
+    must be one row per id, or give ``arrival_col`` to keep the first order
+    of each id (J2).
     """
+    if arrival_col is not None:
+        orders = orders.groupBy("order_id").agg(F.min_by(total_col, arrival_col).alias(total_col))
     paid = payments.groupBy("order_id").agg(
         F.sum(to_cents(amount_col, cents_mode)).alias("paid_cents"),
         F.count(F.lit(1)).alias("n_payments"),

@@ -121,6 +121,9 @@ def test_reconciliation(orders, spark):
     o = orders.where("name <> 'o2'")
     bad = reconcile_order_payments(o, payments_df(spark)).collect()
     assert [(r.order_id, r.total_cents, r.paid_cents) for r in bad] == [(2, 1200, 1000)]
+    # With the repeated order o2 kept, J2 reduces it first.
+    bad = reconcile_order_payments(orders, payments_df(spark), arrival_col="arrival").collect()
+    assert [(r.order_id, r.total_cents, r.paid_cents) for r in bad] == [(2, 1200, 1000)]
 
 
 def test_metric_keys(spark):
