@@ -33,6 +33,12 @@ from tallyflow.streaming.turnover import ArrivalOrderRatio, turnover_metric_rows
 
 
 class LiveMetrics:
+    """Runs M1/M2 and M3 as two streaming queries over the same payment
+    stream and exposes the published metrics as one ``key, value`` frame.
+
+    ``payments``: payment columns plus ``arrival``; ``orders``: ``order_id,
+    platform, create_time_ms``. Works on file or Kafka streams alike."""
+
     def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
         self.spark = spark
         self.team = team
