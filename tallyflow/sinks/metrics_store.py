@@ -2,14 +2,16 @@
 an idempotent, log-structured upsert (K1).
 
 Plain parquet has no MERGE. Each micro-batch therefore writes only its own
-updates, reduced to one row per key, into ``deltas/batch=<id>`` (overwrite:
-a retried batch rewrites exactly its own folder, so replays are
-idempotent). A read resolves the newest value per key over the deltas with
-a hash aggregate (``max_by`` on the batch id, partial step map-side).
-``compact`` folds everything up to a batch into ``snapshots/at=<id>``;
-reads then start from the newest snapshot and prune older delta folders by
-partition. Deletions are tombstones, so they replay like any update.
-Writing costs O(updates of the batch), never O(table).
+updates, reduced to one row per key, into a delta folder named by its batch
+id (overwrite: a retried batch rewrites exactly its own folder, so replays
+are idempotent). A read resolves the newest value per key with a hash
+aggregate (``max_by`` on the batch id, partial step map-side).
+
+``compact`` folds everything up to a batch into ``snapshots/at=<id>`` and
+starts a new generation: later deltas go to ``deltas/gen=<id + 1>/``, so a
+read lists one snapshot and the deltas written since, never the whole
+history. Deletions are tombstones, so they replay like any update. Writing
+costs O(updates of the batch), never O(table).
 """
 
 from __future__ import annotations
@@ -79,8 +81,11 @@ class MetricsTable:
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def versions(self) -> list[int]:
-        """Batch ids written so far, oldest first."""
-        return self._list(self.deltas, "batch=")
+        """Batch ids written so far, oldest first (all generations)."""
+        out: list[int] = []
+        for gen in self._list(self.deltas, "gen="):
+            out.extend(self._list(f"{self.deltas}/gen={gen:012d}", "batch="))
+        return sorted(out)
 
     def _latest_snapshot(self, before: int | None) -> int | None:
         for sid in reversed(self._list(self.snapshots, "at=")):
@@ -88,19 +93,24 @@ class MetricsTable:
                 return sid
         return None
 
+    def _generation(self, snap: int | None) -> str:
+        return f"{self.deltas}/gen={0 if snap is None else snap + 1:012d}"
+
     def _entries(self, before: int | None = None) -> DataFrame:
-        """All (key, value, deleted, batch) entries visible before ``before``."""
+        """All (key, value, deleted, batch) entries visible before ``before``:
+        the newest snapshot older than it plus that generation's deltas."""
         schema = "key string, value double, deleted boolean"
         parts = []
         snap = self._latest_snapshot(before)
         if snap is not None:
             parts.append(
-                self.spark.read.schema(schema).parquet(f"{self.snapshots}/at={snap:012d}").withColumn("batch", F.lit(snap).cast("long"))
+                self.spark.read.schema(schema)
+                .parquet(f"{self.snapshots}/at={snap:012d}")
+                .withColumn("batch", F.lit(snap).cast("long"))
             )
-        if self.versions():
-            d = self.spark.read.schema(schema + ", batch long").option("basePath", self.deltas).parquet(self.deltas)
-            if snap is not None:
-                d = d.where(F.col("batch") > snap)
+        gen = self._generation(snap)
+        if self._list(gen, "batch="):
+            d = self.spark.read.schema(schema + ", batch long").option("basePath", gen).parquet(gen)
             if before is not None:
                 d = d.where(F.col("batch") < before)
             parts.append(d)
@@ -116,7 +126,8 @@ class MetricsTable:
         return _newest(self._entries(before))
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.deltas}/batch={batch_id:012d}")
+        gen = self._generation(self._latest_snapshot(before=batch_id))
+        rows.write.mode("overwrite").parquet(f"{gen}/batch={batch_id:012d}")
 
     def upsert(self, updates: DataFrame, batch_id: int, order_col: str | None = None) -> None:
         """Last write wins per key. With ``order_col`` the batch's updates are
@@ -138,7 +149,13 @@ class MetricsTable:
         )
 
     def compact(self, up_to_batch: int) -> None:
-        """Fold every entry up to ``up_to_batch`` into one snapshot."""
+        """Fold every entry up to ``up_to_batch`` into one snapshot and start
+        a new generation. ``up_to_batch`` must be the newest batch written
+        (the sinks compact right after writing it), or later deltas of the
+        current generation would be left behind."""
+        gen = self._generation(self._latest_snapshot(before=up_to_batch + 1))
+        if any(b > up_to_batch for b in self._list(gen, "batch=")):
+            raise ValueError(f"batches after {up_to_batch} exist; compact at the newest batch")
         snap = _newest(self._entries(before=up_to_batch + 1))
         snap.withColumn("deleted", F.lit(False)).write.mode("overwrite").parquet(
             f"{self.snapshots}/at={up_to_batch:012d}"

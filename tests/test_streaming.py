@@ -3,6 +3,8 @@ idempotent versioned upsert (K1)."""
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tallyflow.session import shared_path
@@ -120,10 +122,17 @@ def test_tombstones_and_compaction(spark):
     before = sorted(map(tuple, table.read().collect()))
     assert before == [("a", 5.0), ("c", 3.0)]
     assert sorted(map(tuple, table.read(before=2).collect())) == [("a", 1.0), ("c", 3.0)]
-    table.compact(1)
+    with pytest.raises(ValueError):
+        table.compact(1)  # batch 2 exists: compaction must cover the newest batch
+    table.compact(2)
     table.upsert(spark.createDataFrame([("b", 7.0)], kv), 3)
     assert sorted(map(tuple, table.read().collect())) == [("a", 5.0), ("b", 7.0), ("c", 3.0)]
     assert sorted(map(tuple, table.read(before=3).collect())) == before
+    assert sorted(map(tuple, table.read(before=2).collect())) == [("a", 1.0), ("c", 3.0)]
+    table.compact(3)  # a second generation
+    table.upsert(spark.createDataFrame([("c", 9.0)], kv), 4)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 5.0), ("b", 7.0), ("c", 9.0)]
+    assert table.versions() == [0, 1, 2, 3, 4]
 
 
 def test_arrival_order_ratio_adds_late_payment_to_current_minute(spark):
