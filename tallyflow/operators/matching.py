@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
+from tallyflow.operators.skew import AUTO, salted_join
 
 
 def _join(payments: DataFrame, orders: DataFrame, how: str, rows_per_task: int | None) -> DataFrame:
@@ -43,7 +43,7 @@ def match_payments(
     orders: DataFrame,
     arrival_col: str = "arrival",
     first: bool = True,
-    rows_per_task: int | None = DEFAULT_ROWS_PER_TASK,
+    rows_per_task: int | None = AUTO,
 ) -> DataFrame:
     """Every payment whose order exists, tagged with that order's platform.
 
@@ -57,7 +57,7 @@ def match_payments(
 
 
 def pending_payments(
-    payments: DataFrame, orders: DataFrame, rows_per_task: int | None = DEFAULT_ROWS_PER_TASK
+    payments: DataFrame, orders: DataFrame, rows_per_task: int | None = AUTO
 ) -> DataFrame:
     """Payments whose order has not arrived (the join's waiting buffer)."""
     ids = orders.select("order_id").distinct()
@@ -65,7 +65,7 @@ def pending_payments(
 
 
 def match_by_set(
-    payments: DataFrame, orders: DataFrame, rows_per_task: int | None = DEFAULT_ROWS_PER_TASK
+    payments: DataFrame, orders: DataFrame, rows_per_task: int | None = AUTO
 ) -> DataFrame:
     """Match against the two id sets; Taobao (0) is tested first, so an
     id present on both platforms counts as Taobao."""
@@ -77,7 +77,7 @@ def match_arrived(
     payments: DataFrame,
     orders: DataFrame,
     arrival_col: str = "arrival",
-    rows_per_task: int | None = DEFAULT_ROWS_PER_TASK,
+    rows_per_task: int | None = AUTO,
 ) -> DataFrame:
     """Per platform, keep a payment only if an order with its id had
     already arrived on that platform. An id on both platforms can match on

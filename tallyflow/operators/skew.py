@@ -29,15 +29,34 @@ DEFAULT_ROWS_PER_TASK = 5_000_000
 DEFAULT_SAMPLE_FRACTION = 1e-3
 DEFAULT_BUCKETS = 32
 
+# Session settings that override the defaults (e.g. smaller tasks).
+ROWS_PER_TASK_CONF = "spark.tallyflow.skew.rowsPerTask"
+SAMPLE_FRACTION_CONF = "spark.tallyflow.skew.sampleFraction"
+
+# ``rows_per_task=AUTO`` reads the session setting (default above).
+AUTO = -1
+
+
+def configured_rows_per_task(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK)))
+
+
+def configured_fraction(df: DataFrame) -> float:
+    return float(df.sparkSession.conf.get(SAMPLE_FRACTION_CONF, str(DEFAULT_SAMPLE_FRACTION)))
+
 
 def hot_keys(
     df: DataFrame,
     key: str,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-    fraction: float = DEFAULT_SAMPLE_FRACTION,
+    rows_per_task: int = AUTO,
+    fraction: float | None = None,
     seed: int = 17,
 ) -> DataFrame:
     """Ids estimated to hold more than ``rows_per_task`` rows."""
+    if rows_per_task == AUTO:
+        rows_per_task = configured_rows_per_task(df)
+    if fraction is None:
+        fraction = configured_fraction(df)
     min_hits = max(2, int(rows_per_task * fraction))
     return (
         df.select(key)
@@ -56,7 +75,7 @@ def salted_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     buckets: int = DEFAULT_BUCKETS,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    rows_per_task: int = AUTO,
 ) -> DataFrame:
     """``left.join(right, on, how)`` with the hot ids of ``left`` split
     across ``buckets`` tasks. ``right`` must be small per key (a reduced

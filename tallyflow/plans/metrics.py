@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyflow.operators.aggregates import device_minute_turnover, platform_minute_turnover
 from tallyflow.operators.dedup import D1_KEYS
 from tallyflow.operators.matching import first_orders
-from tallyflow.operators.skew import DEFAULT_BUCKETS, DEFAULT_ROWS_PER_TASK, hot_keys
+from tallyflow.operators.skew import AUTO, DEFAULT_BUCKETS, hot_keys
 from tallyflow.operators.windows import cumulative_turnover, wireless_pc_ratio
 from tallyflow.session import materialize
 from tallyflow.sources.feeds import payments_source
@@ -43,7 +43,7 @@ def platform_turnover(
     arrival_col: str = "arrival",
     cents_mode: str = "exact",
     dedup: bool = True,
-    rows_per_task: int | None = DEFAULT_ROWS_PER_TASK,
+    rows_per_task: int | None = AUTO,
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """M1/M2. Output: ``platform, minute, turnover_cents, turnover``.
