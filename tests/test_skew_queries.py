@@ -24,6 +24,8 @@ QUERIES = [
     "platform_minute_turnover_events",
     "minute_turnover_nodedup",
     "metrics_rows",
+    "stream_changed_payments",
+    "stream_metrics",
 ]
 
 
