@@ -23,7 +23,8 @@ def epoch_millis_ntz(ts: Column | str) -> Column:
 
 
 def minute_index(ms: Column | str) -> Column:
-    """epoch milliseconds -> minute number."""
+    """epoch milliseconds -> minute number (floor; the same as integer
+    division for every time after 1970)."""
     return F.floor(_c(ms) / F.lit(MILLIS_PER_MINUTE)).cast("long")
 
 
