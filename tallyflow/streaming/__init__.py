@@ -9,6 +9,7 @@ from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
     ArrivalOrderRatio,
     start_closed_minutes,
+    start_platform_turnover_upserts,
     start_turnover_upsert,
     turnover_metric_rows,
     turnover_stream,
@@ -21,6 +22,7 @@ __all__ = [
     "match_payments_stream",
     "read_feed",
     "start_closed_minutes",
+    "start_platform_turnover_upserts",
     "start_turnover_upsert",
     "turnover_metric_rows",
     "turnover_stream",

@@ -33,15 +33,24 @@ from tallyflow.sources.feeds import payments_source
 
 
 def turnover_stream(
-    payments: DataFrame, first_orders: DataFrame, late_minutes: int = LATE_MINUTES, cents_mode: str = "exact"
+    payments: DataFrame,
+    first_orders: DataFrame,
+    late_minutes: int = LATE_MINUTES,
+    cents_mode: str = "exact",
+    platform: int | None = None,
 ) -> DataFrame:
     """Streaming M1/M2: ``platform, minute, turnover_cents, turnover``.
 
     ``first_orders`` is the static side, re-read by every micro-batch: pass
     a materialised table (one row per order id), not an unevaluated plan
-    over the raw orders."""
+    over the raw orders. With ``platform`` only that platform's payments
+    reach the watermark, so lateness is judged against that platform's
+    newest minute (one query per platform, as the reference had one
+    counter per platform); without it the watermark spans both."""
     p = payments_source(payments, cents_mode).withColumn("minute_ts", minute_start("create_time_ms"))
     matched = p.join(first_orders.select("order_id", "platform"), "order_id", "inner")
+    if platform is not None:
+        matched = matched.where(F.col("platform") == F.lit(platform))
     distinct = matched.withWatermark("minute_ts", f"{late_minutes + 1} minutes").dropDuplicates(
         [*D1_KEYS, "minute_ts"]
     )
@@ -91,6 +100,30 @@ def start_turnover_upsert(
     )
 
 
+def start_platform_turnover_upserts(
+    payments: DataFrame,
+    first_orders: DataFrame,
+    tables: dict[int, MetricsTable],
+    checkpoint_root: str,
+    trigger: dict | None = None,
+    team: str = DEFAULT_TEAM,
+    late_minutes: int = LATE_MINUTES,
+):
+    """One turnover query per platform (``tables``: platform -> table), each
+    with its own watermark. Read the published metrics as the union of the
+    tables' ``read()``."""
+    return [
+        start_turnover_upsert(
+            turnover_stream(payments, first_orders, late_minutes, platform=plat),
+            table,
+            f"{checkpoint_root.rstrip('/')}/platform={plat}",
+            trigger,
+            team,
+        )
+        for plat, table in tables.items()
+    ]
+
+
 def start_closed_minutes(turnover: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Append mode into a parquet table; a minute appears once closed."""
     return (

@@ -296,3 +296,29 @@ def test_live_flow_counts_payment_released_long_after_its_minute(spark):
         f"platformTmall_t_{(m0 + 120) * 60}": 2.0,
         f"platformTmall_t_{(m0 + 121) * 60}": 3.0,
     }
+
+
+def test_per_platform_watermarks_judge_lateness_per_platform(spark):
+    from tallyflow.streaming.turnover import start_platform_turnover_upserts
+
+    feed = shared_path(spark, "test_pp", unique=True)
+    # order 1 is Taobao, order 2 Tmall. Taobao runs 30 minutes ahead of Tmall.
+    _append(spark, feed, [(1, 1, 1.00, 0, 0, T0 + 30 * 60_000 + 1_000), (2, 2, 2.00, 0, 0, T0 + 1_000)])
+    _append(spark, feed, [(3, 1, 1.00, 0, 0, T0 + 31 * 60_000 + 1_000)])  # filler
+    _append(spark, feed, [(4, 2, 5.00, 0, 0, T0 + 60_000 + 1_000)])  # Tmall minute 1: late only globally
+    orders = spark.createDataFrame([(1, 0), (2, 1)], "order_id long, platform int")
+    m0 = T0 // 60_000
+    tmall_key = f"platformTmall_t_{(m0 + 1) * 60}"
+    # One query over both platforms: Tmall minute 1 is behind the global watermark.
+    both = MetricsTable(spark, shared_path(spark, "pp_both", unique=True))
+    start_turnover_upsert(turnover_stream(read_feed(spark, feed, SCHEMA), orders), both,
+                          shared_path(spark, "ck", unique=True), team="t").awaitTermination()
+    assert tmall_key not in {r.key for r in both.read().collect()}
+    # One query per platform: Tmall's own newest minute is 1, nothing is late.
+    tables = {p: MetricsTable(spark, shared_path(spark, f"pp_{p}", unique=True)) for p in (0, 1)}
+    for q in start_platform_turnover_upserts(read_feed(spark, feed, SCHEMA), orders, tables,
+                                             shared_path(spark, "ck", unique=True), team="t"):
+        q.awaitTermination()
+    got = {r.key: r.value for t in tables.values() for r in t.read().collect()}
+    assert got[tmall_key] == 5.0 and got[f"platformTmall_t_{m0 * 60}"] == 2.0
+    assert got[f"platformTaobao_t_{(m0 + 30) * 60}"] == 1.0
