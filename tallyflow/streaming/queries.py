@@ -25,6 +25,7 @@ from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
     ArrivalOrderRatio,
     start_closed_minutes,
+    start_platform_turnover_upserts,
     start_turnover_upsert,
     turnover_stream,
 )
@@ -94,9 +95,20 @@ def q_stream_turnover(spark, sf):
 
 
 def q_stream_upsert(spark, sf):
-    """K1 with T7/T8 semantics: the whole feed is delivered twice; the
-    published table must equal the batch metrics."""
-    return _turnover_upsert(spark, sf, "stream_upsert", redelivered(payments_v(spark, sf)))
+    """K1 replay: the whole feed is delivered twice, through one turnover
+    query per platform (each with its own watermark, as the reference had
+    one counter per platform); the published tables must equal the batch
+    metrics."""
+    name = "stream_upsert"
+    stream = _replay(spark, name, redelivered(payments_v(spark, sf)))
+    tables = {p: MetricsTable(spark, shared_path(spark, name, f"table_{p}", unique=True)) for p in (0, 1)}
+    with _state_partitions(spark):
+        started = start_platform_turnover_upserts(
+            stream, _known_first_orders(spark, sf), tables, shared_path(spark, name, "checkpoint", unique=True)
+        )
+    for query in started:
+        _run(query)
+    return tables[0].read().unionByName(tables[1].read())
 
 
 def q_stream_closed_minutes(spark, sf):
