@@ -1,5 +1,6 @@
 """Sources: table views, message feeds (S1-S4, S6) and the delimited log."""
 
+from tallyflow.sources.bucketed import read_bucketed, write_bucketed
 from tallyflow.sources.delimited import (
     delimited_file_check,
     read_delimited_orders,
@@ -30,5 +31,7 @@ __all__ = [
     "read_table",
     "redelivered",
     "route_by_topic",
+    "write_bucketed",
     "write_delimited_orders",
+    "read_bucketed",
 ]

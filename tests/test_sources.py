@@ -88,3 +88,28 @@ def test_delimited_header_mismatch_is_reported(spark):
     check = delimited_file_check(spark, path).collect()
     assert [(r.declared, r.found, r.ok) for r in check] == [(3, 2, False)]
     assert sorted(r.platform for r in read_delimited_orders(spark, path).collect()) == [0, 1]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from tallyflow.operators import first_orders
+    from tallyflow.sources import orders_v, payments_li, write_bucketed
+
+    sf = "/root/testdata/sf0.01"
+    tag = shared_path(spark, "bucketed", unique=True).rsplit("/", 1)[-1]
+    p = write_bucketed(payments_li(spark, sf), f"pay_{tag}", shared_path(spark, "bucketed", tag, "pay"), 8)
+    o = write_bucketed(orders_v(spark, sf), f"ord_{tag}", shared_path(spark, "bucketed", tag, "ord"), 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = p.join(o.select("order_id", "platform"), "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        plain = payments_li(spark, sf).join(orders_v(spark, sf).select("order_id", "platform"), "order_id")
+        assert joined.count() == plain.count()
+        # J2 over the bucketed orders keeps their partitioning: still no shuffle.
+        j2 = p.join(first_orders(o, "create_time_ms").select("order_id", "platform"), "order_id")
+        assert "Exchange" not in j2._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
