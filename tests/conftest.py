@@ -13,10 +13,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tallyflow.session import build_session
 
-    extra = {}
+    scratch = tempfile.mkdtemp(prefix="tallyflow-test-")
+    # The catalog's default folder (bucketed tables register there) stays
+    # out of the working tree.
+    extra = {"spark.sql.warehouse.dir": f"{scratch}/warehouse"}
     # Tests own their checkpoint folder only when the environment names none.
     if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tallyflow-test-")
+        extra["spark.checkpoint.dir"] = f"{scratch}/checkpoints"
     s = build_session(master="local[*]", shuffle_partitions=8, extra=extra)
     yield s
     s.stop()
