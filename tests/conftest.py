@@ -15,11 +15,10 @@ def spark():
 
     scratch = tempfile.mkdtemp(prefix="tallyflow-test-")
     # The catalog's default folder (bucketed tables register there) stays
-    # out of the working tree.
+    # out of the working tree. The checkpoint folder is the one the
+    # environment names; only when none is named does the library create
+    # its own (tallyflow.session.shared_path).
     extra = {"spark.sql.warehouse.dir": f"{scratch}/warehouse"}
-    # Tests own their checkpoint folder only when the environment names none.
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = f"{scratch}/checkpoints"
     s = build_session(master="local[*]", shuffle_partitions=8, extra=extra)
     yield s
     s.stop()
