@@ -64,7 +64,10 @@ def platform_turnover(
         hot = F.broadcast(flags)  # bounded: at most rows / rows_per_task ids
         p = (
             p.join(hot, "order_id", "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*D1_KEYS), F.lit(buckets))).otherwise(F.lit(0)))
+            .withColumn(
+                "_salt",
+                F.when(F.col("_hot"), F.pmod(F.xxhash64(*D1_KEYS), F.lit(buckets))).otherwise(F.lit(0)),
+            )
             .drop("_hot")
             .repartition("order_id", "_salt")
         )

@@ -35,6 +35,7 @@ def match_payments_stream(
     p = p.withColumn("pay_ts", event_time("create_time_ms")).withWatermark("pay_ts", delay)
     o = o.withColumn("order_ts", event_time("order_time_ms")).withWatermark("order_ts", delay)
     first = o.dropDuplicatesWithinWatermark(["order_id"]).withColumnRenamed("order_id", "o_id")
-    bound = F.expr(f"pay_ts BETWEEN order_ts - INTERVAL {horizon_minutes} MINUTES AND order_ts + INTERVAL {horizon_minutes} MINUTES")
+    span = f"INTERVAL {horizon_minutes} MINUTES"
+    bound = F.expr(f"pay_ts BETWEEN order_ts - {span} AND order_ts + {span}")
     joined = p.join(first, (F.col("order_id") == F.col("o_id")) & bound, "inner")
     return joined.drop("o_id", "order_ts", "order_time_ms", "pay_ts")

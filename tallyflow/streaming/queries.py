@@ -118,7 +118,8 @@ def q_stream_closed_minutes(spark, sf):
     out = shared_path(spark, "stream_closed_minutes", "table", unique=True)
     turnover = turnover_stream(stream, _known_first_orders(spark, sf))
     with _state_partitions(spark):
-        query = start_closed_minutes(turnover, out, shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True))
+        checkpoint = shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True)
+        query = start_closed_minutes(turnover, out, checkpoint)
     _run(query)
     return spark.read.schema(turnover.schema).parquet(out)
 
@@ -139,7 +140,8 @@ def q_stream_changed_payments(spark, sf):
     out = shared_path(spark, "stream_changed_payments", "table", unique=True)
     changed = changed_payments_stream(stream)
     with _state_partitions(spark):
-        query = _start_parquet_sink(changed, out, shared_path(spark, "stream_changed_payments", "checkpoint", unique=True))
+        checkpoint = shared_path(spark, "stream_changed_payments", "checkpoint", unique=True)
+        query = _start_parquet_sink(changed, out, checkpoint)
     _run(query)
     return spark.read.schema(changed.schema).parquet(out)
 
@@ -153,7 +155,8 @@ def q_stream_matched_payments(spark, sf):
     )
     out = shared_path(spark, "stream_matched_payments", "table", unique=True)
     with _state_partitions(spark):
-        query = _start_parquet_sink(matched, out, shared_path(spark, "stream_matched_payments", "checkpoint", unique=True))
+        checkpoint = shared_path(spark, "stream_matched_payments", "checkpoint", unique=True)
+        query = _start_parquet_sink(matched, out, checkpoint)
     _run(query)
     return spark.read.schema(matched.schema).parquet(out)
 

@@ -19,6 +19,7 @@ def spark():
     # environment names; only when none is named does the library create
     # its own (tallyflow.session.shared_path).
     extra = {"spark.sql.warehouse.dir": f"{scratch}/warehouse"}
-    s = build_session(master="local[*]", shuffle_partitions=int(os.environ.get("TEST_SHUFFLE_PARTITIONS", "8")), extra=extra)
+    partitions = int(os.environ.get("TEST_SHUFFLE_PARTITIONS", "8"))
+    s = build_session(master="local[*]", shuffle_partitions=partitions, extra=extra)
     yield s
     s.stop()
