@@ -322,3 +322,21 @@ def test_per_platform_watermarks_judge_lateness_per_platform(spark):
     got = {r.key: r.value for t in tables.values() for r in t.read().collect()}
     assert got[tmall_key] == 5.0 and got[f"platformTmall_t_{m0 * 60}"] == 2.0
     assert got[f"platformTaobao_t_{(m0 + 30) * 60}"] == 1.0
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_periodic_snapshot_trigger(spark, mode):
+    feed = shared_path(spark, "test_periodic", unique=True)
+    for i, minute in enumerate([0, 1, 2]):
+        _append(spark, feed, [_pay(i, minute, 1.50)])
+    orders = spark.createDataFrame([(1, 0)], "order_id long, platform int")
+    table = MetricsTable(spark, shared_path(spark, "test_periodic_t", unique=True))
+    q = start_turnover_upsert(
+        turnover_stream(read_feed(spark, feed, SCHEMA), orders), table, shared_path(spark, "ck", unique=True),
+        trigger={"processingTime": "1 second"}, team="t", output_mode=mode,
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(v for _, v in map(tuple, table.read().collect())) == [1.5, 1.5, 1.5]
