@@ -340,3 +340,16 @@ def test_periodic_snapshot_trigger(spark, mode):
     finally:
         q.stop()
     assert sorted(v for _, v in map(tuple, table.read().collect())) == [1.5, 1.5, 1.5]
+
+
+def test_bounded_ingest_one_file_per_batch(spark):
+    feed = shared_path(spark, "test_s6", unique=True)
+    for i in range(4):
+        _append(spark, feed, [_pay(2 * i, i, 1.0), _pay(2 * i + 1, i, 2.0)])
+    out = shared_path(spark, "test_s6_out", unique=True)
+    q = (read_feed(spark, feed, SCHEMA, max_files_per_trigger=1).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", shared_path(spark, "ck", unique=True))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+    assert sizes == [2, 2, 2, 2]
