@@ -353,3 +353,48 @@ def test_bounded_ingest_one_file_per_batch(spark):
     q.awaitTermination()
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
     assert sizes == [2, 2, 2, 2]
+
+
+def test_topic_messages_through_the_live_flow(spark):
+    """Encoded messages on three topics (with end markers) -> decode ->
+    live flow; a file stream stands in for the broker."""
+    from tallyflow.constants import END_MARKER
+    from tallyflow.plans.metrics import platform_turnover, ratio_metric
+    from tallyflow.sinks import metrics_rows
+    from tallyflow.sources.topics import decode_orders, decode_payments
+    from tallyflow.streaming.live import LiveMetrics
+    from tests.fixture import orders_df, payments_df
+
+    pays, orders = payments_df(spark).drop("name"), orders_df(spark).drop("name")
+    pay_msgs = pays.select(
+        F.lit("pay").alias("topic"),
+        F.col("arrival").alias("offset"),
+        F.to_json(F.struct(
+            F.col("order_id").alias("orderId"), F.col("pay_amount").alias("payAmount"),
+            F.col("pay_source").alias("paySource"), F.col("pay_platform").alias("payPlatform"),
+            F.col("create_time_ms").alias("createTime"),
+        )).cast("binary").alias("value"),
+    )
+    order_msgs = orders.select(
+        F.when(F.col("platform") == 0, F.lit("tb")).otherwise(F.lit("tm")).alias("topic"),
+        F.col("arrival").alias("offset"),
+        F.to_json(F.struct(
+            F.col("order_id").alias("orderId"), F.col("create_time_ms").alias("createTime"),
+            F.col("total_price").alias("totalPrice"),
+        )).cast("binary").alias("value"),
+    )
+    markers = spark.createDataFrame(
+        [(t, 10_000, bytearray(END_MARKER)) for t in ("pay", "tb", "tm")], "topic string, offset long, value binary"
+    )
+    msgs = pay_msgs.unionByName(order_msgs).unionByName(markers)
+    feed = shared_path(spark, "topic_feed", unique=True)
+    for lo, hi in [(0, 30), (30, 700), (700, 20_000)]:
+        msgs.where(f"offset >= {lo} AND offset < {hi}").coalesce(1).write.mode("append").parquet(feed)
+    stream = read_feed(spark, feed, msgs.schema)
+    p = decode_payments(stream.where("topic = 'pay'")).withColumnRenamed("offset", "arrival")
+    o = decode_orders(stream, "tb", "tm").withColumnRenamed("offset", "arrival")
+    live = LiveMetrics(spark, shared_path(spark, "topic_live", unique=True), team="t")
+    for q in live.start(p, o, shared_path(spark, "topic_ck", unique=True)):
+        q.awaitTermination()
+    want = metrics_rows(platform_turnover(pays, orders), ratio_metric(pays), team="t")
+    assert sorted(map(tuple, live.metrics().collect())) == sorted(map(tuple, want.collect()))
