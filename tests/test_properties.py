@@ -44,7 +44,7 @@ def run(spark, pays, orders):
     return {(r.platform, r.minute): r.turnover_cents for r in platform_turnover(p, o).collect()}
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(PAY, min_size=1, max_size=25), st.lists(ORD, min_size=1, max_size=6), st.randoms())
 def test_turnover_is_replay_and_order_invariant(spark, pays, orders, rnd: random.Random):
     expected = brute(pays, orders)
