@@ -12,7 +12,9 @@ from tallyflow.sources.feeds import (
     feed_completion,
     orders_source,
     payments_source,
+    read_route,
     route_by_topic,
+    route_to_folders,
 )
 from tallyflow.sources.tables import orders_ev, orders_v, payments_li, payments_v, read_table, redelivered
 
@@ -31,6 +33,8 @@ __all__ = [
     "read_table",
     "redelivered",
     "route_by_topic",
+    "route_to_folders",
+    "read_route",
     "write_bucketed",
     "write_delimited_orders",
     "read_bucketed",

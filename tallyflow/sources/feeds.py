@@ -52,6 +52,19 @@ def route_by_topic(feed: DataFrame, topic_col: str = "topic") -> dict[str, DataF
     }
 
 
+def route_to_folders(feed: DataFrame, path: str, topic_col: str = "topic") -> str:
+    """S3 in one pass: write the mixed feed once, one folder per topic
+    (``<path>/<topic_col>=<topic>``). A consumer reading one topic back with
+    ``read_route`` prunes the other folders instead of re-scanning the feed."""
+    feed.write.mode("overwrite").partitionBy(topic_col).parquet(path)
+    return path
+
+
+def read_route(spark, path: str, topic: str, topic_col: str = "topic") -> DataFrame:
+    """One topic of a routed feed (partition pruning on ``topic_col``)."""
+    return spark.read.parquet(path).where(F.col(topic_col) == F.lit(topic))
+
+
 def is_end_marker(body_col: str = "body"):
     return F.col(body_col) == F.lit(END_MARKER)
 

@@ -113,3 +113,16 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
+
+
+def test_route_to_folders_prunes_other_topics(spark):
+    from tallyflow.sources import read_route, route_to_folders
+
+    feed = spark.createDataFrame(
+        [("pay", 1), ("taobao_orders", 2), ("tmall_orders", 3), ("pay", 4)], "topic string, id int"
+    )
+    path = route_to_folders(feed, shared_path(spark, "routes", unique=True))
+    pay = read_route(spark, path, "pay")
+    assert sorted(r.id for r in pay.collect()) == [1, 4]
+    plan = pay._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan
