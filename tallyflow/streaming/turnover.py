@@ -147,7 +147,8 @@ class ArrivalOrderRatio:
     running totals and upserts ``ratio_<team>_<secs>`` for every minute it
     touched. The state is three numbers, versioned by batch id next to the
     output (read as of the batches before it), so a retried batch starts
-    from the same state.
+    from the same state. The carried totals are stored as doubles, exact
+    up to 2^53 cents (about 9e13 in money).
     """
 
     def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
