@@ -37,7 +37,8 @@ class LiveMetrics:
     stream and exposes the published metrics as one ``key, value`` frame.
 
     ``payments``: payment columns plus ``arrival``; ``orders``: ``order_id,
-    platform, create_time_ms``. Works on file or Kafka streams alike."""
+    platform, create_time_ms``. Works on file or Kafka streams alike. The
+    cents table stores sums as doubles, exact up to 2^53 cents per minute."""
 
     def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
         self.spark = spark
