@@ -38,6 +38,7 @@ def turnover_stream(
     late_minutes: int = LATE_MINUTES,
     cents_mode: str = "exact",
     platform: int | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
     """Streaming M1/M2: ``platform, minute, turnover_cents, turnover``.
 
@@ -51,9 +52,11 @@ def turnover_stream(
     matched = p.join(first_orders.select("order_id", "platform"), "order_id", "inner")
     if platform is not None:
         matched = matched.where(F.col("platform") == F.lit(platform))
-    distinct = matched.withWatermark("minute_ts", f"{late_minutes + 1} minutes").dropDuplicates(
-        [*D1_KEYS, "minute_ts"]
-    )
+    # ``dedup=False`` is A3: every payment counts (published on close in
+    # append mode, as the unwired minute-close saver intended).
+    distinct = matched.withWatermark("minute_ts", f"{late_minutes + 1} minutes")
+    if dedup:
+        distinct = distinct.dropDuplicates([*D1_KEYS, "minute_ts"])
     agg = distinct.groupBy("platform", F.window("minute_ts", "1 minute").alias("w")).agg(
         F.sum("amount_cents").alias("turnover_cents")
     )

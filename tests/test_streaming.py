@@ -398,3 +398,16 @@ def test_topic_messages_through_the_live_flow(spark):
         q.awaitTermination()
     want = metrics_rows(platform_turnover(pays, orders), ratio_metric(pays), team="t")
     assert sorted(map(tuple, live.metrics().collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_turnover_without_dedup_counts_copies(spark):
+    feed = shared_path(spark, "test_a3", unique=True)
+    _append(spark, feed, [_pay(1, 0, 2.00), _pay(2, 0, 2.00)])  # a copy in the same minute
+    _append(spark, feed, [_pay(3, 9, 1.00)])  # closes minute 0 (watermark 9 - 6 = 3)
+    orders = spark.createDataFrame([(1, 0)], "order_id long, platform int")
+    out = shared_path(spark, "test_a3_out", unique=True)
+    q = start_closed_minutes(turnover_stream(read_feed(spark, feed, SCHEMA), orders, dedup=False), out,
+                             shared_path(spark, "ck", unique=True))
+    q.awaitTermination()
+    m0 = T0 // 60_000
+    assert [(r.minute - m0, r.turnover) for r in spark.read.parquet(out).collect()] == [(0, 4.0)]
