@@ -262,3 +262,11 @@ ORACLE_SQL["stream_closed_minutes"] = _q(
     "SELECT platform, minute, turnover_cents, turnover FROM t WHERE minute <= (SELECT MAX(minute) FROM t) - 7"
 )
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["metrics_rows"]
+# Streaming W3 publishes the batch W3 ratio of every minute under its key.
+ORACLE_SQL["stream_ratio_reset"] = _q(
+    _RESET_TMPL.format(src="pay_v").replace(
+        "\nSELECT COALESCE(pc.minute, wl.minute) AS minute,",
+        ",\nw3 AS (SELECT COALESCE(pc.minute, wl.minute) AS minute,",
+    )
+    + f")\nSELECT 'ratio_{DEFAULT_TEAM}_' || CAST(minute * 60 AS VARCHAR) AS key, ratio AS value FROM w3"
+)

@@ -5,6 +5,7 @@ whole live flow and the replay feeds used to test them."""
 from tallyflow.streaming.feeds import read_feed, write_feed
 from tallyflow.streaming.live import LiveMetrics
 from tallyflow.streaming.matching import match_payments_stream
+from tallyflow.streaming.reset_ratio import ResetRatioStream
 from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
     ArrivalOrderRatio,
@@ -18,6 +19,7 @@ from tallyflow.streaming.turnover import (
 __all__ = [
     "ArrivalOrderRatio",
     "LiveMetrics",
+    "ResetRatioStream",
     "changed_payments_stream",
     "match_payments_stream",
     "read_feed",

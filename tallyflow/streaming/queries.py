@@ -21,6 +21,7 @@ from tallyflow.sources.tables import orders_ev, payments_v, redelivered
 from tallyflow.streaming.feeds import read_feed, write_feed
 from tallyflow.streaming.live import LiveMetrics
 from tallyflow.streaming.matching import match_payments_stream
+from tallyflow.streaming.reset_ratio import ResetRatioStream
 from tallyflow.streaming.state import changed_payments_stream
 from tallyflow.streaming.turnover import (
     ArrivalOrderRatio,
@@ -173,7 +174,18 @@ def q_stream_metrics(spark, sf):
     return live.metrics()
 
 
+def q_stream_ratio_reset(spark, sf):
+    """W3 on a stream; equals the batch W3 when the feed is in order."""
+    stream = _replay(spark, "stream_ratio_reset", payments_v(spark, sf))
+    ratio = ResetRatioStream(spark, shared_path(spark, "stream_ratio_reset", "table", unique=True))
+    with _state_partitions(spark):
+        query = ratio.start(stream, shared_path(spark, "stream_ratio_reset", "checkpoint", unique=True))
+    _run(query)
+    return ratio.table.read()
+
+
 STREAM_QUERIES = {
+    "stream_ratio_reset": q_stream_ratio_reset,
     "stream_metrics": q_stream_metrics,
     "stream_matched_payments": q_stream_matched_payments,
     "stream_turnover": q_stream_turnover,

@@ -411,3 +411,27 @@ def test_stream_turnover_without_dedup_counts_copies(spark):
     q.awaitTermination()
     m0 = T0 // 60_000
     assert [(r.minute - m0, r.turnover) for r in spark.read.parquet(out).collect()] == [(0, 4.0)]
+
+
+def test_reset_ratio_stream_equals_batch_across_batches(spark):
+    from tallyflow.operators import wireless_pc_ratio_reset
+    from tallyflow.sources import payments_source
+    from tallyflow.streaming.reset_ratio import ResetRatioStream
+
+    feed = shared_path(spark, "test_w3", unique=True)
+    batches = [
+        [(1, 1, 10.00, 0, 0, 0), (2, 1, 5.00, 0, 0, 1)],  # PC minutes 0, 1
+        [(3, 1, 3.00, 0, 1, 1), (4, 1, 1.00, 0, 0, 2)],  # minute 1 spans batches; PC run continues
+        [(5, 1, 2.00, 0, 1, 4), (6, 1, 4.00, 0, 0, 5)],  # gap: runs restart
+    ]
+    rows = []
+    for batch in batches:
+        data = [(a, o, amt, src, dev, T0 + m * 60_000 + 1_000) for a, o, amt, src, dev, m in batch]
+        rows += data
+        _append(spark, feed, data)
+    w3 = ResetRatioStream(spark, shared_path(spark, "test_w3_out", unique=True), team="team")
+    w3.start(read_feed(spark, feed, SCHEMA), shared_path(spark, "ck", unique=True)).awaitTermination()
+    got = {r.key: r.value for r in w3.table.read().collect()}
+    batch = wireless_pc_ratio_reset(payments_source(spark.createDataFrame(rows, SCHEMA)))
+    want = {f"ratio_team_{r.minute * 60}": r.ratio for r in batch.collect()}
+    assert got == want and len(got) == 5
