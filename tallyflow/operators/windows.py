@@ -128,23 +128,25 @@ def _java_div(num: Column, den: Column) -> Column:
     )
 
 
-def island_totals(device_minute_rows: DataFrame, by: str = "device") -> DataFrame:
+def island_totals(device_minute_rows: DataFrame, by: str = "device", checkpoint: bool = True) -> DataFrame:
     """Per ``by`` and minute: the total since the start of the current run of
     consecutive minutes (a missing minute restarts it).
 
     Input: ``<by>, minute, cents`` with one row per present (by, minute).
-    Output adds ``run_cents``.
+    Output adds ``run_cents``. ``checkpoint=False`` recomputes the shared
+    intermediate instead of checkpointing it (for per-micro-batch use, where
+    the input is small and a checkpoint per batch would pile up).
     """
     present = device_minute_rows.select(by, "minute", "cents")
     prefix = running_aggregate(present, "minute", ["cents"], by=(by,), suffix="_pre")
     prev = present.select(by, (F.col("minute") + 1).alias("minute"), F.lit(True).alias("_has_prev"))
     # Read by two branches below; one row per (by, minute), so it is
     # materialised once rather than recomputed per branch.
-    flagged = materialize(
-        prefix.join(prev, [by, "minute"], "left").withColumn(
-            "_start", F.when(F.col("_has_prev").isNull(), F.col("minute"))
-        )
+    flagged = prefix.join(prev, [by, "minute"], "left").withColumn(
+        "_start", F.when(F.col("_has_prev").isNull(), F.col("minute"))
     )
+    if checkpoint:
+        flagged = materialize(flagged)
     with_start = running_aggregate(
         flagged.select(by, "minute", "cents", "cents_pre", "_start"),
         "minute",

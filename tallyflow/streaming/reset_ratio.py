@@ -50,7 +50,7 @@ class ResetRatioStream:
         if carry:
             per = per.unionByName(self.spark.createDataFrame(carry, "device int, minute long, cents long"))
             per = per.groupBy("device", "minute").agg(F.sum("cents").alias("cents"))
-        runs = island_totals(per, "device")
+        runs = island_totals(per, "device", checkpoint=False)
         pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
         wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
         both = touched.join(pc, "minute", "left").join(wl, "minute", "left")
