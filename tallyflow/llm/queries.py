@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyflow.llm import exact_dedup, mixing, sharding
+from tallyflow.llm import exact_dedup, language_id, mixing, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op8_mixing": mixing.op8_mixing,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 #: Operators without an entry here are tested against a brute-force version.
