@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyflow.llm import exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, mixing, sharding
+from tallyflow.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, mixing, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_mixing": mixing.op8_mixing,
     "op9_language_id": language_id.op9_language_id,
