@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from tallyflow.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, lm_scoring, mixing, sharding
+from tallyflow.llm import (
+    chat_format,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    license_scan,
+    lm_scoring,
+    mixing,
+    sharding,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_chat_format": chat_format.op2_chat_format,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_warc": warc.op6_warc,
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_mixing": mixing.op8_mixing,
     "op9_language_id": language_id.op9_language_id,
@@ -18,6 +31,7 @@ QUERIES = {
 #: Operators without an entry here are tested against a brute-force version.
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op6_warc": warc.SQL,
     "op8_mixing": mixing.SQL,
     "op10_lm_scoring": lm_scoring.SQL,
 }
