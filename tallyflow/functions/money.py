@@ -38,26 +38,83 @@ def from_cents(cents: Column | str) -> Column:
 
 
 # --- F8: exact arithmetic ---------------------------------------------------
-# Operands go through decimals (Spark's double -> decimal cast uses the
-# shortest decimal representation of the double), the operation is exact in
-# decimal, and the result is converted back to double once. The operand types
-# are chosen so the result type keeps every digit for values below 1e10 with
-# up to 9 decimals (add/sub keep 17 decimals).
+# A double stands for its shortest decimal form. Where both operands have at
+# most 9 decimals and fewer than 10 digits before the point, they are small
+# decimals and the operation is one decimal operation. Everything else goes
+# through (integer digits, power of ten): the digits are combined exactly and
+# the result is read back as a double once, so no operand is ever rounded.
+# What 38 digits cannot hold (a quotient whose scale asks for more) is an
+# error, never a rounded value. NaN and infinities are errors too.
 
-_ADD_T = DecimalType(38, 18)
-_MUL_T = DecimalType(19, 9)
+_SMALL_T = DecimalType(19, 9)
+_INT_T = DecimalType(38, 0)
+
+
+def _small(v: Column) -> Column:
+    """The operand as a small decimal; null when it is not exactly one."""
+    d = v.try_cast(_SMALL_T)
+    return F.when(d.cast("double") == v, d)
+
+
+def _parts(v: Column) -> tuple[Column, Column]:
+    """(digits, exponent): v = digits * 10 ** exponent."""
+    text = v.cast("string")
+    mantissa = F.regexp_extract(text, r"^(-?[0-9]+\.[0-9]+)", 1)
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1)
+    decimals = F.length(F.substring_index(mantissa, ".", -1))
+    digits = F.when(text.isNull(), F.lit(None)).otherwise(
+        F.coalesce(
+            F.translate(mantissa, ".", "").try_cast(_INT_T), F.raise_error(F.concat(F.lit("not a number: "), text)).cast(_INT_T)
+        )
+    )
+    return digits, F.coalesce(power.try_cast("int"), F.lit(0)) - decimals
+
+
+def _double(digits: Column, exponent: Column) -> Column:
+    return F.concat(digits.cast("string"), F.lit("E"), exponent.cast("string")).cast("double")
+
+
+def _fits(digits: Column, by: Column) -> Column:
+    """Whether digits * 10 ** by has at most 37 digits."""
+    return F.length(F.abs(digits).cast("string")) + by <= 37
+
+
+def _shifted(digits: Column, by: Column) -> Column:
+    """digits * 10 ** by, for by >= 0 that fits."""
+    return (digits * F.rpad(F.lit("1"), by + 1, "0").cast(_INT_T)).cast(_INT_T)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    sa, sb = _small(a), _small(b)
+    (da, ea), (db, eb) = _parts(a), _parts(b)
+    gap = ea - eb
+    # Digits that do not fit after alignment: the other operand's first digit
+    # is 20 places below, where it changes nothing in a double.
+    aligned = (
+        F.when(da == 0, b)
+        .when(db == 0, a)
+        .when((gap >= 0) & ~_fits(da, gap), a)
+        .when((gap < 0) & ~_fits(db, -gap), b)
+        .when(gap >= 0, _double(_shifted(da, gap) + db, eb))
+        .otherwise(_double(da + _shifted(db, -gap), ea))
+    )
+    return F.when(sa.isNotNull() & sb.isNotNull(), (sa + sb).cast("double")).otherwise(aligned)
 
 
 def exact_add(a: Column | str, b: Column | str) -> Column:
-    return (_c(a).cast(_ADD_T) + _c(b).cast(_ADD_T)).cast("double")
+    return _sum(_c(a), _c(b))
 
 
 def exact_sub(a: Column | str, b: Column | str) -> Column:
-    return (_c(a).cast(_ADD_T) - _c(b).cast(_ADD_T)).cast("double")
+    return _sum(_c(a), -_c(b))
 
 
 def exact_mul(a: Column | str, b: Column | str) -> Column:
-    return (_c(a).cast(_MUL_T) * _c(b).cast(_MUL_T)).cast("double")
+    a, b = _c(a), _c(b)
+    sa, sb = _small(a), _small(b)
+    (da, ea), (db, eb) = _parts(a), _parts(b)
+    wide = _double(da.cast(DecimalType(18, 0)) * db.cast(DecimalType(18, 0)), ea + eb)
+    return F.when(sa.isNotNull() & sb.isNotNull(), (sa * sb).cast("double")).otherwise(wide)
 
 
 def exact_div(a: Column | str, b: Column | str, scale: int = DEFAULT_DIV_SCALE) -> Column:
@@ -68,12 +125,27 @@ def exact_div(a: Column | str, b: Column | str, scale: int = DEFAULT_DIV_SCALE)
     """
     if scale < 0:
         raise ValueError("scale must be a positive integer or zero")
-    q = _c(a).cast(_MUL_T) / _c(b).cast(_MUL_T)
-    return F.round(q, scale).cast("double")
+    a, b = _c(a), _c(b)
+    (da, ea), (db, eb) = _parts(a), _parts(b)
+    # a / b * 10 ** scale = da * 10 ** by / db, rounded to an integer.
+    by = ea - eb + F.lit(scale)
+    over = F.raise_error(F.lit("the quotient has more digits than 38")).cast(_INT_T)
+    num = F.when(by <= 0, da).when(_fits(da, by), _shifted(da, by)).otherwise(over)
+    den = F.when(by >= 0, db).when(_fits(db, -by), _shifted(db, -by)).otherwise(F.lit(None).cast(_INT_T))
+    n, d = F.abs(num), F.abs(den)
+    rest = n % d
+    whole = ((n - rest) / d).cast(_INT_T) + F.when(rest >= d - rest, F.lit(1)).otherwise(F.lit(0))
+    sign = F.when((da < 0) != (db < 0), F.lit("-")).otherwise(F.lit(""))
+    rounded = F.concat(sign, whole.cast("string"), F.lit(f"E-{scale}")).cast("double")
+    return (
+        F.when(db == 0, a / b)
+        .when((da == 0) | ((by < 0) & ~_fits(db, -by) & da.isNotNull()), F.lit(0.0))  # far below half a unit
+        .otherwise(rounded)
+    )
 
 
 def exact_round(v: Column | str, scale: int) -> Column:
     """Round HALF_UP on the decimal form of the double."""
     if scale < 0:
         raise ValueError("scale must be a positive integer or zero")
-    return F.round(_c(v).cast(_ADD_T), scale).cast("double")
+    return exact_div(v, F.lit(1.0), scale)
