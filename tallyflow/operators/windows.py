@@ -29,6 +29,14 @@ def _block(order_col: str, block: int) -> Column:
     return F.floor(F.col(order_col) / F.lit(block)).cast("long")
 
 
+def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of its block. A null key or order value
+    forms a group and a block of its own, so no row is lost."""
+    right = blocks.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), *(c for c in blocks.columns if c not in keys))
+    on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    return rows.join(right, on, "inner").drop(*(f"_r{i}" for i in range(len(keys))))
+
+
 def running_aggregate(
     df: DataFrame,
     order_col: str,
@@ -37,12 +45,15 @@ def running_aggregate(
     block: int = MINUTES_PER_DAY,
     how: str = "sum",
     suffix: str = "",
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """Running ``sum`` or ``max`` of ``value_cols`` over ``order_col`` (rows
     up to and including the current one), per ``by`` group, in two levels.
 
     Output columns are named ``<value><suffix>``; with an empty suffix the
-    input columns are replaced.
+    input columns are replaced. ``ties`` order rows of an equal order value
+    (without them such rows may be taken in any order). Rows with a null
+    order value come first.
     """
     if how not in ("sum", "max"):
         raise ValueError(how)
@@ -50,7 +61,7 @@ def running_aggregate(
     d = df.withColumn("_blk", _block(order_col, block))
     w_in = (
         Window.partitionBy(*by, "_blk")
-        .orderBy(order_col)
+        .orderBy(order_col, *ties)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inner = d.select(*d.columns, *[fn(v).over(w_in).alias(f"_in_{v}") for v in value_cols])
@@ -61,7 +72,7 @@ def running_aggregate(
     offsets = per_block.select(
         *by, "_blk", *[fn(f"_b_{v}").over(w_b).alias(f"_o_{v}") for v in value_cols]
     )
-    out = inner.join(offsets, [*by, "_blk"], "inner")
+    out = _join_blocks(inner, offsets, [*by, "_blk"])
     for v in value_cols:
         inn, off = F.col(f"_in_{v}"), F.col(f"_o_{v}")
         combined = inn + F.coalesce(off, F.lit(0)) if how == "sum" else F.greatest(inn, off)
@@ -79,19 +90,20 @@ def previous_value(
 ) -> DataFrame:
     """``lag(value)`` per key in ``order_col`` order, in two levels.
 
-    Level 1 takes the lag inside (key, block of ``order_col``). The first row
+    Rows of an equal order value are taken by value, and rows with a null
+    one come first. Level 1 takes the lag inside (key, block of ``order_col``). The first row
     of a block takes the last value of the key's nearest earlier non-empty
     block, found by a lag over the one-row-per-(key, block) tails table.
     """
     d = df.withColumn("_blk", _block(order_col, block))
-    w_in = Window.partitionBy(*key_cols, "_blk").orderBy(order_col)
+    w_in = Window.partitionBy(*key_cols, "_blk").orderBy(order_col, value_col)
     inner = d.withColumn("_lag_in", F.lag(value_col).over(w_in)).withColumn(
         "_first_in_blk", F.row_number().over(w_in) == 1
     )
-    tails = d.groupBy(*key_cols, "_blk").agg(F.max_by(value_col, order_col).alias("_tail"))
+    tails = d.groupBy(*key_cols, "_blk").agg(F.max_by(value_col, F.struct(order_col, value_col)).alias("_tail"))
     w_t = Window.partitionBy(*key_cols).orderBy("_blk")
     tails = tails.select(*key_cols, "_blk", F.lag("_tail").over(w_t).alias("_prev_tail"))
-    out = inner.join(tails, [*key_cols, "_blk"], "inner").withColumn(
+    out = _join_blocks(inner, tails, [*key_cols, "_blk"]).withColumn(
         out_col, F.when(F.col("_first_in_blk"), F.col("_prev_tail")).otherwise(F.col("_lag_in"))
     )
     return out.drop("_blk", "_lag_in", "_first_in_blk", "_prev_tail")

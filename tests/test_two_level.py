@@ -45,3 +45,17 @@ def test_island_totals(spark):
     pdf = pd.DataFrame({"device": [0] * len(minutes), "minute": minutes, "cents": [1, 2, 3, 4, 5, 6, 7, 8, 9]})
     got = island_totals(spark.createDataFrame(pdf), "device").orderBy("minute").toPandas()
     assert got["run_cents"].tolist() == [1, 3, 6, 4, 9, 6, 13, 21, 30]
+
+
+def test_rows_with_null_keys_or_order_values_stay(spark):
+    from tallyflow.operators import changed_payments
+    from tallyflow.operators.windows import running_aggregate
+
+    schema = "arrival long, order_id long, minute long, amount_cents long, pay_source int, pay_platform int"
+    rows = [(1, 1, 5, 100, 0, 0), (2, None, 5, 200, 0, 0), (3, None, 5, 300, 0, 0), (None, 1, 5, 400, 0, 0), (4, None, 5, 300, 0, 0)]
+    got = changed_payments(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(r.amount_cents for r in got) == [100, 200, 300, 400]
+    total = running_aggregate(spark.createDataFrame(rows, schema), "arrival", ["amount_cents"], suffix="_run", block=2)
+    assert sorted((r.amount_cents, r.amount_cents_run) for r in total.collect()) == [
+        (100, 500), (200, 700), (300, 1000), (300, 1300), (400, 400)
+    ]
