@@ -13,11 +13,13 @@ join reuses (or AQE broadcasts it when it measures small).
 
 One shuffle on the id would put a hot id's rows in one task. Hot ids are
 therefore found first (a sample of the ``order_id`` column, checkpointed,
-at most rows / ``rows_per_task`` ids) and salted: their payments spread
-over ``buckets`` salt values derived from the five D1 fields (so copies of
-a payment share a salt and D1 stays exact), and their single order row is
-replicated per salt. The shuffle key becomes (order_id, salt). With no hot
-id the plain plan runs. ``rows_per_task=None`` skips the detection.
+about rows / ``rows_per_task`` ids at most) and salted: their payments spread
+over as many salt values as their estimated rows need, derived from the five
+D1 fields (so copies of a payment share a salt and D1 stays exact), and their
+single order row is replicated per salt. The shuffle key becomes (order_id,
+salt), after a first distinct (or sum) whose map side combines what a task
+has of a payment. With no hot id the plain plan runs.
+``rows_per_task=None`` skips the detection.
 
 M3 (ratio): payments only (no join, no dedup) -> A2 per minute -> W1
 running totals (two-level, parallel per day) -> W2.
@@ -29,11 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.operators.aggregates import device_minute_turnover, platform_minute_turnover
-from tallyflow.operators.dedup import D1_KEYS
+from tallyflow.operators.dedup import D1_KEYS, distinct_payments
 from tallyflow.operators.matching import first_orders
-from tallyflow.operators.skew import AUTO, DEFAULT_BUCKETS, hot_keys
+from tallyflow.operators.skew import AUTO, hot_keys, hot_table, per_salt, salted
 from tallyflow.operators.windows import cumulative_turnover, wireless_pc_ratio
-from tallyflow.session import materialize
 from tallyflow.sources.feeds import payments_source
 
 
@@ -44,42 +45,39 @@ def platform_turnover(
     cents_mode: str = "exact",
     dedup: bool = True,
     rows_per_task: int | None = AUTO,
-    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """M1/M2. Output: ``platform, minute, turnover_cents, turnover``.
 
     ``dedup=False`` gives A3 (sum without D1)."""
     p = payments_source(payments, cents_mode).select(*D1_KEYS)
     first = first_orders(orders, arrival_col).select("order_id", "platform")
-    flags = None
-    if rows_per_task is not None:
-        flags = materialize(hot_keys(p, "order_id", rows_per_task).distinct().withColumn("_hot", F.lit(True)))
-        if flags.isEmpty():
-            flags = None
-    if flags is None:
+    table = None if rows_per_task is None else hot_table(hot_keys(p, "order_id", rows_per_task))
+    if table is None:
         keys = ["order_id"]
         p = p.repartition("order_id")
     else:
         keys = ["order_id", "_salt"]
-        hot = F.broadcast(flags)  # bounded: at most rows / rows_per_task ids
-        p = (
-            p.join(hot, "order_id", "left")
-            .withColumn(
-                "_salt",
-                F.when(F.col("_hot"), F.pmod(F.xxhash64(*D1_KEYS), F.lit(buckets))).otherwise(F.lit(0)),
-            )
-            .drop("_hot")
-            .repartition("order_id", "_salt")
-        )
-        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-        first = first.join(hot, "order_id", "left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    if dedup:
-        p = p.dropDuplicates([*D1_KEYS, *keys[1:]])
+        p = salted(p, table, "order_id", D1_KEYS)
+        # Copies of a payment share a salt: a map-side distinct (or sum) per
+        # task comes before the shuffle, so the copies of one payment do not
+        # travel one by one to the task of their salt.
+        if dedup:
+            p = p.dropDuplicates([*D1_KEYS, "_salt"])
+        else:
+            p = p.groupBy(*keys, "minute").agg(F.sum("amount_cents").alias("amount_cents"))
+        p = p.repartition(*keys)
+        first = per_salt(first, table, "order_id")
+    if dedup and table is None:
+        p = p.dropDuplicates(D1_KEYS)
     per_order = p.groupBy(*keys, "minute").agg(F.sum("amount_cents").alias("amount_cents"))
     return platform_minute_turnover(per_order.join(first, keys, "inner"))
 
 
-def ratio_metric(payments: DataFrame, cents_mode: str = "exact") -> DataFrame:
-    """M3. Output: ``minute, pc_cents, wl_cents, cum_pc_cents, cum_wl_cents, ratio``."""
+def ratio_metric(payments: DataFrame, cents_mode: str = "exact", dedup: bool = False) -> DataFrame:
+    """M3. Output: ``minute, pc_cents, wl_cents, cum_pc_cents, cum_wl_cents, ratio``.
+
+    ``dedup=True`` counts payments equal on the D1 fields once, as M1/M2 do."""
     p = payments_source(payments, cents_mode)
+    if dedup:
+        p = distinct_payments(p)
     return wireless_pc_ratio(cumulative_turnover(device_minute_turnover(p)))
