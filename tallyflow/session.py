@@ -1,12 +1,13 @@
 """Session settings and the shared working folder.
 
 Jobs that must cut lineage or materialise an intermediate table write under
-the folder the cluster names in ``spark.checkpoint.dir``. A private folder
-is created only when that setting is absent (local tests).
+the folder the cluster names in ``spark.checkpoint.dir``. Without that
+setting a local master gets a private folder; on a cluster it is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,8 +19,9 @@ RUNTIME_CONF = {
     # The reference has no zone logic; minutes are epoch-based.
     "spark.sql.session.timeZone": "UTC",
     # Adaptive execution: coalesce small shuffle partitions, split skewed
-    # join partitions, and turn a shuffle join into a broadcast join only when
-    # the measured (not estimated) size of a side is under the threshold.
+    # join partitions, and turn a shuffle join into a broadcast join when the
+    # measured size of a side is under the threshold. (The planner's own
+    # threshold, on estimated sizes, stays as the cluster sets it.)
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -71,7 +73,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only reached in local tests: the cluster always names a shared folder.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
