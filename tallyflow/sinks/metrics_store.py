@@ -68,12 +68,8 @@ class MetricsTable:
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
             return []
-        ids = []
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            if name.startswith(prefix):
-                ids.append(int(name[len(prefix):]))
-        return sorted(ids)
+        names = (status.getPath().getName() for status in fs.listStatus(path))
+        return sorted(int(name[len(prefix):]) for name in names if name.startswith(prefix))
 
     def _committed(self, folder: str) -> bool:
         jvm = self.spark.sparkContext._jvm
@@ -96,12 +92,13 @@ class MetricsTable:
     def _generation(self, snap: int | None) -> str:
         return f"{self.deltas}/gen={0 if snap is None else snap + 1:012d}"
 
-    def _entries(self, before: int | None = None) -> DataFrame:
+    def _entries(self, before: int | None = None, snapshot_before: int | None = None) -> DataFrame:
         """All (key, value, deleted, batch) entries visible before ``before``:
-        the newest snapshot older than it plus that generation's deltas."""
+        the newest snapshot older than it (or than ``snapshot_before``) plus
+        that generation's deltas."""
         schema = "key string, value double, deleted boolean"
         parts = []
-        snap = self._latest_snapshot(before)
+        snap = self._latest_snapshot(before if snapshot_before is None else snapshot_before)
         if snap is not None:
             parts.append(
                 self.spark.read.schema(schema)
@@ -121,9 +118,14 @@ class MetricsTable:
             out = out.unionByName(p)
         return out
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Current ``(key, value)`` rows: newest entry per key, tombstones dropped."""
-        return _newest(self._entries(before))
+    def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """Current ``(key, value)`` rows: newest entry per key, tombstones
+        dropped. With ``keys`` (one column, ``key``) only those, filtered
+        before the newest entries are found."""
+        entries = self._entries(before)
+        if keys is not None:
+            entries = entries.join(keys, "key", "left_semi")
+        return _newest(entries)
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         gen = self._generation(self._latest_snapshot(before=batch_id))
@@ -152,11 +154,13 @@ class MetricsTable:
         """Fold every entry up to ``up_to_batch`` into one snapshot and start
         a new generation. ``up_to_batch`` must be the newest batch written
         (the sinks compact right after writing it), or later deltas of the
-        current generation would be left behind."""
-        gen = self._generation(self._latest_snapshot(before=up_to_batch + 1))
+        current generation would be left behind. A snapshot that this batch
+        has committed before (a retried batch) is written again from the
+        entries that it was made of, not from itself."""
+        gen = self._generation(self._latest_snapshot(before=up_to_batch))
         if any(b > up_to_batch for b in self._list(gen, "batch=")):
             raise ValueError(f"batches after {up_to_batch} exist; compact at the newest batch")
-        snap = _newest(self._entries(before=up_to_batch + 1))
+        snap = _newest(self._entries(before=up_to_batch + 1, snapshot_before=up_to_batch))
         snap.withColumn("deleted", F.lit(False)).write.mode("overwrite").parquet(
             f"{self.snapshots}/at={up_to_batch:012d}"
         )
