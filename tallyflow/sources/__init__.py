@@ -3,6 +3,7 @@
 from tallyflow.sources.bucketed import read_bucketed, write_bucketed
 from tallyflow.sources.delimited import (
     delimited_file_check,
+    delimited_rejects,
     read_delimited_orders,
     write_delimited_orders,
 )
@@ -16,11 +17,12 @@ from tallyflow.sources.feeds import (
     route_by_topic,
     route_to_folders,
 )
-from tallyflow.sources.tables import orders_ev, orders_v, payments_li, payments_v, read_table, redelivered
+from tallyflow.sources.tables import orders_ev, orders_v, payments_li, payments_v, read_table, redelivered, redelivered_soon
 
 __all__ = [
     "bounded_ingest_options",
     "delimited_file_check",
+    "delimited_rejects",
     "drop_end_markers",
     "feed_completion",
     "orders_ev",
@@ -32,6 +34,7 @@ __all__ = [
     "read_delimited_orders",
     "read_table",
     "redelivered",
+    "redelivered_soon",
     "route_by_topic",
     "route_to_folders",
     "read_route",

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallyflow.constants import RECORD_SEPARATOR
 
@@ -27,6 +27,7 @@ ORDER_BODY_SCHEMA = StructType(
 )
 
 _HEADER = r"^[0-9]+$"
+_CORRUPT = "_corrupt"
 
 
 def write_delimited_orders(orders: DataFrame, path: str, n_files: int | None = None) -> str:
@@ -67,14 +68,28 @@ def _raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record with its platform digit and decoded body; ``ok`` is false
+    for a record without a platform digit or with a body that is not one."""
+    rec = _raw(spark, path).where(~F.col("value").rlike(_HEADER))
+    schema = StructType([*ORDER_BODY_SCHEMA.fields, StructField(_CORRUPT, StringType())])
+    body = F.from_json(F.expr("substring(value, 2)"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    platform = F.substring("value", 1, 1).try_cast("int")
+    whole = F.col(f"b.{_CORRUPT}").isNull() & F.col("b.order_id").isNotNull()
+    return rec.select("value", "file", platform.alias("platform"), body.alias("b")).withColumn(
+        "ok", F.coalesce(F.col("platform").isNotNull() & F.col("b").isNotNull() & whole, F.lit(False))
+    )
+
+
 def read_delimited_orders(spark: SparkSession, path: str) -> DataFrame:
-    """Decode every record: platform digit + JSON body."""
-    raw = _raw(spark, path)
-    rec = raw.where(~F.col("value").rlike(_HEADER))
-    body = F.from_json(F.expr("substring(value, 2)"), ORDER_BODY_SCHEMA)
-    return rec.select(
-        F.substring("value", 1, 1).cast("int").alias("platform"), body.alias("b")
-    ).select("platform", "b.*")
+    """The orders of every record that decodes: platform digit + JSON body.
+    The others are in ``delimited_rejects``."""
+    return _records(spark, path).where("ok").select("platform", *(f"b.{f.name}" for f in ORDER_BODY_SCHEMA.fields))
+
+
+def delimited_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``file, value`` of the records that do not decode."""
+    return _records(spark, path).where("not ok").select("file", "value")
 
 
 def delimited_file_check(spark: SparkSession, path: str) -> DataFrame:

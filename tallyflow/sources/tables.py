@@ -84,3 +84,9 @@ def redelivered(payments: DataFrame, arrival_col: str = "arrival") -> DataFrame:
     on every row."""
     again = payments.withColumn(arrival_col, F.col(arrival_col) + F.lit(REDELIVERY_OFFSET))
     return payments.unionByName(again)
+
+
+def redelivered_soon(payments: DataFrame, arrival_col: str = "arrival") -> DataFrame:
+    """Every payment delivered twice, the copy right after the original."""
+    at = F.col(arrival_col) * F.lit(2)
+    return payments.withColumn(arrival_col, at).unionByName(payments.withColumn(arrival_col, at + F.lit(1)))

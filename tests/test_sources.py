@@ -126,3 +126,20 @@ def test_route_to_folders_prunes_other_topics(spark):
     assert sorted(r.id for r in pay.collect()) == [1, 4]
     plan = pay._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan
+
+
+def test_records_that_do_not_decode_are_rejects(spark):
+    from tallyflow.constants import RECORD_SEPARATOR
+    from tallyflow.session import shared_path
+    from tallyflow.sources import delimited_file_check, delimited_rejects, read_delimited_orders
+
+    path = shared_path(spark, "bad_log", unique=True)
+    good = '0{"arrival":1,"order_id":7,"create_time_ms":5}'
+    lines = ["5", good, "1garbage", "{}", '1{"order_id":"x"}']
+    spark.createDataFrame([(RECORD_SEPARATOR.join(lines),)], "value string").coalesce(1).write.text(path)
+    rows = read_delimited_orders(spark, path).collect()
+    assert [(r.platform, r.arrival, r.order_id, r.create_time_ms) for r in rows] == [(0, 1, 7, 5)]
+    bad = sorted(r.value.strip() for r in delimited_rejects(spark, path).collect())
+    assert bad == sorted(lines[2:])
+    check = delimited_file_check(spark, path).first()
+    assert (check.declared, check.found, check.ok) == (5, 4, False)
