@@ -185,6 +185,24 @@ SELECT l_orderkey AS order_id, l_linenumber AS line,
        CAST(round(p * dc, 2) AS DOUBLE) AS rounded_v
 FROM i"""
     ),
+    # p * 1e6 and dc * 1e-8: their sum and difference differ from p * 1e6 by
+    # far less than half a unit of a double, their product is p * dc / 100.
+    "exact_arith_wide": _q(
+        """, d AS (
+  SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) AS pi,
+         CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS HUGEINT) AS di
+  FROM lineitem)
+SELECT l_orderkey AS order_id, l_linenumber AS line, CAST(pi * 10000 AS DOUBLE) AS sum_v,
+       CAST(pi * 10000 AS DOUBLE) AS diff_v, CAST(pi * di AS DOUBLE) / 1000000.0 AS prod_v
+FROM d"""
+    ),
+    "rejected_payments": _q(
+        """SELECT arrival, order_id, pay_amount - CAST(20 AS DOUBLE) AS pay_amount, 'negative' AS reason
+FROM payments_v WHERE pay_amount - CAST(20 AS DOUBLE) < 0"""
+    ),
+    "delimited_check": _q(
+        "SELECT CAST(COUNT(*) AS BIGINT) AS declared, CAST(COUNT(*) AS BIGINT) AS found, TRUE AS ok FROM orders_ev"
+    ),
     "fingerprints": _q(
         """SELECT arrival, order_id,
        CAST(amount_cents AS BIGINT) | (CAST(pay_source AS BIGINT) << 10) | (CAST(pay_platform AS BIGINT) << 11)
@@ -261,6 +279,17 @@ ORACLE_SQL["stream_closed_minutes"] = _q(
     ", t AS (" + _turnover("pay_v", "first_ev", True) + ")\n"
     "SELECT platform, minute, turnover_cents, turnover FROM t WHERE minute <= (SELECT MAX(minute) FROM t) - 7"
 )
+for _name in ("stream_snapshot_full", "stream_snapshot_changed"):
+    ORACLE_SQL[_name] = ORACLE_SQL["stream_turnover"]
+# Late payments count from the newest matched minute - 5 on.
+ORACLE_SQL["stream_late"] = _q(
+    f""", newest AS (SELECT MAX(p.minute) AS m FROM pay_v p JOIN first_ev f ON p.order_id = f.order_id),
+late AS ({_norm('(SELECT * REPLACE (pay_amount + CAST(0.01 AS DOUBLE) AS pay_amount) FROM payments_v)')}),
+both_v AS (SELECT * FROM pay_v UNION ALL SELECT late.* FROM late, newest WHERE minute >= m - 5),
+turnover AS ({_turnover('both_v', 'first_ev', True)})
+SELECT CASE WHEN platform = 0 THEN 'platformTaobao_' ELSE 'platformTmall_' END
+       || '{DEFAULT_TEAM}_' || CAST(minute * 60 AS VARCHAR) AS key, turnover AS value FROM turnover"""
+)
 ORACLE_SQL["stream_metrics"] = ORACLE_SQL["metrics_rows"]
 # Streaming W3 publishes the batch W3 ratio of every minute under its key.
 ORACLE_SQL["stream_ratio_reset"] = _q(

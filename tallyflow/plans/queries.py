@@ -8,6 +8,7 @@ of the matching SQL in ``tallyflow.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +43,14 @@ from tallyflow.operators import (
     pending_payments,
     positive_payments,
     reconcile_order_payments,
+    rejected_payments,
     wireless_pc_ratio_reset,
 )
 from tallyflow.plans.metrics import platform_turnover, ratio_metric
 from tallyflow.session import configure, shared_path
 from tallyflow.sinks import lookup_metrics, metrics_rows, remove_metrics
 from tallyflow.sources import (
+    delimited_file_check,
     drop_end_markers,
     feed_completion,
     orders_ev,
@@ -159,6 +162,21 @@ def q_exact_arith(spark, sf):
     )
 
 
+def q_exact_arith_wide(spark, sf):
+    """F8 on operands of 1e10 and more, and with 10 decimals."""
+    li = read_table(spark, sf, "lineitem")
+    big = (F.col("l_extendedprice").cast("decimal(18,2)") * F.lit(1_000_000)).cast("double")
+    tiny = (F.col("l_discount").cast("decimal(18,2)") * F.lit(Decimal("0.00000001"))).cast("double")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), big.alias("big"), tiny.alias("tiny")
+    ).select(
+        "order_id", "line",
+        exact_add("big", "tiny").alias("sum_v"),
+        exact_sub("big", "tiny").alias("diff_v"),
+        exact_mul("big", "tiny").alias("prod_v"),
+    )
+
+
 def q_fingerprints(spark, sf):
     p = _norm(payments_v(spark, sf))
     return p.select(
@@ -225,6 +243,21 @@ def q_changed_payments(spark, sf):
     return changed_payments(_norm(redelivered(payments_v(spark, sf))))
 
 
+def q_rejected_payments(spark, sf):
+    """P2's other side: payments below zero after a refund of 20."""
+    p = payments_v(spark, sf).withColumn("pay_amount", F.col("pay_amount") - F.lit(20.0))
+    return rejected_payments(p).select("arrival", "order_id", "pay_amount", "reason")
+
+
+def q_delimited_check(spark, sf):
+    """Record counts against the headers, over all files of the log."""
+    path = shared_path(spark, "delimited_check", unique=True)
+    write_delimited_orders(orders_ev(spark, sf), path)
+    return delimited_file_check(spark, path).agg(
+        F.sum("declared").alias("declared"), F.sum("found").alias("found"), F.bool_and("ok").alias("ok")
+    )
+
+
 # --- aggregates -------------------------------------------------------------------
 
 
@@ -304,6 +337,9 @@ BATCH_QUERIES: dict[str, Query] = {
     "drop_end_markers": q_drop_end_markers,
     "delimited_orders": q_delimited_orders,
     "exact_arith": q_exact_arith,
+    "exact_arith_wide": q_exact_arith_wide,
+    "rejected_payments": q_rejected_payments,
+    "delimited_check": q_delimited_check,
     "fingerprints": q_fingerprints,
     "positive_payments": q_positive_payments,
     "order_reconciliation": q_order_reconciliation,

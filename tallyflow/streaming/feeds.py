@@ -1,37 +1,67 @@
 """File feeds for Structured Streaming.
 
-A topic is replayed as parquet files written in arrival order: the file
-source picks up files oldest first, and with ``maxFilesPerTrigger=1`` each
-file becomes one micro-batch. Spark writes each slice; the driver only
-holds the slice boundaries (``approxQuantile``, n-1 numbers).
+A topic is replayed as parquet files in slices of arrival order: a slice is
+one append of ``FILES_PER_SLICE`` files, written by as many tasks, and with
+``maxFilesPerTrigger`` set to that number each slice becomes one micro-batch
+(the file source takes files oldest first). Within a slice the files come in
+any order, as the partitions of a topic do, so the streaming operators must
+not rely on row order. The number of slices follows from the number of rows;
+the driver only holds the slice boundaries (``approxQuantile``).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.sources.feeds import bounded_ingest_options
 
+FILES_PER_SLICE = 2
+ROWS_PER_SLICE = 1_000_000
+#: A replay has several micro-batches however small it is.
+LEAST_SLICES = 4
+
+
+def write_feed(
+    df: DataFrame,
+    path: str,
+    order_col: str = "arrival",
+    slices: int | None = None,
+    files_per_slice: int = FILES_PER_SLICE,
+) -> str:
+    """Append ``df`` under ``path`` in ``slices`` slices of arrival order.
 
-def write_feed(df: DataFrame, path: str, n_files: int = 8, order_col: str = "arrival") -> str:
-    """Write ``df`` under ``path`` as ``n_files`` appends, slice i holding the
-    i-th arrival quantile, so file modification order is arrival order."""
-    # Each slice is one file written by one task: it stands for one ordered
-    # topic partition of a replay, so its rows must stay in one ordered file.
-    df = df.persist()
-    try:
-        cuts = sorted(set(df.approxQuantile(order_col, [i / n_files for i in range(1, n_files)], 0.001)))
-        bounds = [None, *cuts, None]
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            cond = F.lit(True)
-            if lo is not None:
-                cond = cond & (F.col(order_col) >= F.lit(lo))
-            if hi is not None:
-                cond = cond & (F.col(order_col) < F.lit(hi))
-            df.where(cond).coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
-    finally:
-        df.unpersist()
+    Each slice reads its own range of ``order_col`` (the filter reaches the
+    parquet scan) and holds exactly ``files_per_slice`` files, the last one
+    maybe fewer. Rows without an arrival come first."""
+    at = F.col(order_col)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("low")).first()
+    if slices is None:
+        slices = max(LEAST_SLICES, -(-size["n"] // ROWS_PER_SLICE))
+    files = slices * files_per_slice
+    marks = df.approxQuantile(order_col, [i / files for i in range(1, files)], 0.0005) if size["n"] else []
+    starts = [None, *sorted({int(m) for m in marks if m > size["low"]})]
+    for first in range(0, len(starts), files_per_slice):
+        own = starts[first : first + files_per_slice]
+        end = starts[first + files_per_slice] if first + files_per_slice < len(starts) else None
+        here = F.lit(True) if own[0] is None else at >= F.lit(own[0])
+        if end is not None:
+            here = here & (at < F.lit(end))
+        if own[0] is None:
+            here = here | at.isNull()
+        part = reduce(add, [F.coalesce((at >= F.lit(s)).cast("int"), F.lit(0)) for s in own[1:]], F.lit(0))
+        (
+            df.where(here)
+            .withColumn("_part", part)
+            .repartition(len(own), "_part")
+            .sortWithinPartitions("_part", order_col)
+            .write.mode("append")
+            .partitionBy("_part")
+            .parquet(path)
+        )
     return path
 
 
@@ -39,6 +69,7 @@ def read_feed(spark: SparkSession, path: str, schema, max_files_per_trigger: int
     """Stream the feed back, one file per micro-batch by default."""
     return (
         spark.readStream.schema(schema)
+        .option("recursiveFileLookup", "true")
         .options(**bounded_ingest_options(max_files=max_files_per_trigger))
         .parquet(path)
     )

@@ -38,19 +38,32 @@ class LiveMetrics:
 
     ``payments``: payment columns plus ``arrival``; ``orders``: ``order_id,
     platform, create_time_ms``. Works on file or Kafka streams alike. The
-    cents table stores sums as doubles, exact up to 2^53 cents per minute."""
+    cents table stores sums as doubles, exact up to 2^53 cents per minute.
+    ``cents_mode="truncate"`` truncates cents on both streams (F1);
+    ``horizon_minutes`` bounds the join state, at the price of matches further
+    apart than that (off by default: state is kept for the whole run)."""
 
-    def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        team: str = DEFAULT_TEAM,
+        compact_every: int = 50,
+        cents_mode: str = "exact",
+        horizon_minutes: int | None = None,
+    ):
+        self.cents_mode = cents_mode
+        self.horizon_minutes = horizon_minutes
         self.spark = spark
         self.team = team
         self.compact_every = compact_every
         self.cents = MetricsTable(spark, f"{root.rstrip('/')}/turnover_cents")
-        self.ratio = ArrivalOrderRatio(spark, f"{root.rstrip('/')}/ratio", team)
+        self.ratio = ArrivalOrderRatio(spark, f"{root.rstrip('/')}/ratio", team, cents_mode=cents_mode)
 
     def _add_cents(self, batch: DataFrame, batch_id: int) -> None:
         delta = batch.groupBy("platform", "minute").agg(F.sum("amount_cents").alias("turnover"))
         keyed = turnover_metric_rows(delta, self.team).withColumnRenamed("value", "cents")
-        current = self.cents.read(before=batch_id)
+        current = self.cents.read(before=batch_id, keys=keyed.select("key"))
         merged = keyed.join(current, "key", "left").select(
             "key", (F.col("cents") + F.coalesce("value", F.lit(0.0))).alias("value")
         )
@@ -67,12 +80,12 @@ class LiveMetrics:
         must still be counted. The join itself has no event-time condition,
         so it drops nothing as late."""
         p = (
-            payments_source(payments)
+            payments_source(payments, self.cents_mode)
             .withColumn("minute_ts", minute_start("create_time_ms"))
             .withWatermark("minute_ts", f"{late_minutes + 1} minutes")
             .dropDuplicates([*D1_KEYS, "minute_ts"])
         )
-        return match_payments_stream(p, orders, normalised=True)
+        return match_payments_stream(p, orders, horizon_minutes=self.horizon_minutes, normalised=True)
 
     def start(self, payments: DataFrame, orders: DataFrame, checkpoint_root: str, trigger: dict | None = None):
         trig = trigger or {"availableNow": True}

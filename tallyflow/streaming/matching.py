@@ -1,25 +1,58 @@
 """J1/J2 on two streams.
 
-Orders: the first order seen for an id wins (streaming ``dropDuplicates`` on
-``order_id``; within a micro-batch the source's row order decides, and the
-replay feeds are written in arrival order). Payments: an inner
-stream-stream join on ``order_id``; a payment that arrives before its order
-waits in the join state and is released when the order arrives, a later one
-passes at once.
+Orders: the first order to arrive for an id wins. Spark keeps no row order
+within a micro-batch, so the rows of an id are compared by ``arrival`` (by
+``create_time_ms`` where the stream has no arrival); an id that an earlier
+batch has seen is settled. Payments: an inner stream-stream join on
+``order_id``; a payment that arrives before its order waits in the join state
+and is released when the order arrives, a later one passes at once.
 
 As in the reference the state is kept for the whole run. For unbounded
 runs pass ``horizon_minutes``: both sides then carry watermarks and the
-join a time-range condition, so Spark evicts state older than the horizon.
+join a time-range condition, so Spark evicts state older than the horizon;
+Spark allows no custom state before such a join, so there the first order of
+an id is any one of the micro-batch in which the id first occurs.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyflow.functions.time import event_time
 from tallyflow.sources.feeds import payments_source
 
+# The state function is shipped by value (see streaming/state.py).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _first(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.exists:
+        return
+    best = None
+    for rows in batches:  # one pass: nothing of the group is held but its first row
+        row = rows.sort_values(["seq", "platform"]).iloc[0]
+        if best is None or (row["seq"], row["platform"]) < (best["seq"], best["platform"]):
+            best = row
+    state.update((True,))
+    yield pd.DataFrame({"order_id": [int(key[0])], "platform": [int(best["platform"])]})
+
+
+def first_orders_stream(orders: DataFrame) -> DataFrame:
+    """J2 on a stream: ``order_id, platform`` once per id, of the order that
+    arrived first. State: one flag per id."""
+    seq = "arrival" if "arrival" in orders.columns else "create_time_ms"
+    rows = orders.where(F.col("order_id").isNotNull()).select("order_id", "platform", F.col(seq).alias("seq"))
+    return rows.groupBy("order_id").applyInPandasWithState(
+        _first, "order_id long, platform int", "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
+
 
 def match_payments_stream(
     payments: DataFrame, orders: DataFrame, horizon_minutes: int | None = None, normalised: bool = False
@@ -29,8 +62,7 @@ def match_payments_stream(
     p = payments if normalised else payments_source(payments)
     o = orders.select("order_id", "platform", F.col("create_time_ms").alias("order_time_ms"))
     if horizon_minutes is None:
-        first = o.dropDuplicates(["order_id"]).select("order_id", "platform")
-        return p.join(first, "order_id", "inner")
+        return p.join(first_orders_stream(orders), "order_id", "inner")
     delay = f"{horizon_minutes} minutes"
     p = p.withColumn("pay_ts", event_time("create_time_ms")).withWatermark("pay_ts", delay)
     o = o.withColumn("order_ts", event_time("order_time_ms")).withWatermark("order_ts", delay)

@@ -1,8 +1,8 @@
 """Registered streaming queries.
 
-Each query replays a feed derived by Spark from the driver's tables as
-arrival-ordered files, runs the streaming plan to completion with an
-``availableNow`` trigger (one file per micro-batch), and returns the table
+Each query replays a feed derived by Spark from the driver's tables in slices
+of arrival order, several files each, runs the streaming plan to completion
+with an ``availableNow`` trigger (one slice per micro-batch), and returns the table
 the stream wrote. Checkpoints, feeds and outputs live in fresh folders under
 the shared checkpoint directory, so a lost executor or a restarted driver
 resumes from the checkpoint and replays batches idempotently.
@@ -10,15 +10,14 @@ resumes from the checkpoint and replays batches idempotently.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyflow.operators.matching import first_orders
 from tallyflow.session import materialize, shared_path
 from tallyflow.sinks.metrics_store import MetricsTable
-from tallyflow.sources.tables import orders_ev, payments_v, redelivered
-from tallyflow.streaming.feeds import read_feed, write_feed
+from tallyflow.sources.tables import orders_ev, payments_v, redelivered, redelivered_soon
+from tallyflow.streaming.feeds import FILES_PER_SLICE, read_feed, write_feed
 from tallyflow.streaming.live import LiveMetrics
 from tallyflow.streaming.matching import match_payments_stream
 from tallyflow.streaming.reset_ratio import ResetRatioStream
@@ -31,12 +30,17 @@ from tallyflow.streaming.turnover import (
     turnover_stream,
 )
 
-FEED_FILES = 4
+
+def _feed(spark: SparkSession, name: str, *parts: DataFrame) -> DataFrame:
+    """The parts, one after the other, as a stream of their slices."""
+    path = shared_path(spark, "feeds", name, unique=True)
+    for part in parts:
+        write_feed(part, path)
+    return read_feed(spark, path, parts[0].schema, FILES_PER_SLICE)
 
 
 def _replay(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    path = write_feed(df, shared_path(spark, "feeds", name, unique=True), FEED_FILES)
-    return read_feed(spark, path, df.schema)
+    return _feed(spark, name, df)
 
 
 def _known_first_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,24 +49,6 @@ def _known_first_orders(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(first_orders(orders_ev(spark, sf)).select("order_id", "platform"))
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession):
-    """Start streams with at most one state partition per core.
-
-    A stateful stream pins its partition count when it first starts; each
-    state partition is a state-store instance opened every micro-batch, so
-    more partitions than cores only adds per-batch cost. The stream runs in a
-    clone of the session taken at ``start()``, so the session's own setting
-    is restored right after."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, min(int(old), spark.sparkContext.defaultParallelism))))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def _start_parquet_sink(df: DataFrame, path: str, checkpoint: str):
     return (
         df.writeStream.outputMode("append")
@@ -84,8 +70,7 @@ def _turnover_upsert(spark: SparkSession, sf: str, name: str, feed: DataFrame) -
     stream = _replay(spark, name, feed)
     table = MetricsTable(spark, shared_path(spark, name, "table", unique=True))
     turnover = turnover_stream(stream, _known_first_orders(spark, sf))
-    with _state_partitions(spark):
-        query = start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True))
+    query = start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True))
     _run(query)
     return table.read()
 
@@ -96,17 +81,17 @@ def q_stream_turnover(spark, sf):
 
 
 def q_stream_upsert(spark, sf):
-    """K1 replay: the whole feed is delivered twice, through one turnover
-    query per platform (each with its own watermark, as the reference had
-    one counter per platform); the published tables must equal the batch
-    metrics."""
+    """K1 replay: every payment is delivered twice, the copy right after the
+    original (so that D1 sees it, not only the watermark), through one
+    turnover query per platform (each with its own watermark, as the
+    reference had one counter per platform); the published tables must equal
+    the batch metrics."""
     name = "stream_upsert"
-    stream = _replay(spark, name, redelivered(payments_v(spark, sf)))
+    stream = _replay(spark, name, redelivered_soon(payments_v(spark, sf)))
     tables = {p: MetricsTable(spark, shared_path(spark, name, f"table_{p}", unique=True)) for p in (0, 1)}
-    with _state_partitions(spark):
-        started = start_platform_turnover_upserts(
-            stream, _known_first_orders(spark, sf), tables, shared_path(spark, name, "checkpoint", unique=True)
-        )
+    started = start_platform_turnover_upserts(
+        stream, _known_first_orders(spark, sf), tables, shared_path(spark, name, "checkpoint", unique=True)
+    )
     for query in started:
         _run(query)
     return tables[0].read().unionByName(tables[1].read())
@@ -118,9 +103,8 @@ def q_stream_closed_minutes(spark, sf):
     stream = _replay(spark, "stream_closed_minutes", payments_v(spark, sf))
     out = shared_path(spark, "stream_closed_minutes", "table", unique=True)
     turnover = turnover_stream(stream, _known_first_orders(spark, sf))
-    with _state_partitions(spark):
-        checkpoint = shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True)
-        query = start_closed_minutes(turnover, out, checkpoint)
+    checkpoint = shared_path(spark, "stream_closed_minutes", "checkpoint", unique=True)
+    query = start_closed_minutes(turnover, out, checkpoint)
     _run(query)
     return spark.read.schema(turnover.schema).parquet(out)
 
@@ -129,8 +113,7 @@ def q_stream_ratio(spark, sf):
     """Ratio in arrival order; equals W2 when the feed is in order."""
     stream = _replay(spark, "stream_ratio", payments_v(spark, sf))
     ratio = ArrivalOrderRatio(spark, shared_path(spark, "stream_ratio", "table", unique=True))
-    with _state_partitions(spark):
-        query = ratio.start(stream, shared_path(spark, "stream_ratio", "checkpoint", unique=True))
+    query = ratio.start(stream, shared_path(spark, "stream_ratio", "checkpoint", unique=True))
     _run(query)
     return ratio.table.read()
 
@@ -140,9 +123,8 @@ def q_stream_changed_payments(spark, sf):
     stream = _replay(spark, "stream_changed_payments", redelivered(payments_v(spark, sf)))
     out = shared_path(spark, "stream_changed_payments", "table", unique=True)
     changed = changed_payments_stream(stream)
-    with _state_partitions(spark):
-        checkpoint = shared_path(spark, "stream_changed_payments", "checkpoint", unique=True)
-        query = _start_parquet_sink(changed, out, checkpoint)
+    checkpoint = shared_path(spark, "stream_changed_payments", "checkpoint", unique=True)
+    query = _start_parquet_sink(changed, out, checkpoint)
     _run(query)
     return spark.read.schema(changed.schema).parquet(out)
 
@@ -155,9 +137,8 @@ def q_stream_matched_payments(spark, sf):
         "arrival", "order_id", "amount_cents", "pay_source", "pay_platform", "minute", "platform"
     )
     out = shared_path(spark, "stream_matched_payments", "table", unique=True)
-    with _state_partitions(spark):
-        checkpoint = shared_path(spark, "stream_matched_payments", "checkpoint", unique=True)
-        query = _start_parquet_sink(matched, out, checkpoint)
+    checkpoint = shared_path(spark, "stream_matched_payments", "checkpoint", unique=True)
+    query = _start_parquet_sink(matched, out, checkpoint)
     _run(query)
     return spark.read.schema(matched.schema).parquet(out)
 
@@ -167,8 +148,7 @@ def q_stream_metrics(spark, sf):
     pays = _replay(spark, "stream_metrics_pay", payments_v(spark, sf))
     orders = _replay(spark, "stream_metrics_orders", orders_ev(spark, sf))
     live = LiveMetrics(spark, shared_path(spark, "stream_metrics", "table", unique=True))
-    with _state_partitions(spark):
-        started = live.start(pays, orders, shared_path(spark, "stream_metrics", "checkpoint", unique=True))
+    started = live.start(pays, orders, shared_path(spark, "stream_metrics", "checkpoint", unique=True))
     for query in started:
         _run(query)
     return live.metrics()
@@ -178,12 +158,49 @@ def q_stream_ratio_reset(spark, sf):
     """W3 on a stream; equals the batch W3 when the feed is in order."""
     stream = _replay(spark, "stream_ratio_reset", payments_v(spark, sf))
     ratio = ResetRatioStream(spark, shared_path(spark, "stream_ratio_reset", "table", unique=True))
-    with _state_partitions(spark):
-        query = ratio.start(stream, shared_path(spark, "stream_ratio_reset", "checkpoint", unique=True))
+    query = ratio.start(stream, shared_path(spark, "stream_ratio_reset", "checkpoint", unique=True))
     _run(query)
     return ratio.table.read()
 
 
+def q_stream_late(spark, sf):
+    """After the whole feed, another payment of one cent more arrives for
+    every payment. Those of the newest minute - 5 and later count, the older
+    ones are dropped."""
+    name = "stream_late"
+    pays = payments_v(spark, sf)
+    late = pays.withColumn("pay_amount", F.col("pay_amount") + F.lit(0.01))
+    stream = _feed(spark, name, pays, late)
+    table = MetricsTable(spark, shared_path(spark, name, "table", unique=True))
+    turnover = turnover_stream(stream, _known_first_orders(spark, sf))
+    _run(start_turnover_upsert(turnover, table, shared_path(spark, name, "checkpoint", unique=True)))
+    return table.read()
+
+
+def _snapshot(spark, sf, name: str, mode: str):
+    stream = _replay(spark, name, payments_v(spark, sf))
+    table = MetricsTable(spark, shared_path(spark, name, "table", unique=True))
+    turnover = turnover_stream(stream, _known_first_orders(spark, sf))
+    query = start_turnover_upsert(
+        turnover, table, shared_path(spark, name, "checkpoint", unique=True), {"processingTime": "1 second"}, output_mode=mode
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return table.read()
+
+
+def q_stream_snapshot_full(spark, sf):
+    """Every minute republished at each tick of a timed trigger."""
+    return _snapshot(spark, sf, "stream_snapshot_full", "complete")
+
+
+def q_stream_snapshot_changed(spark, sf):
+    """The changed minutes published at each tick of a timed trigger."""
+    return _snapshot(spark, sf, "stream_snapshot_changed", "update")
+
+
 STREAM_QUERIES = {
     "stream_ratio_reset": q_stream_ratio_reset,
     "stream_metrics": q_stream_metrics,
@@ -193,4 +210,7 @@ STREAM_QUERIES = {
     "stream_closed_minutes": q_stream_closed_minutes,
     "stream_ratio": q_stream_ratio,
     "stream_changed_payments": q_stream_changed_payments,
+    "stream_late": q_stream_late,
+    "stream_snapshot_full": q_stream_snapshot_full,
+    "stream_snapshot_changed": q_stream_snapshot_changed,
 }

@@ -1,14 +1,13 @@
 """W3 on a stream: the gap-resetting wireless/PC ratio, micro-batch by
 micro-batch (``foreachBatch``).
 
-State per device: the newest minute seen and the run total at that minute
-(four numbers, versioned by batch id). Each batch adds one carry row per
-device, (device, newest minute, run total), to its own per-(device, minute)
-sums; the two-level run detection (``island_totals``) then continues a run
-across the batch boundary when the batch's minutes follow on, restarts it at
-a gap, and adds to the carried minute when a minute spans two batches. The
-ratio of every minute the batch touched is upserted (last write wins).
-Equal to batch W3 when batches arrive in minute order.
+State: the cents of every (device, minute) seen, two rows a minute, in a
+table versioned by batch id. Each batch adds its own sums, runs the two-level
+run detection (``island_totals``) over the minutes kept, and publishes every
+minute from the earliest one that it touched: a late payment changes its own
+minute and all later ones of its run, and closes or opens gaps, as the
+per-minute maps of a message-at-a-time implementation would show it. The
+result equals batch W3 in whatever order the payments arrive.
 """
 
 from __future__ import annotations
@@ -23,55 +22,59 @@ from tallyflow.operators.windows import _java_div, island_totals
 from tallyflow.sinks.metrics_store import MetricsTable
 from tallyflow.sources.feeds import payments_source
 
+
 class ResetRatioStream:
-    def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
+    """Cents are kept as doubles, exact up to 2**53 per device and minute."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50, cents_mode: str = "exact"
+    ):
         self.spark = spark
         self.team = team
         self.compact_every = compact_every
+        self.cents_mode = cents_mode
         self.table = MetricsTable(spark, f"{root.rstrip('/')}/ratio")
         self.state = MetricsTable(spark, f"{root.rstrip('/')}/state")
 
-    def _carry(self, batch_id: int) -> list[tuple[int, int, int]]:
-        if not any(v < batch_id for v in self.state.versions()):
-            return []
-        vals = {r["key"]: r["value"] for r in self.state.read(before=batch_id).collect()}  # four rows
-        rows = []
-        for device, name in ((0, "pc"), (1, "wl")):
-            if f"{name}_minute" in vals:
-                rows.append((device, int(vals[f"{name}_minute"]), int(vals[f"{name}_run"])))
-        return rows
+    def _kept(self, batch_id: int) -> DataFrame:
+        part = F.split("key", ":")
+        return self.state.read(before=batch_id).select(
+            part[0].cast("int").alias("device"), part[1].cast("long").alias("minute"), F.col("value").cast("long").alias("cents")
+        )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        p = payments_source(batch)
+        p = payments_source(batch, self.cents_mode)
         dev = F.when(F.col("pay_platform") == DEVICE_PC, F.lit(0)).otherwise(F.lit(1))
-        per = p.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").cast("long").alias("cents"))
-        touched = per.select("minute").distinct()
-        carry = self._carry(batch_id)
-        if carry:
-            per = per.unionByName(self.spark.createDataFrame(carry, "device int, minute long, cents long"))
-            per = per.groupBy("device", "minute").agg(F.sum("cents").alias("cents"))
-        runs = island_totals(per, "device", checkpoint=False)
-        pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
-        wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
-        both = touched.join(pc, "minute", "left").join(wl, "minute", "left")
-        ratio = F.when(F.col("pc_run").isNull(), F.lit(JAVA_DOUBLE_MAX)).otherwise(
-            _java_div(F.coalesce("wl_run", F.lit(0)), F.col("pc_run"))
-        )
-        self.table.upsert(
-            both.select(
-                result_key(RATIO_PREFIX, self.team, minute_epoch_seconds("minute")).alias("key"),
-                ratio.alias("value"),
-            ),
-            batch_id,
-        )
-        newest = runs.groupBy("device").agg(F.max_by("run_cents", "minute").alias("run"), F.max("minute").alias("m"))
-        name = F.when(F.col("device") == 0, F.lit("pc")).otherwise(F.lit("wl"))
-        entries = F.array(
-            F.struct(F.concat(name, F.lit("_minute")).alias("key"), F.col("m").cast("double").alias("value")),
-            F.struct(F.concat(name, F.lit("_run")).alias("key"), F.col("run").cast("double").alias("value")),
-        )
-        state = newest.select(F.explode(entries).alias("s")).select("s.*")
-        self.state.upsert(state, batch_id)
+        # Two rows a minute of the batch: read by the branches below.
+        new = p.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").cast("long").alias("cents")).cache()
+        try:
+            first = new.agg(F.min("minute")).first()[0]
+            if first is None:
+                return
+            kept = self._kept(batch_id)
+            merged = kept.unionByName(new).groupBy("device", "minute").agg(F.sum("cents").alias("cents"))
+            runs = island_totals(merged, "device", checkpoint=False)
+            pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
+            wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
+            both = pc.join(wl, "minute", "full_outer").where(F.col("minute") >= first)
+            ratio = F.when(F.col("pc_run").isNull(), F.lit(JAVA_DOUBLE_MAX)).otherwise(
+                _java_div(F.coalesce("wl_run", F.lit(0)), F.col("pc_run"))
+            )
+            self.table.upsert(
+                both.select(
+                    result_key(RATIO_PREFIX, self.team, minute_epoch_seconds("minute")).alias("key"), ratio.alias("value")
+                ),
+                batch_id,
+            )
+            touched = merged.join(new.select("device", "minute"), ["device", "minute"], "left_semi")
+            self.state.upsert(
+                touched.select(
+                    F.concat_ws(":", "device", "minute").alias("key"), F.col("cents").cast("double").alias("value")
+                ),
+                batch_id,
+            )
+        finally:
+            new.unpersist()
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             self.state.compact(batch_id)
             self.table.compact(batch_id)

@@ -83,6 +83,7 @@ def start_turnover_upsert(
     trigger: dict | None = None,
     team: str = DEFAULT_TEAM,
     output_mode: str = "update",
+    compact_every: int = 50,
 ):
     """Publish into the versioned metrics table, one idempotent version per
     micro-batch (K1).
@@ -93,6 +94,8 @@ def start_turnover_upsert(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         table.upsert(turnover_metric_rows(batch, team), batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            table.compact(batch_id)
 
     return (
         turnover.writeStream.outputMode(output_mode)
@@ -140,7 +143,9 @@ def start_closed_minutes(turnover: DataFrame, path: str, checkpoint: str, trigge
 
 
 class ArrivalOrderRatio:
-    """The wireless/PC ratio in arrival order.
+    """The wireless/PC ratio in arrival order; payments of one arrival
+    number (which repeats across the partitions of a topic) go by minute, so
+    a retried batch has the same result in whatever order its rows come.
 
     A payment whose minute is older than the newest minute seen adds to the
     newest (current) minute's totals, never to its own. Each micro-batch
@@ -154,7 +159,10 @@ class ArrivalOrderRatio:
     up to 2^53 cents (about 9e13 in money).
     """
 
-    def __init__(self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50):
+    def __init__(
+        self, spark: SparkSession, root: str, team: str = DEFAULT_TEAM, compact_every: int = 50, cents_mode: str = "exact"
+    ):
+        self.cents_mode = cents_mode
         self.spark = spark
         self.root = root.rstrip("/")
         self.team = team
@@ -172,8 +180,9 @@ class ArrivalOrderRatio:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         cur, pc0, wl0 = self._prior(batch_id)
-        p = payments_source(batch).select("arrival", "minute", "pay_platform", "amount_cents")
-        eff = running_aggregate(p, "arrival", ["minute"], how="max", block=1 << 16, suffix="_eff")
+        p = payments_source(batch, self.cents_mode).select("arrival", "minute", "pay_platform", "amount_cents")
+        # Rows equal in arrival and minute have the same running maximum.
+        eff = running_aggregate(p, "arrival", ["minute"], how="max", block=1 << 16, suffix="_eff", ties=("minute",))
         if cur is not None:
             eff = eff.withColumn("minute_eff", F.greatest("minute_eff", F.lit(cur)))
         per = device_minute_turnover(eff.drop("minute").withColumnRenamed("minute_eff", "minute"))
@@ -202,6 +211,7 @@ class ArrivalOrderRatio:
             self.state.upsert(state, batch_id)
             if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
                 self.state.compact(batch_id)
+                self.table.compact(batch_id)
         finally:
             cum.unpersist()
 

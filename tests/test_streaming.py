@@ -194,16 +194,6 @@ def test_minutes_seen_on_a_stream(spark):
     assert (r.minutes, r.complete) == (4, True)
 
 
-def test_stream_queries_restore_shuffle_partitions(spark):
-    from tallyflow.streaming.queries import _state_partitions
-
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with _state_partitions(spark):
-        inside = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert inside <= spark.sparkContext.defaultParallelism
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-
-
 def test_restart_from_checkpoint_equals_batch(spark):
     from tallyflow.operators import first_orders
     from tallyflow.plans.metrics import platform_turnover
@@ -249,7 +239,7 @@ def test_changed_payments_state_timeout(spark):
     from tallyflow.streaming.state import changed_payments_stream
 
     pays = redelivered(payments_v(spark, "/root/testdata/sf0.001"))
-    feed = write_feed(pays, shared_path(spark, "test_d2_timeout", unique=True), 3)
+    feed = write_feed(pays, shared_path(spark, "test_d2_timeout", unique=True), slices=3, files_per_slice=1)
     want = sorted(r.arrival for r in changed_payments(payments_source(pays)).collect())
     for timeout in (None, 60 * 24 * 90):  # the feed spans one month
         out = shared_path(spark, "test_d2_out", unique=True)
@@ -435,3 +425,101 @@ def test_reset_ratio_stream_equals_batch_across_batches(spark):
     batch = wireless_pc_ratio_reset(payments_source(spark.createDataFrame(rows, SCHEMA)))
     want = {f"ratio_team_{r.minute * 60}": r.ratio for r in batch.collect()}
     assert got == want and len(got) == 5
+
+
+def test_first_order_by_arrival_whatever_the_file_order(spark):
+    import random
+
+    from tallyflow.operators import first_orders
+    from tallyflow.streaming.matching import match_payments_stream
+
+    rng = random.Random(3)
+    rows = [(k, rng.randrange(500), rng.randrange(2), T0) for k in range(5000)]
+    orders = spark.createDataFrame(rows, "arrival long, order_id long, platform int, create_time_ms long")
+    pays = spark.createDataFrame([(k, k, 1.0, 0, 0, T0) for k in range(500)], SCHEMA)
+    feeds = []
+    for name, df in (("ff_orders", orders), ("ff_pays", pays)):
+        path = shared_path(spark, name, unique=True)
+        df.repartition(16).write.parquet(path)  # 16 files in no order, one batch
+        feeds.append(read_feed(spark, path, df.schema, 16))
+    out = shared_path(spark, "ff_out", unique=True)
+    q = (match_payments_stream(feeds[1], feeds[0]).select("order_id", "platform").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", shared_path(spark, "ck", unique=True))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    want = {r.order_id: r.platform for r in first_orders(orders).collect()}
+    assert {r.order_id: r.platform for r in spark.read.parquet(out).collect()} == want
+
+
+def test_tied_arrivals_give_one_ratio(spark):
+    import random
+
+    from tallyflow.streaming.turnover import ArrivalOrderRatio
+
+    rng = random.Random(4)
+    rows = [(k // 7, 1, 1.0 + k % 5, 0, k % 2, T0 + rng.randrange(20) * 60_000) for k in range(300)]
+    results = []
+    for seed in (1, 2, 3):
+        random.Random(seed).shuffle(rows)
+        ratio = ArrivalOrderRatio(spark, shared_path(spark, "tied", unique=True), team="t")
+        ratio.process(spark.createDataFrame(rows, SCHEMA).repartition(seed), 0)
+        results.append(sorted(map(tuple, ratio.table.read().collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) > 1
+
+
+def test_ratio_reset_with_late_payments_equals_batch(spark):
+    from tallyflow.functions.codes import result_key
+    from tallyflow.functions.time import minute_epoch_seconds
+    from tallyflow.operators import wireless_pc_ratio_reset
+    from tallyflow.sources import payments_source
+    from tallyflow.streaming.reset_ratio import ResetRatioStream
+
+    batches = [
+        [(1, 1, 1.00, 0, 0, 10), (2, 1, 1.00, 0, 1, 10)],
+        [(3, 1, 2.00, 0, 0, 11), (4, 1, 1.00, 0, 0, 14)],
+        [(5, 1, 0.50, 0, 1, 10), (6, 1, 4.00, 0, 1, 12)],  # both late
+        [(7, 1, 1.00, 0, 0, 13)],  # closes the gap between 11 and 14
+    ]
+    batches = [[(*r[:5], T0 + r[5] * 60_000) for r in rows] for rows in batches]
+    stream = ResetRatioStream(spark, shared_path(spark, "late_w3", unique=True), team="t", compact_every=2)
+    for k, rows in enumerate(batches):
+        stream.process(spark.createDataFrame(rows, SCHEMA), k)
+        seen = spark.createDataFrame([r for b in batches[: k + 1] for r in b], SCHEMA)
+        want = wireless_pc_ratio_reset(payments_source(seen)).select(
+            result_key("ratio_", "t", minute_epoch_seconds("minute")).alias("key"), "ratio"
+        )
+        assert sorted(map(tuple, stream.table.read().collect())) == sorted(map(tuple, want.collect()))
+    m10 = f"ratio_t_{(T0 // 60_000 + 10) * 60}"
+    assert {r.key: r.value for r in stream.table.read().collect()}[m10] == 1.5
+
+
+def test_batch_retried_after_its_compaction(spark):
+    table = MetricsTable(spark, shared_path(spark, "test_retry", unique=True))
+    kv = "key string, value double"
+    table.upsert(spark.createDataFrame([("a", 1.0), ("b", 1.0)], kv), 0)
+    table.upsert(spark.createDataFrame([("b", 2.0)], kv), 1)
+    table.compact(1)
+    table.upsert(spark.createDataFrame([("b", 3.0)], kv), 1)  # the retry has another value
+    table.compact(1)
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1.0), ("b", 3.0)]
+    some = table.read(keys=spark.createDataFrame([("a",), ("z",)], "key string"))
+    assert sorted(map(tuple, some.collect())) == [("a", 1.0)]
+
+
+def test_feed_slices_hold_several_files_in_arrival_order(spark):
+    from tallyflow.streaming.feeds import write_feed
+
+    rows = [(k if k else None, 1, 1.0, 0, 0, T0) for k in range(1000)]
+    path = write_feed(spark.createDataFrame(rows, SCHEMA).repartition(5), shared_path(spark, "slices", unique=True), slices=3, files_per_slice=4)
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(top, True)
+    times = {}
+    while files.hasNext():
+        f = files.next()
+        if f.getPath().getName().startswith("part-"):
+            times[f.getPath().toString()] = f.getModificationTime()
+    assert len(times) == 12
+    order = sorted(times, key=times.get)
+    spans = [spark.read.schema(SCHEMA).parquet(*order[i : i + 4]).agg(F.min("arrival"), F.max("arrival"), F.count("*")).first() for i in (0, 4, 8)]
+    assert spans[0][1] < spans[1][0] and spans[1][1] < spans[2][0] and sum(s[2] for s in spans) == 1000
