@@ -14,10 +14,16 @@ sets. The result is each document's component under links.
    first shared one satisfies the length filter (n_small >= 0.75 n_large) and
    the positional filter (what is left after it still allows the overlap
    that the link needs).
-4. Candidates: within a posted shingle, ordered by n, neighbours between
-   whose sides a pair could pass both filters are joined into one cluster.
-   That is one row per posting, not one per pair; a shingle of a frequent
-   class is split by salt, and its parts' heads are joined.
+4. Candidates. The posted prefixes of a linked pair share not one shingle but
+   at least overlap - ceil(0.75 n_large) + 1 of them (the part of a prefix
+   that the unshared shingles cannot fill), for sizes alike a tenth of n. A
+   shingle posted by at most SMALL documents gives its pairs, which are
+   counted per pair and kept when they reach that number; it gives at most
+   SMALL / 2 pairs per posting. A more frequent one joins neighbours, ordered
+   by n, into one cluster as far as the length filter allows: one row per
+   posting. A shingle of a frequent class is split by salt, and the heads of
+   its parts are joined. A linked pair shares a frequent shingle, or shares
+   only counted ones and reaches the number.
 5. Verification: the texts of a cluster meet once, in blocks. A pair whose
    documents are already connected needs no test; the others pass the length
    filter and the suffix filter (set sizes within fixed ranges of the hash
@@ -27,8 +33,8 @@ sets. The result is each document's component under links.
    Clusters of more than one block: first neighbouring blocks, then what is
    not in the cluster's largest component is tested against all the rest.
 
-Steps 4 and 5 lose no link: a linked pair shares a cluster, and there the
-two are either connected through verified links or tested themselves.
+Steps 4 and 5 lose no link: a linked pair shares a cluster, and there the two
+are either connected through verified links or tested themselves.
 
 Shingles are compared by 64-bit hash. Two different shingles of one pair of
 documents collide with a chance of about n * n / 2**64.
@@ -37,8 +43,8 @@ Defined cases: null and empty texts and texts of white space have an empty
 set, link with nothing, and are components of their own; fewer than five
 words are one shingle; repeated rows are in one component; rows with a null
 id link through an equal set only (their component is null when no row with
-an id has that set) and are never the smallest; an empty table gives an empty result; other columns are
-not read.
+an id has that set) and are never the smallest; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -61,6 +67,8 @@ BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
 #: Salts of a frequent class, for each 1 / HOT_SHARE of all shingles.
 HOT_SALTS = 4
+#: Documents up to which a posted shingle gives its pairs.
+SMALL = 64
 _U = np.uint64
 _KEY = _U(0x9E6C63D0876A9A4B)
 
@@ -259,17 +267,12 @@ def _candidates(rows: DataFrame, described: DataFrame, sets: DataFrame, classes:
     salts = np.where(share > 1, np.ceil(share * HOT_SALTS), 0).astype(np.int64)
     sent = spark.sparkContext.broadcast((rank, salts))
     posted = rows.where(F.col("id").isNotNull()).mapInArrow(_post(sent), "token long, salt int, doc long, n int, reach int")
-    by = Window.partitionBy("token", "salt").orderBy("n", "doc")
-    chained = posted.withColumn("prev", F.lag("doc").over(by)).withColumn(
-        "before", F.max("reach").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    )
-    split = F.col("salt") >= 0
-    chains = staged(
-        chained.where(F.when(F.col("prev").isNull(), split).otherwise(split | (F.col("before") >= F.col("n")))).select("token", "prev", "doc"),
-        "jaccard_chains",
+    bucket = Window.partitionBy("token", "salt")
+    shared = staged(
+        posted.withColumn("df", F.count(F.lit(1)).over(bucket)).where("df > 1 or salt >= 0"), "jaccard_shared"
     )
-    heads = chains.where("prev is null").select("token", "doc", F.lag("doc").over(Window.partitionBy("token").orderBy("doc")).alias("prev"))
-    edges = chains.select("prev", "doc").unionByName(heads.select("prev", "doc")).where("prev is not null").distinct()
+    is_small = (F.col("salt") < 0) & (F.col("df") <= SMALL)
+    edges = _counted(shared.where(is_small)).unionByName(_chained(shared.where(~is_small))).distinct()
     # Tasks posted copies of a class under different ids: name it alike.
     other = staged(
         skew_lookup(
@@ -284,6 +287,43 @@ def _candidates(rows: DataFrame, described: DataFrame, sets: DataFrame, classes:
     return edges.select(F.coalesce("prev_rep", "prev").alias("a"), F.coalesce("doc_rep", "doc").alias("b")).where("a != b")
 
 
+def _counted(small: DataFrame) -> DataFrame:
+    """Pairs of small buckets that share as many posted shingles as a link
+    needs (see step 4), by at least one that may be their first shared one."""
+    before = Window.partitionBy("token").orderBy("n", "doc").rowsBetween(-(SMALL - 1), -1)
+    pairs = (
+        small.withColumn("earlier", F.collect_list(F.struct("n", "doc", "reach")).over(before))
+        .withColumn("x", F.explode("earlier"))
+        .where(F.col("x.n") * 100 >= F.col("n") * 75)
+        .groupBy(F.col("x.doc").alias("prev"), "doc", F.col("x.n").alias("nx"), "n")
+        .agg(
+            F.count(F.lit(1)).alias("same"),
+            F.max((F.col("x.reach") >= F.col("n")) & (F.col("reach") >= F.col("x.n"))).alias("first"),
+        )
+    )
+    overlap = F.expr("(3 * (nx + n) + 6) div 7")
+    need = overlap - F.expr("(75 * n + 99) div 100") + 1
+    return pairs.where(F.col("first") & (F.col("same") >= need)).select("prev", "doc")
+
+
+def _chained(large: DataFrame) -> DataFrame:
+    """Neighbours by size in large buckets, as far as the length filter lets
+    a pair reach across them; parts of a split bucket are joined whole."""
+    by = Window.partitionBy("token", "salt").orderBy("n", "doc")
+    split = F.col("salt") >= 0
+    chains = staged(
+        large.select(
+            "token", "salt", "doc", "n", F.lag("doc").over(by).alias("prev"),
+            F.max(F.expr("n * 100 div 75")).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        )
+        .where(F.when(F.col("prev").isNull(), split).otherwise(split | (F.col("before") >= F.col("n"))))
+        .select("token", "prev", "doc"),
+        "jaccard_chains",
+    )
+    heads = chains.where("prev is null").select("token", "doc", F.lag("doc").over(Window.partitionBy("token").orderBy("doc")).alias("prev"))
+    return chains.select("prev", "doc").unionByName(heads.select("prev", "doc")).where("prev is not null")
+
+
 def _verified(rows: DataFrame, clusters: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect what is linked within ``clusters``."""
     sizes = sets.select(F.col("id").alias("doc"), "n")
