@@ -140,59 +140,53 @@ def _java_div(num: Column, den: Column) -> Column:
     )
 
 
-def island_totals(device_minute_rows: DataFrame, by: str = "device", checkpoint: bool = True) -> DataFrame:
+def island_totals(device_minute_rows: DataFrame, by: str = "device") -> DataFrame:
     """Per ``by`` and minute: the total since the start of the current run of
     consecutive minutes (a missing minute restarts it).
 
-    Input: ``<by>, minute, cents`` with one row per present (by, minute).
-    Output adds ``run_cents``. ``checkpoint=False`` recomputes the shared
-    intermediate instead of checkpointing it (for per-micro-batch use, where
-    the input is small and a checkpoint per batch would pile up).
+    Input: ``<by>, minute, cents`` with one row per present (by, minute), so
+    its size follows the time span, not the data. Output adds ``run_cents``.
+    A run is named by its first minute; both windows use the one exchange by
+    ``by`` (a run's rows are together wherever its group's are).
     """
-    present = device_minute_rows.select(by, "minute", "cents")
-    prefix = running_aggregate(present, "minute", ["cents"], by=(by,), suffix="_pre")
-    prev = present.select(by, (F.col("minute") + 1).alias("minute"), F.lit(True).alias("_has_prev"))
-    # Read by two branches below; one row per (by, minute), so it is
-    # materialised once rather than recomputed per branch.
-    flagged = prefix.join(prev, [by, "minute"], "left").withColumn(
-        "_start", F.when(F.col("_has_prev").isNull(), F.col("minute"))
-    )
-    if checkpoint:
-        flagged = materialize(flagged)
-    with_start = running_aggregate(
-        flagged.select(by, "minute", "cents", "cents_pre", "_start"),
-        "minute",
-        ["_start"],
-        by=(by,),
-        how="max",
-        suffix="_run",
-    )
-    bases = flagged.where(F.col("_start").isNotNull()).select(
-        by, F.col("minute").alias("_start_run"), (F.col("cents_pre") - F.col("cents")).alias("_base")
-    )
+    order = Window.partitionBy(by).orderBy("minute")
+    starts = F.when(F.coalesce(F.lag("minute").over(order) != F.col("minute") - 1, F.lit(True)), F.col("minute"))
+    run = Window.partitionBy(by, "_run").orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        with_start.join(bases, [by, "_start_run"], "inner")
-        .withColumn("run_cents", F.col("cents_pre") - F.col("_base"))
+        device_minute_rows.select(by, "minute", "cents")
+        .withColumn("_start", starts)
+        .withColumn("_run", F.max("_start").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("run_cents", F.sum("cents").over(run))
         .select(by, "minute", "cents", "run_cents")
     )
 
 
-def wireless_pc_ratio_reset(payments: DataFrame, device_col: str = "pay_platform") -> DataFrame:
-    """Ratio where each device's total carries over only from the
-    immediately preceding minute, so a gap restarts it. A minute with no
-    PC payment gives Double.MAX_VALUE; with PC but no wireless, 0.0.
+def device_ratios(device_minute_rows: DataFrame) -> DataFrame:
+    """``minute, pc_run, wl_run, ratio`` of the runs of both devices (0: PC).
 
-    Input: normalised payments (``minute, amount_cents, <device_col>``).
-    """
-    dev = F.when(F.col(device_col) == DEVICE_PC, F.lit(0)).otherwise(F.lit(1))
-    per = payments.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").alias("cents"))
-    # One row per (device, minute): bounded by the time span, not the data.
-    # Materialised once so the run detection below scans it, not the payments.
-    runs = island_totals(materialize(per), "device")
-    pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
-    wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
-    both = pc.join(wl, "minute", "full_outer")
+    A minute with no PC payment gives Double.MAX_VALUE; with PC but no
+    wireless, 0.0."""
+    runs = island_totals(device_minute_rows, "device")
+    both = runs.groupBy("minute").agg(
+        F.max(F.when(F.col("device") == 0, F.col("run_cents"))).alias("pc_run"),
+        F.max(F.when(F.col("device") == 1, F.col("run_cents"))).alias("wl_run"),
+    )
     ratio = F.when(F.col("pc_run").isNull(), F.lit(JAVA_DOUBLE_MAX)).otherwise(
         _java_div(F.coalesce("wl_run", F.lit(0)), F.col("pc_run"))
     )
     return both.select("minute", "pc_run", "wl_run", ratio.alias("ratio"))
+
+
+def device_minute_cents(payments: DataFrame, device_col: str = "pay_platform") -> DataFrame:
+    """``device, minute, cents`` of normalised payments."""
+    dev = F.when(F.col(device_col) == DEVICE_PC, F.lit(0)).otherwise(F.lit(1))
+    return payments.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").cast("long").alias("cents"))
+
+
+def wireless_pc_ratio_reset(payments: DataFrame, device_col: str = "pay_platform") -> DataFrame:
+    """Ratio where each device's total carries over only from the
+    immediately preceding minute, so a gap restarts it.
+
+    Input: normalised payments (``minute, amount_cents, <device_col>``).
+    """
+    return device_ratios(device_minute_cents(payments, device_col))

@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.constants import DEFAULT_TEAM, DEVICE_PC, JAVA_DOUBLE_MAX, RATIO_PREFIX
+from tallyflow.constants import DEFAULT_TEAM, RATIO_PREFIX
 from tallyflow.functions.codes import result_key
 from tallyflow.functions.time import minute_epoch_seconds
-from tallyflow.operators.windows import _java_div, island_totals
+from tallyflow.operators.windows import device_minute_cents, device_ratios
 from tallyflow.sinks.metrics_store import MetricsTable
 from tallyflow.sources.feeds import payments_source
 
@@ -43,26 +43,18 @@ class ResetRatioStream:
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        p = payments_source(batch, self.cents_mode)
-        dev = F.when(F.col("pay_platform") == DEVICE_PC, F.lit(0)).otherwise(F.lit(1))
         # Two rows a minute of the batch: read by the branches below.
-        new = p.groupBy(dev.alias("device"), "minute").agg(F.sum("amount_cents").cast("long").alias("cents")).cache()
+        new = device_minute_cents(payments_source(batch, self.cents_mode)).cache()
         try:
             first = new.agg(F.min("minute")).first()[0]
             if first is None:
                 return
             kept = self._kept(batch_id)
             merged = kept.unionByName(new).groupBy("device", "minute").agg(F.sum("cents").alias("cents"))
-            runs = island_totals(merged, "device", checkpoint=False)
-            pc = runs.where(F.col("device") == 0).select("minute", F.col("run_cents").alias("pc_run"))
-            wl = runs.where(F.col("device") == 1).select("minute", F.col("run_cents").alias("wl_run"))
-            both = pc.join(wl, "minute", "full_outer").where(F.col("minute") >= first)
-            ratio = F.when(F.col("pc_run").isNull(), F.lit(JAVA_DOUBLE_MAX)).otherwise(
-                _java_div(F.coalesce("wl_run", F.lit(0)), F.col("pc_run"))
-            )
+            ratios = device_ratios(merged).where(F.col("minute") >= first)
             self.table.upsert(
-                both.select(
-                    result_key(RATIO_PREFIX, self.team, minute_epoch_seconds("minute")).alias("key"), ratio.alias("value")
+                ratios.select(
+                    result_key(RATIO_PREFIX, self.team, minute_epoch_seconds("minute")).alias("key"), F.col("ratio").alias("value")
                 ),
                 batch_id,
             )

@@ -171,7 +171,7 @@ class ArrivalOrderRatio:
         self.state = MetricsTable(spark, f"{self.root}/state")
 
     def _prior(self, batch_id: int) -> tuple[int | None, int, int]:
-        if not any(v < batch_id for v in self.state.versions()):  # first batch: a listing, no job
+        if batch_id == 0:  # no state before the first batch: no listing, no job
             return None, 0, 0
         vals = {r["key"]: r["value"] for r in self.state.read(before=batch_id).collect()}  # three rows
         if not vals:

@@ -95,3 +95,26 @@ def test_hot_key_turnover_is_correct(skewed, rows_per_task):
     d = d.merge(orders[["order_id", "platform"]], on="order_id")
     exp = d.groupby(["platform", "minute"]).amount_cents.sum().to_dict()
     assert got == exp
+
+
+def test_salts_grow_with_the_id(spark):
+    from tallyflow.operators.skew import hot_keys, hot_table, salted
+
+    per_task = 500
+    largest = []
+    for rows in (4_000, 40_000):  # the hot id grows tenfold, its salts do too
+        df = spark.range(rows).select(F.lit(7).alias("order_id"), F.col("id").alias("arrival")).unionByName(
+            spark.range(2_000).select((F.col("id") + 100).cast("int").alias("order_id"), "id").toDF("order_id", "arrival")
+        )
+        table = hot_table(hot_keys(df, "order_id", per_task, fraction=0.5))
+        counts = salted(df, table, "order_id", df.columns).groupBy("order_id", "_salt").count()
+        largest.append(counts.agg(F.max("count")).first()[0])
+    assert max(largest) < 2 * per_task
+
+
+def test_ratio_counts_copies_once_when_asked(spark):
+    from tallyflow.plans.metrics import ratio_metric
+
+    rows = [(1, 1, 2.0, 0, 0, 60_000), (2, 1, 2.0, 0, 0, 60_000), (3, 1, 1.0, 0, 1, 60_000)]
+    df = spark.createDataFrame(rows, "arrival long, order_id long, pay_amount double, pay_source int, pay_platform int, create_time_ms long")
+    assert ratio_metric(df).first().ratio == 0.25 and ratio_metric(df, dedup=True).first().ratio == 0.5

@@ -523,3 +523,15 @@ def test_feed_slices_hold_several_files_in_arrival_order(spark):
     order = sorted(times, key=times.get)
     spans = [spark.read.schema(SCHEMA).parquet(*order[i : i + 4]).agg(F.min("arrival"), F.max("arrival"), F.count("*")).first() for i in (0, 4, 8)]
     assert spans[0][1] < spans[1][0] and spans[1][1] < spans[2][0] and sum(s[2] for s in spans) == 1000
+
+
+def test_compaction_bounds_what_a_read_lists(spark):
+    table = MetricsTable(spark, shared_path(spark, "test_bound", unique=True))
+    for batch in range(9):
+        table.upsert(spark.createDataFrame([("a", float(batch)), (f"k{batch}", 1.0)], "key string, value double"), batch)
+        if batch % 3 == 2:
+            table.compact(batch)
+        now = table._generation(table._latest_snapshot(None))
+        assert len(table._list(now, "batch=")) <= 3
+    rows = dict(map(tuple, table.read().collect()))
+    assert len(rows) == 10 and rows["a"] == 8.0
