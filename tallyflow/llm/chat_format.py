@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import staged
+from tallyflow.llm.common import bounded_batches, staged
 
 LINE_WORDS = 4
 #: Turns per window block.
@@ -149,7 +149,7 @@ def _links(parsed: DataFrame) -> DataFrame:
 def link_quotes(messages: DataFrame) -> DataFrame:
     """One row per message (conv_id, turn, role, text): conv_id, turn, role,
     text (without quotes), n_quotes, n_linked, reply_to, thread, position."""
-    base = messages.select(
+    base = bounded_batches(messages).select(
         F.monotonically_increasing_id().alias("row"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
     )
     parsed = staged(base.mapInArrow(_parse, _PARSED), "chat_parsed")

@@ -18,6 +18,18 @@ HOT_SHARE = 4096
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes of an Arrow batch that goes to a Python worker (and one row more): a
+#: worker holds a few copies of a batch, whatever the length of the texts.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after limiting the session's Arrow batches to BATCH_BYTES. Only
+    the memory of Python workers depends on it, no result does."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

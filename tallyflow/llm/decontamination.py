@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import keep_ids, staged
+from tallyflow.llm.common import bounded_batches, keep_ids, staged
 from tallyflow.llm.textarrays import texts
 
 Q = 8  # a q-gram is one 64-bit number
@@ -240,7 +240,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per occurrence: id_col, item_id, edits, start, end (byte places
     in the normalised document)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, item_id long, edits int, start long, end long"
     found = None

@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import HOT_SHARE, keep_ids, skew_lookup, staged
+from tallyflow.llm.common import HOT_SHARE, bounded_batches, keep_ids, skew_lookup, staged
 from tallyflow.llm.components import components
 from tallyflow.llm.textarrays import mix, shingle_sets, slices, texts
 
@@ -226,8 +226,7 @@ def _tested(blocks: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col, n_shingles, component_id."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = staged(rows.mapInArrow(_describe, "kind byte, id long, n long, d1 long, d2 long"), "jaccard_described")
     sets = described.where("kind = 0").select("id", "n", F.concat_ws(" ", "n", "d1", "d2").alias("set"))
     # Equal sets are one class, named by its smallest id.

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.llm.common import bounded_batches
 from tallyflow.llm.textarrays import mix, slices, texts
 
 BUCKETS = 1 << 15
@@ -111,7 +112,7 @@ def _count(languages: list[str]):
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE):
     """(languages, log prior, log probability matrix) from labelled rows."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = bounded_batches(labelled).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
     found = rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -167,7 +168,7 @@ def _score(model):
 
 def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, lang_pred, score for every row of ``docs``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)
     out = rows.mapInArrow(_score(sent), f"id {id_type}, lang_pred string, score double")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import one_row, staged
+from tallyflow.llm.common import bounded_batches, one_row, staged
 from tallyflow.llm.textarrays import slices, texts, word_hashes
 
 VOCABULARY_BITS = 20
@@ -173,7 +173,7 @@ def lm_scores(
     """One row per row of ``docs``: id_col, n_words, score (mean log score)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    text = docs.select(F.col(text_col).alias("text"))
+    text = bounded_batches(docs).select(F.col(text_col).alias("text"))
     words = staged(
         text.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words"
     )

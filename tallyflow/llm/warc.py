@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import skew_lookup, staged
+from tallyflow.llm.common import bounded_batches, skew_lookup, staged
 from tallyflow.session import shared_path
 
 REVISIT_BYTES = 100
@@ -189,7 +189,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     folder = folder or shared_path(spark, "llm", "warc", unique=True)
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select(
+    rows = bounded_batches(pages).select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html", F.octet_length(html).alias("n"), F.unhex(F.sha2(html, 256)).alias("digest")
     )
     same = staged(
