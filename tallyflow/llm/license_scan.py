@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.llm.common import bounded_batches
+
 #: The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 #: Notice phrases of the method, in words, and their labels.
@@ -119,12 +121,25 @@ def evaluate(expression: str) -> tuple[frozenset, frozenset]:
 
 def leading_expression(text: str) -> str | None:
     """The longest valid expression that the text begins with."""
-    tokens = _TOKEN.findall(text)[:64]
-    for n in range(len(tokens), 0, -1):
+    tokens, ends, depth, value_next = _TOKEN.findall(text), [], 0, True
+    for n, token in enumerate(map(str.lower, tokens), 1):
+        if token == "(" and value_next:
+            depth += 1
+        elif token == ")" and not value_next and depth:
+            depth -= 1
+        elif token in _POWER and not value_next:
+            value_next = True
+        elif token not in _POWER and value_next and _ID.fullmatch(token):
+            value_next = False
+        else:
+            break
+        if not value_next and not depth:
+            ends.append(n)  # complete up to here
+    for n in reversed(ends):
         candidate = " ".join(tokens[:n])
         try:
             evaluate(candidate)
-        except ValueError:
+        except ValueError:  # "with" between expressions
             continue
         return candidate
     return None
@@ -209,7 +224,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id_col and the fields of ``scan``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(_scan, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
 
