@@ -13,9 +13,9 @@ from tallyflow.session import shared_path
 #: fewer than HOT_SHARE hot keys whatever the size of the table.
 HOT_SHARE = 4096
 
-#: A table of at most this many narrow rows may be broadcast; above it the
-#: same result comes from a shuffle join.
-BROADCAST_ROWS = 1_000_000
+#: A table of at most this many ids may be broadcast (some 30 MB with its hash
+#: table); above it the same result comes from a shuffle join.
+BROADCAST_ROWS = 250_000
 
 
 #: Bytes of an Arrow batch that goes to a Python worker (and one row more): a
