@@ -84,13 +84,20 @@ def _shifted(digits: Column, by: Column) -> Column:
     return (digits * F.rpad(F.lit("1"), by + 1, "0").cast(_INT_T)).cast(_INT_T)
 
 
-def _sum(a: Column, b: Column) -> Column:
-    sa, sb = _small(a), _small(b)
+def _wide(a: Column, b: Column, body) -> Column:
+    """``body`` of both operands' parts, taken apart once. A lambda is not
+    compiled into the stage's code, which the general case would overgrow."""
     (da, ea), (db, eb) = _parts(a), _parts(b)
+    names = ("a", "b", "da", "ea", "db", "eb")
+    parts = F.struct(*(c.alias(n) for c, n in zip((a, b, da, ea, db, eb), names, strict=True)))
+    return F.transform(F.array(parts), lambda p: body(*(p[n] for n in names)))[0]
+
+
+def _aligned(a: Column, b: Column, da: Column, ea: Column, db: Column, eb: Column) -> Column:
     gap = ea - eb
     # Digits that do not fit after alignment: the other operand's first digit
     # is 20 places below, where it changes nothing in a double.
-    aligned = (
+    return (
         F.when(da == 0, b)
         .when(db == 0, a)
         .when((gap >= 0) & ~_fits(da, gap), a)
@@ -98,7 +105,11 @@ def _sum(a: Column, b: Column) -> Column:
         .when(gap >= 0, _double(_shifted(da, gap) + db, eb))
         .otherwise(_double(da + _shifted(db, -gap), ea))
     )
-    return F.when(sa.isNotNull() & sb.isNotNull(), (sa + sb).cast("double")).otherwise(aligned)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    sa, sb = _small(a), _small(b)
+    return F.when(sa.isNotNull() & sb.isNotNull(), (sa + sb).cast("double")).otherwise(_wide(a, b, _aligned))
 
 
 def exact_add(a: Column | str, b: Column | str) -> Column:
@@ -112,9 +123,32 @@ def exact_sub(a: Column | str, b: Column | str) -> Column:
 def exact_mul(a: Column | str, b: Column | str) -> Column:
     a, b = _c(a), _c(b)
     sa, sb = _small(a), _small(b)
-    (da, ea), (db, eb) = _parts(a), _parts(b)
-    wide = _double(da.cast(DecimalType(18, 0)) * db.cast(DecimalType(18, 0)), ea + eb)
-    return F.when(sa.isNotNull() & sb.isNotNull(), (sa * sb).cast("double")).otherwise(wide)
+
+    def product(a, b, da, ea, db, eb):
+        return _double(da.cast(DecimalType(18, 0)) * db.cast(DecimalType(18, 0)), ea + eb)
+
+    return F.when(sa.isNotNull() & sb.isNotNull(), (sa * sb).cast("double")).otherwise(_wide(a, b, product))
+
+
+def _quotient(scale: int):
+    def body(a, b, da, ea, db, eb):
+        # a / b * 10 ** scale = da * 10 ** by / db, rounded to an integer.
+        by = ea - eb + F.lit(scale)
+        over = F.raise_error(F.lit("the quotient has more digits than 38")).cast(_INT_T)
+        num = F.when(by <= 0, da).when(_fits(da, by), _shifted(da, by)).otherwise(over)
+        den = F.when(by >= 0, db).when(_fits(db, -by), _shifted(db, -by)).otherwise(F.lit(None).cast(_INT_T))
+        n, d = F.abs(num), F.abs(den)
+        rest = n % d
+        whole = ((n - rest) / d).cast(_INT_T) + F.when(rest >= d - rest, F.lit(1)).otherwise(F.lit(0))
+        sign = F.when((da < 0) != (db < 0), F.lit("-")).otherwise(F.lit(""))
+        rounded = F.concat(sign, whole.cast("string"), F.lit(f"E-{scale}")).cast("double")
+        return (
+            F.when(db == 0, a / b)
+            .when((da == 0) | ((by < 0) & ~_fits(db, -by) & da.isNotNull()), F.lit(0.0))  # far below half a unit
+            .otherwise(rounded)
+        )
+
+    return body
 
 
 def exact_div(a: Column | str, b: Column | str, scale: int = DEFAULT_DIV_SCALE) -> Column:
@@ -125,27 +159,14 @@ def exact_div(a: Column | str, b: Column | str, scale: int = DEFAULT_DIV_SCALE)
     """
     if scale < 0:
         raise ValueError("scale must be a positive integer or zero")
-    a, b = _c(a), _c(b)
-    (da, ea), (db, eb) = _parts(a), _parts(b)
-    # a / b * 10 ** scale = da * 10 ** by / db, rounded to an integer.
-    by = ea - eb + F.lit(scale)
-    over = F.raise_error(F.lit("the quotient has more digits than 38")).cast(_INT_T)
-    num = F.when(by <= 0, da).when(_fits(da, by), _shifted(da, by)).otherwise(over)
-    den = F.when(by >= 0, db).when(_fits(db, -by), _shifted(db, -by)).otherwise(F.lit(None).cast(_INT_T))
-    n, d = F.abs(num), F.abs(den)
-    rest = n % d
-    whole = ((n - rest) / d).cast(_INT_T) + F.when(rest >= d - rest, F.lit(1)).otherwise(F.lit(0))
-    sign = F.when((da < 0) != (db < 0), F.lit("-")).otherwise(F.lit(""))
-    rounded = F.concat(sign, whole.cast("string"), F.lit(f"E-{scale}")).cast("double")
-    return (
-        F.when(db == 0, a / b)
-        .when((da == 0) | ((by < 0) & ~_fits(db, -by) & da.isNotNull()), F.lit(0.0))  # far below half a unit
-        .otherwise(rounded)
-    )
+    return _wide(_c(a), _c(b), _quotient(scale))
 
 
 def exact_round(v: Column | str, scale: int) -> Column:
     """Round HALF_UP on the decimal form of the double."""
     if scale < 0:
         raise ValueError("scale must be a positive integer or zero")
-    return exact_div(v, F.lit(1.0), scale)
+    v = _c(v)
+    small = _small(v)
+    rounded = F.round(small, scale).cast("double") if scale < 9 else v
+    return F.when(small.isNotNull(), rounded).otherwise(_wide(v, F.lit(1.0), _quotient(scale)))
