@@ -6,6 +6,8 @@ codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -159,7 +161,17 @@ def exact_div(a: Column | str, b: Column | str, scale: int = DEFAULT_DIV_SCALE)
     """
     if scale < 0:
         raise ValueError("scale must be a positive integer or zero")
-    return _wide(_c(a), _c(b), _quotient(scale))
+    a, b = _c(a), _c(b)
+    wide = _wide(a, b, _quotient(scale))
+    if scale > 17:
+        return wide
+    # Small operands: Spark's quotient has 19 decimals. Rounding it again is
+    # right unless it lies on a boundary, which the first rounding may have
+    # moved it to.
+    q = _small(a) / _small(b)
+    once = F.round(q, scale)
+    half = F.lit(Decimal(5).scaleb(-scale - 1)).cast(DecimalType(scale + 2, scale + 1))
+    return F.when(F.abs(q - once) != half, once.cast("double")).otherwise(wide)
 
 
 def exact_round(v: Column | str, scale: int) -> Column:
