@@ -6,21 +6,29 @@ A word after another scores log(c(v w) / c(v)) when the bigram occurs at least
 text's first word scores log(c(w) / N). A document's score is the mean over
 its words.
 
-The vocabulary holds the words with at least one in 2**VOCABULARY_BITS of all
-N words, so it has at most 2**VOCABULARY_BITS entries at any size of the
-corpus; the other words count together as one unknown word. That bound lets
-the vocabulary be broadcast and a bigram be one exact integer of two word
-numbers. Numbers go by falling count.
+Every word and every bigram is counted exactly, however rare. The words with
+at least one in 2**VOCABULARY_BITS of all N words, so at most
+2**VOCABULARY_BITS of them at any size of the corpus, are broadcast with their
+counts and numbered by falling count; a bigram of two of them is one integer.
+Any other word is its hash, and its count comes to its bigrams by a shuffle:
+they are dealt by that word, which has less than one in 2**VOCABULARY_BITS of
+the words, and meet its row of the count table there. A bigram of two such
+words goes to both; c(v w) is known at either, so the first word's place adds
+the seen value and the second word's the unseen one.
 
 Bigrams of the HEAD most frequent words only (at most HEAD * HEAD kinds) are
 counted with a map-side combine and their table is broadcast. All other
-bigrams are exploded, one row per document and kind, and partitioned by the
-bigram's hash. Counts and rows share that one exchange: a bigram's count is
-summed where its rows are and joined to them there (a window sum, since a
-count table of its own would move the same rows a second time), and each
-task sums up what it has of a document before the last shuffle. Frequent words are thus never a shuffle
-key by themselves: a key of the join holds a word outside the HEAD most
-frequent.
+bigrams are exploded, one row per document and kind. Counts and rows share one
+exchange: a bigram's count is summed where its rows are and joined to them
+there (a window sum, since a count table of its own would move the same rows
+a second time), and each task sums up what it has of a document before the
+last shuffle. Frequent words are thus never a shuffle key by themselves: a key
+holds a word outside the HEAD most frequent.
+
+With ``bits``, words with less than one in 2**bits of all words count together
+as one unknown word. The query has no such bound. ``SQL`` has one of 20 bits,
+which no word is under up to 2**20 words: above that size it scores rare words
+as the unknown word and is not what the query computes.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, told apart by 64-bit
 hash (see ``textarrays``).
@@ -37,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.llm.common import bounded_batches, one_row, staged
@@ -47,7 +55,10 @@ VOCABULARY_BITS = 20
 HEAD = 1024
 MIN_COUNT = 2
 BACKOFF = 0.4
-_ID_BITS = 21  # numbers of words, 0 being the unknown word
+_ID_BITS = 21  # numbers of words, 0 being a word without one
+#: What a row's ``at`` is: a bigram of two numbered words, the hash of a
+#: bigram's first or second word or of a text's first one, a text, a count.
+_BOTH, _FIRST, _SECOND, _START, _TEXT, _COUNT = range(6)
 #: Distinct words a task holds before it hands them on.
 _HOLD = 1 << 20
 
@@ -83,11 +94,13 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Vocabulary:
-    """Word numbers by hash: 0 is unknown, 1 the most frequent word."""
+    """Word numbers by hash: 1 is the most frequent word, 0 has no number.
+    With ``pooled`` the words without a number are one word, numbered 0."""
 
-    def __init__(self, words: np.ndarray):
+    def __init__(self, words: np.ndarray, pooled: bool):
         order = np.argsort(words)
         self.words, self.number = words[order], (order + 1).astype(np.int64)
+        self.least = 0 if pooled else 1
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -97,12 +110,12 @@ class _Vocabulary:
 
 
 def _bigrams(vocabulary: _Vocabulary, b: np.ndarray, at: np.ndarray):
-    """(numbers of all words, each text's first place, places whose word has
-    one before it in its text)."""
+    """(numbers of all words, their hashes, each text's first place, places
+    whose word has one before it in its text)."""
     h, first = word_hashes(b, at)
     inner = np.ones(len(h), bool)
     inner[first[:-1][first[:-1] < len(h)]] = False
-    return vocabulary.numbers(h), first, np.flatnonzero(inner)
+    return vocabulary.numbers(h), h.view(np.int64), first, np.flatnonzero(inner)
 
 
 def _head_counts(sent):
@@ -112,9 +125,9 @@ def _head_counts(sent):
         for batch in batches:
             data, offsets = texts(batch.column(0))
             for _, _, b, at in slices(data, offsets):
-                w, _, inner = _bigrams(vocabulary, b, at)
+                w, _, _, inner = _bigrams(vocabulary, b, at)
                 v, w = w[inner - 1], w[inner]
-                both = (v < HEAD) & (w < HEAD)
+                both = (np.minimum(v, w) >= vocabulary.least) & (np.maximum(v, w) < HEAD)
                 counts += np.bincount(v[both] * HEAD + w[both], minlength=HEAD * HEAD)
         at = np.flatnonzero(counts)
         if len(at):
@@ -124,51 +137,70 @@ def _head_counts(sent):
 
 
 def _explode(sent):
-    """Rows (gram, row, n) of the bigrams outside the head, and one row per
-    text with gram = -1 - row: its id, its words and what its head bigrams
-    score."""
+    """Rows (at, kind, other, row, n) of the bigrams outside the head and of
+    first words without a number, and one row per text of kind _TEXT: its id,
+    its words and what its head bigrams and numbered first word score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, log_count, log_total, head, min_count = sent.value
+        least = vocabulary.least
         for batch in batches:
             data, offsets = texts(batch.column(2))
             keys, ids = batch.column(0).to_numpy(), batch.column(1)
             for i, j, b, at in slices(data, offsets):
-                w, first, inner = _bigrams(vocabulary, b, at)
+                w, h, first, inner = _bigrams(vocabulary, b, at)
                 text = np.repeat(np.arange(j - i), np.diff(first))
                 base = np.zeros(j - i)
                 starts = first[:-1][np.diff(first) > 0]
+                rare = starts[w[starts] < least]
+                starts = starts[w[starts] >= least]
                 np.add.at(base, text[starts], log_count[w[starts]] - log_total)
                 v, u, t = w[inner - 1], w[inner], text[inner]
-                both = (v < HEAD) & (u < HEAD)
+                both = (np.minimum(v, u) >= least) & (np.maximum(v, u) < HEAD)
                 c = head[v[both] * HEAD + u[both]]
                 seen = c >= min_count
                 value = np.where(
                     seen, np.log(np.maximum(c, 1)) - log_count[v[both]], np.log(BACKOFF) + log_count[u[both]] - log_total
                 )
                 base += np.bincount(t[both], weights=value, minlength=j - i)
-                gram, t = (v[~both] << _ID_BITS) | u[~both], t[~both]
-                order = np.lexsort((gram, t))
-                gram, t = gram[order], t[order]
-                new = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (t[1:] != t[:-1])))) if len(gram) else np.zeros(0, np.int64)
-                n = np.diff(np.append(new, len(gram)))
+                v, u, t, inner = v[~both], u[~both], t[~both], inner[~both]
+                one, two = v < least, u < least
+                # A word without a number is its hash, which is no number (see ``lm_scores``).
+                v, u = np.where(one, h[inner - 1], v), np.where(two, h[inner], u)
+                packed = ~one & ~two
+                parts = (
+                    (_BOTH, (v[packed] << _ID_BITS) | u[packed], np.zeros(packed.sum(), np.int64), t[packed]),
+                    (_FIRST, v[one], u[one], t[one]),
+                    (_SECOND, u[two], v[two], t[two]),
+                    (_START, h[rare], np.zeros(len(rare), np.int64), text[rare]),
+                )
+                kind = np.concatenate([np.full(len(p[1]), p[0], np.int32) for p in parts])
+                key, other, t = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+                order = np.lexsort((other, key, kind, t))
+                kind, key, other, t = kind[order], key[order], other[order], t[order]
+                new = np.ones(len(t), bool)
+                new[1:] = (kind[1:] != kind[:-1]) | (key[1:] != key[:-1]) | (other[1:] != other[:-1]) | (t[1:] != t[:-1])
+                new = np.flatnonzero(new)
+                n = np.diff(np.append(new, len(t)))
                 own = keys[i:j]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate((gram[new], -1 - own))),
+                        pa.array(np.concatenate((key[new], -1 - own))),
+                        pa.array(np.concatenate((kind[new], np.full(j - i, _TEXT, np.int32)))),
+                        pa.array(np.concatenate((other[new], np.zeros(j - i, np.int64)))),
                         pa.array(np.concatenate((own[t[new]], own))),
                         pa.concat_arrays([pa.nulls(len(new), ids.type), ids.slice(i, j - i)]),
-                        pa.array(np.concatenate((n, np.diff(first))).astype(np.int32)),
+                        pa.array(np.concatenate((n, np.diff(first))).astype(np.int64)),
                         pa.array(np.concatenate((np.zeros(len(new)), base))),
                     ],
-                    ["gram", "row", "id", "n", "base"],
+                    ["at", "kind", "other", "row", "id", "n", "base"],
                 )
 
     return run
 
 
 def lm_scores(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, bits: int = VOCABULARY_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, bits: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: id_col, n_words, score (mean log score)."""
     spark = docs.sparkSession
@@ -178,8 +210,12 @@ def lm_scores(
         text.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm_words"
     )
     total = one_row(words, [F.sum("n").alias("n")])["n"] or 0
-    known = words.where(F.col("n") * F.lit(1 << bits) >= F.lit(total)).orderBy(F.desc("n"), "word").toArrow()
-    vocabulary = _Vocabulary(known["word"].to_numpy().astype(np.int64).view(np.uint64))
+    numbered = F.col("n") * F.lit(1 << (VOCABULARY_BITS if bits is None else bits)) >= F.lit(total)
+    if bits is None:
+        # Hashes that could be taken for a number have one, so no other word's hash is a number.
+        numbered |= F.col("word").between(0, (1 << _ID_BITS) - 1)
+    known = words.where(numbered).orderBy(F.desc("n"), "word").toArrow()
+    vocabulary = _Vocabulary(known["word"].to_numpy().astype(np.int64).view(np.uint64), bits is not None)
     counts = known["n"].to_numpy()
     counts = np.concatenate(([total - int(counts.sum())], counts))
     log_count = np.log(np.maximum(counts, 1).astype(float))
@@ -188,32 +224,47 @@ def lm_scores(
     head = np.zeros(HEAD * HEAD, np.int64)
     head[heads["gram"].to_numpy()] = heads["n"].to_numpy()
     sent = sc.broadcast((vocabulary, log_count, log_total, head, min_count))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = numbered.schema["id"].dataType.simpleString()
-    exploded = numbered.mapInArrow(_explode(sent), f"gram long, row long, id {kind}, n int, base double")
-    joined = exploded.withColumn("c", F.sum("n").over(Window.partitionBy("gram")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    exploded = rows.mapInArrow(_explode(sent), f"at long, kind int, other long, row long, id {kind}, n long, base double")
+    if bits is None:
+        rare = words.where(~numbered).select(F.col("word").alias("at"), F.lit(_COUNT).alias("kind"), "n")
+        exploded = exploded.unionByName(rare, allowMissingColumns=True)
+    # Dealt by ``at`` alone, so that both windows find their rows in one place.
+    joined = (
+        exploded.repartition("at")
+        .withColumn("c", F.sum("n").over(Window.partitionBy("at", "kind", "other")))
+        .withColumn("log_at", F.log(F.max(F.when(F.col("kind") == _COUNT, F.col("n"))).over(Window.partitionBy("at")).cast("double")))
+        .where(F.col("kind") != _COUNT)
+    )
     numbers = spark.createDataFrame(
         pa.table({"number": np.arange(len(log_count), dtype=np.int64), "log_c": log_count})
     )
     first = numbers.select(F.col("number").alias("v"), F.col("log_c").alias("log_v"))
     second = numbers.select(F.col("number").alias("w"), F.col("log_c").alias("log_w"))
     mask = F.lit((1 << _ID_BITS) - 1)
+    is_ = lambda k: F.col("kind") == k
+    unseen = F.lit(float(np.log(BACKOFF)) - log_total)
+    # Null where the other word has no number: its own row adds the value.
+    seen_log: Column = F.when(is_(_FIRST), F.col("log_at")).otherwise(F.col("log_v"))
+    unseen_log: Column = F.when(is_(_SECOND), F.col("log_at")).otherwise(F.col("log_w"))
     summed = (
-        joined.withColumn("v", F.when(F.col("gram") >= 0, F.shiftright("gram", _ID_BITS)))
-        .withColumn("w", F.when(F.col("gram") >= 0, F.col("gram").bitwiseAND(mask)))
+        joined.withColumn("v", F.when(is_(_BOTH), F.shiftright("at", _ID_BITS)).when(is_(_SECOND), F.col("other")))
+        .withColumn("w", F.when(is_(_BOTH), F.col("at").bitwiseAND(mask)).when(is_(_FIRST), F.col("other")))
         .join(F.broadcast(first), "v", "left")
         .join(F.broadcast(second), "w", "left")
         .withColumn(
             "value",
-            F.when(F.col("gram") < 0, F.col("base"))
-            .when(F.col("c") >= min_count, F.col("n") * (F.log(F.col("c").cast("double")) - F.col("log_v")))
-            .otherwise(F.col("n") * (F.lit(float(np.log(BACKOFF)) - log_total) + F.col("log_w"))),
+            F.when(is_(_TEXT), F.col("base"))
+            .when(is_(_START), F.col("log_at") - F.lit(log_total))
+            .when(F.col("c") >= min_count, F.col("n") * (F.log(F.col("c").cast("double")) - seen_log))
+            .otherwise(F.col("n") * (unseen + unseen_log)),
         )
         .groupBy("row")
         .agg(
             F.max("id").alias("id"),
             F.sum("value").alias("value"),
-            F.sum(F.when(F.col("gram") < 0, F.col("n"))).cast("long").alias("n_words"),
+            F.sum(F.when(is_(_TEXT), F.col("n"))).cast("long").alias("n_words"),
         )
     )
     return summed.select(

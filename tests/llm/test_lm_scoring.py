@@ -53,3 +53,24 @@ def test_edges(spark):
     assert got == sorted([(1, 2), (1, 2), (None, 1), (2, 0)], key=str)
     none = lm_scoring.lm_scores(documents(spark, [None, ""])).collect()
     assert [(r["n_words"], r["score"]) for r in none] == [(0, None), (0, None)]
+
+
+def scores_equal(spark, t, bits=60, **params):
+    got = lm_scoring.lm_scores(documents(spark, t).repartition(4), **params).collect()
+    want = brute(t, params.get("min_count", lm_scoring.MIN_COUNT), bits)
+    assert len(got) == len(t)
+    for r in got:
+        n, score = want[r["doc_id"]]
+        assert r["n_words"] == n and r["score"] == (None if score is None else pytest.approx(score, abs=1e-9))
+
+
+def test_rare_words_of_a_large_corpus_count_as_themselves(spark):
+    # More than 2**20 words, so that a single one is under one in 2**20.
+    scores_equal(spark, ["ta " * 1_100_000, "rare pair", "rare pair", "ta once", "odd", "lone word pair ta", "word ta left"])
+
+
+@pytest.mark.parametrize(("vocabulary_bits", "head", "min_count"), [(0, 1024, 2), (4, 1024, 2), (6, 3, 1), (8, 2, 3)])
+def test_words_without_a_number_equal_brute_force(spark, monkeypatch, vocabulary_bits, head, min_count):
+    monkeypatch.setattr(lm_scoring, "VOCABULARY_BITS", vocabulary_bits)
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    scores_equal(spark, texts(), min_count=min_count)
