@@ -3,10 +3,18 @@
 The tokens of the corpus are summed into cells (source, language, topic).
 Raking multiplies the cells by one factor per source, then per language, then
 per topic, again and again, until the three marginal sums meet their targets.
-A cell's ratio (raked tokens / its own tokens) times ``rate`` is the
-probability with which each of its documents is kept; a document's draw is
-the first 32 bits of the MD5 of its id, so that a retried task, or the same
-document in another run, draws the same number.
+A cell's ratio (raked tokens / its own tokens) times ``rate`` is how often
+each of its documents is to be taken: ``copies`` is the whole part of it, and
+one more when the document's draw is below the remainder, so the tokens of
+the copies meet the targets however far a cell has to be scaled up. A
+document's draw is the first 32 bits of the MD5 of its id, so that a retried
+task, or the same document in another run, draws the same number.
+
+``kept`` and ``probability`` (the ratio times ``rate``, but 1 at most) say
+whether a document is taken at all. A cell to be scaled up by more than
+1 / ``rate`` cannot meet its targets by documents taken once: the kept ones
+without their copies, which are what the registered query (its SQL has no
+copies) and the pipeline's stage return, have too few tokens of such cells.
 
 Targets: the share of a source and of a language is its token share to the
 power ``temper`` (rescaled), so large ones are scaled down and small ones up;
@@ -30,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import keep_ids, skew_lookup, staged
+from tallyflow.llm.common import BROADCAST_ROWS, keep_ids, skew_lookup, staged
 
 RATE = 0.7
 TEMPER = 0.7
@@ -60,17 +68,16 @@ def draw(id_col: Column) -> Column:
     return F.conv(first, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def marginals() -> list[Column]:
+    """source, lang and topic of a document."""
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c)
+    return [value("source"), value("lang"), topic(F.coalesce("text", F.lit(""))).alias("topic")]
+
+
 def described(docs: DataFrame) -> DataFrame:
     """id, source, lang, topic, cell and tokens of every document, staged."""
-    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
     return staged(
-        docs.select(
-            "doc_id",
-            value("source").alias("source"),
-            value("lang").alias("lang"),
-            topic(F.coalesce("text", F.lit(""))).alias("topic"),
-            tokens(F.col("text")).alias("tokens"),
-        ).withColumn("cell", F.to_json(F.array("source", "lang", "topic"))),
+        docs.select("doc_id", *marginals(), tokens(F.col("text")).alias("tokens"), F.to_json(F.array(*marginals())).alias("cell")),
         "mixing_rows",
     )
 
@@ -108,8 +115,8 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, topics:
     return w.select("cell", (F.col("w") / F.col("tokens")).alias("ratio"))
 
 
-def mix(docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float = TEMPER, topics: dict | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, probability, kept."""
+def _placed(docs: DataFrame, rate: float, rounds: int, temper: float, topics: dict | None) -> DataFrame:
+    """``described`` with ``times``: how often a document is to be taken."""
     rows = described(docs)
     cells = staged(
         rows.groupBy("cell", "source", "lang", "topic").agg(
@@ -119,24 +126,54 @@ def mix(docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float
     )
     raked = rake(cells, rounds, temper, topics)
     chance = cells.join(raked, "cell", "left").select(
-        "cell", "docs", F.least(F.lit(1.0), F.lit(rate) * F.coalesce("ratio", F.lit(1.0))).alias("probability")
+        "cell", "docs", (F.lit(rate) * F.coalesce("ratio", F.lit(1.0))).alias("times")
     )
     placed = skew_lookup(rows, staged(chance, "mixing_chance"), "cell", "docs", rows.count(), F.col("doc_id"))
+    whole = F.floor("times")
+    extra = draw(F.col("doc_id")) < F.col("times") - whole
+    return placed.withColumn("copies", whole + extra.cast("long"))
+
+
+def mix(docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float = TEMPER, topics: dict | None = None) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, probability, kept, copies."""
+    placed = _placed(docs, rate, rounds, temper, topics).withColumn("probability", F.least(F.lit(1.0), F.col("times")))
     return placed.select(
-        "doc_id", "source", "lang", "topic", "tokens", "probability", (draw(F.col("doc_id")) < F.col("probability")).alias("kept")
+        "doc_id", "source", "lang", "topic", "tokens", "probability",
+        (draw(F.col("doc_id")) < F.col("probability")).alias("kept"), "copies",
     )
 
 
 def mixed(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that the calibrated draw keeps, all columns. A
-    null id is kept when its draw is (ids are matched null-safely by name)."""
+    """The rows of ``docs`` that the calibrated draw keeps, once each, all
+    columns. A null id is kept when its draw is (ids are matched null-safely
+    by name)."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     kept = staged(mix(docs, **params).where("kept").select(key.alias("_mixed_id")).distinct(), "mixing_kept")
     return keep_ids(docs.withColumn("_mixed_id", key), kept, "_mixed_id").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def repeated(
+    docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float = TEMPER, topics: dict | None = None
+) -> DataFrame:
+    """The rows of ``docs``, all columns, as many times as their copies."""
+    # Copies are a function of the cell and the id.
+    on = {
+        "_mixed_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+        "_mixed_cell": F.to_json(F.array(*marginals())),
+    }
+    kept = staged(
+        _placed(docs, rate, rounds, temper, topics).where("copies > 0")
+        .select(on["_mixed_id"].alias("_mixed_id"), F.col("cell").alias("_mixed_cell"), F.col("copies").alias("_mixed_copies")).distinct(),
+        "mixing_kept",
+    )
+    few = kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    taken = docs.withColumns(on).join(F.broadcast(kept) if few else kept, list(on))
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mixed_copies")))
+    return taken.withColumn("_mixed_copy", copy).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("copies")
     return out.withColumn("probability", F.round("probability", 6))
 
 

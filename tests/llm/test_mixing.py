@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -45,6 +46,35 @@ def test_draws_follow_the_probabilities_and_repeat(spark):
     assert kept == set(out.doc_id[out.kept])
 
 
+def test_tokens_of_the_copies_meet_the_targets(spark):
+    docs = corpus(spark)
+    topics = {"prose": 0.3, "tabular": 0.1, "legal": 0.5, "contact": 0.1}
+    out = mixing.mix(docs, topics=topics).toPandas()
+    assert out.copies.max() > 1 and (out.kept == (out.copies > 0)).all()
+    total = out.tokens.sum()
+    out["taken"] = out.tokens * out.copies
+    assert out.taken.sum() / total == pytest.approx(mixing.RATE, abs=0.03)
+    share = lambda name: (out.groupby(name).taken.sum() / out.taken.sum()).to_dict()
+    assert share("topic") == pytest.approx(topics, abs=0.03)
+    for name in ("source", "lang"):
+        want = out.groupby(name).tokens.sum() ** mixing.TEMPER
+        assert share(name) == pytest.approx((want / want.sum()).to_dict(), abs=0.03)
+    rows = Counter(r["doc_id"] for r in mixing.repeated(docs, topics=topics).collect())
+    assert rows == Counter({d: c for d, c in zip(out.doc_id, out.copies, strict=True) if c})
+
+
+def test_repeated_edges(spark):
+    assert mixing.repeated(spark.createDataFrame([], SCHEMA)).collect() == []
+    # Equal ids of different cells have their own copies each.
+    rows = [(None, "a | b", None, None, 5), (1, "word " * 900, "en", "s", 4), (1, "MIT License", "en", "s", 5)]
+    odd = spark.createDataFrame(rows, SCHEMA)
+    want = Counter()
+    for r in mixing.mix(odd).collect():
+        want[r["doc_id"], r["tokens"]] += r["copies"]
+    got = Counter((r["doc_id"], len(r["text"].split())) for r in mixing.repeated(odd).collect())
+    assert got == +want and max(got.values()) > 1
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(none).collect() == [] and mixing.mixed(none).collect() == []
