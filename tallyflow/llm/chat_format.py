@@ -4,12 +4,12 @@
    number of marks (``> >`` and ``>>`` are level 2). Consecutive lines of one
    level are a passage; an attribution line ("... wrote:") before a quote is
    dropped with it. What is left is the message's own text.
-2. Hash: a passage is hashed whole, per paragraph and per line (of at least
-   LINE_WORDS words) after normalisation: A-Z lower-cased, white space
-   collapsed. Messages' own texts are hashed the same way.
+2. Hash: a passage is hashed whole, per paragraph and per line after
+   normalisation: A-Z lower-cased, white space collapsed. Messages' own texts
+   are hashed the same way.
 3. Link: a quoted passage belongs to the latest earlier message of its
    conversation that has one of its hashes, whole passages before paragraphs
-   before lines. This is an as-of match (per hash, the last original before
+   before lines of at least LINE_WORDS words before shorter ones. This is an as-of match (per hash, the last original before
    the quote), not a join of all pairs that share a hash.
 4. Order: a message replies to the message that its lowest linked quote level
    belongs to; a message without quotes replies to the one before it; a
@@ -44,7 +44,7 @@ from tallyflow.llm.common import bounded_batches, staged
 LINE_WORDS = 4
 #: Turns per window block.
 BLOCK = 4096
-WHOLE, PARAGRAPH, LINE = 0, 1, 2
+WHOLE, PARAGRAPH, LINE, SHORT = range(4)
 
 _MARKS = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
 #: How an attribution line ends.
@@ -77,12 +77,12 @@ def normal(text: str) -> str:
 
 
 def keys(text: str) -> list[tuple[int, int]]:
-    """(grain, hash) of a passage: whole, its paragraphs, its longer lines."""
+    """(grain, hash) of a passage: whole, its paragraphs, its lines."""
     found: dict[str, int] = {}
     for grain, parts in ((WHOLE, [text]), (PARAGRAPH, re.split(r"\n[ \t]*\n", text)), (LINE, text.split("\n"))):
         for part in map(normal, parts):
-            if part and (grain != LINE or part.count(" ") + 1 >= LINE_WORDS):
-                found.setdefault(part, grain)
+            if part:
+                found.setdefault(part, SHORT if grain == LINE and part.count(" ") + 1 < LINE_WORDS else grain)
     return [(grain, int.from_bytes(hashlib.blake2b(part.encode(), digest_size=8).digest(), "big", signed=True)) for part, grain in found.items()]
 
 

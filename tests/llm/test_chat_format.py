@@ -41,6 +41,25 @@ def test_links_levels_and_order(spark):
     assert got[1, 2]["text"] == "Thanks, and this?" and ">" not in "".join(r["text"] for r in out)
 
 
+def test_quotes_of_short_lines_link(spark):
+    rows = [
+        (1, 0, "user", "Hello all\nWhen?\nAgreed, let's ship\nbye"),
+        (1, 1, "assistant", "At noon, I would say."),
+        (1, 2, "user", "> WHEN?\nStill open."),
+        (1, 3, "assistant", "This line has enough words\nThanks"),
+        (1, 4, "user", "> hello all\n> agreed, let's ship\nFine."),
+        (1, 5, "assistant", "Thanks\nAnything else?"),
+        (1, 6, "user", "> this line has enough words\n> thanks\n> and more\nThe longer line tells."),
+        (1, 7, "user", "> never said\nnew topic"),
+    ]
+    got, _ = run(spark, rows)
+    facts = {t: (r["n_linked"], r["reply_to"], r["thread"], r["position"]) for (_, t), r in got.items()}
+    assert facts == {
+        0: (0, None, 0, 0), 1: (0, 0, 0, 1), 2: (1, 0, 0, 2), 3: (0, 2, 0, 3),
+        4: (1, 0, 0, 4), 5: (0, 4, 0, 5), 6: (1, 3, 0, 6), 7: (0, None, 7, 7),
+    }
+
+
 def brute(rows):
     """Replies by looking through all earlier messages."""
     out = {}
