@@ -62,6 +62,7 @@ NEVER = 1 << 60
 LEGAL = {"su", "ua", "au"}
 #: Rows of a block of a conversation that several tasks share.
 BLOCK_BITS = 16
+LONGS = T.ArrayType(T.LongType())
 
 CLEAN, BLANK, DUPLICATE, OPEN = range(4)
 Row = tuple[str, int]  # initial, fault
@@ -397,7 +398,7 @@ def _across(rows: DataFrame, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
         "repair_codes",
     )
     fields = T.StructType().add("conv_id", kind).add("block", "long")
-    found = fields.add("first_at", "long").add("costs", "array<long>").add("ranks", "array<long>").add("audits", "array<string>")
+    found = fields.add("first_at", "long").add("costs", LONGS).add("ranks", LONGS).add("audits", T.ArrayType(T.StringType()))
     found = found.add("head", "string").add("tail", "string").add("illegal", "long")
     blocks = staged(
         codes.select("conv_id", "block", "at", "initial", "fault").groupBy("conv_id", "block").applyInPandas(_block, found), "repair_blocks"

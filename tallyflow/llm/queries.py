@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tallyflow.llm import (
     chat_format,
+    collocations,
+    conversation_repair,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -12,6 +14,7 @@ from tallyflow.llm import (
     lm_scoring,
     mixing,
     sharding,
+    substring_dedup,
     warc,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_language_id": language_id.op9_language_id,
     "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 #: Operators without an entry here are tested against a brute-force version.
@@ -34,4 +40,6 @@ ORACLE_SQL = {
     "op6_warc": warc.SQL,
     "op8_mixing": mixing.SQL,
     "op10_lm_scoring": lm_scoring.SQL,
+    "op11_collocations": collocations.SQL,
+    "op12_substring_dedup": substring_dedup.SQL,
 }

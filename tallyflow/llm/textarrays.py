@@ -128,3 +128,49 @@ def shingle_sets(b: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         if len(s) > 1:
             s = s[np.concatenate(([True], s[1:] != s[:-1]))]
         yield s
+
+
+#: A random value per byte that tells A-Z from a-z.
+EXACT = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
+#: The same with A-Z as a-z.
+FOLDED = _BYTE
+WHITE = _SPACE
+
+
+def tokens(
+    b: np.ndarray, offsets: np.ndarray, byte: np.ndarray = EXACT, space: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of bytes outside ``space`` of a slice, the
+    byte where each begins, and each text's first word's place among them.
+    ``byte`` has a random value for every byte."""
+    if len(b) > 2 * SLICE and len(offsets) == 2:  # one text, longer than a slice
+        hashes, starts, at = [], [], 0
+        while at < len(b):
+            to = min(len(b), at + SLICE)
+            while to < len(b):
+                gap = np.flatnonzero(space[b[to : to + SLICE]])
+                if len(gap):
+                    to += int(gap[0])
+                    break
+                to = min(len(b), to + SLICE)
+            h, start, _ = tokens(b[at:to], np.array([0, to - at, to - at]), byte, space)
+            hashes.append(h)
+            starts.append(start + at)
+            at = to
+        h = np.concatenate(hashes)
+        return h, np.concatenate(starts), np.array([0, len(h)])
+    if not len(b):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    word = ~space[b]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    last = word.copy()
+    last[:-1] &= ~word[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(b))]
+    first[edges] |= word[edges]
+    last[edges - 1] |= word[edges - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last)
+    sums = np.cumsum(byte[b] * _power("up", _BASE, len(b) + 1)[: len(b)])
+    before = np.where(start > 0, sums[start - 1], _U(0))
+    h = (sums[end] - before) * _power("down", _INVERSE, len(b) + 1)[start]
+    return mix(h + (end - start).astype(np.uint64) * _U(_BASE)), start, np.searchsorted(start, offsets)
