@@ -403,7 +403,7 @@ def _across(rows: DataFrame, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
     blocks = staged(
         codes.select("conv_id", "block", "at", "initial", "fault").groupBy("conv_id", "block").applyInPandas(_block, found), "repair_blocks"
     )
-    ways = T.StructType().add("conv_id", kind).add("block", "long").add("way", "int").add("closing", "int").add("cost", "long").add("illegal", "long")
+    ways = T.StructType().add("conv_id", kind).add("block", "long").add("way", "integer").add("closing", "integer").add("cost", "long").add("illegal", "long")
     chosen = staged(
         blocks.drop("audits", "first_at").groupBy("conv_id").applyInPandas(_chain, ways), "repair_chain"
     )
@@ -423,7 +423,7 @@ def _across(rows: DataFrame, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
         placed.join(edits, "at").select("conv_id", "at", "role", "text", "edits")
         .repartition("conv_id").sortWithinPartitions("conv_id", "at")
     )
-    out = T.StructType().add("conv_id", kind).add("at", "long").add("n", "int").add("role", "string").add("text", "string").add("edit", "string")
+    out = T.StructType().add("conv_id", kind).add("at", "long").add("n", "integer").add("role", "string").add("text", "string").add("edit", "string")
     others = staged(bounded_batches(written).mapInArrow(_write, out), "repair_messages")
     count = lambda f: F.sum((F.col("fault") == f).cast("long"))
     turns = codes.groupBy("conv_key", "turn").agg(
