@@ -26,9 +26,7 @@ last shuffle. Frequent words are thus never a shuffle key by themselves: a key
 holds a word outside the HEAD most frequent.
 
 With ``bits``, words with less than one in 2**bits of all words count together
-as one unknown word. The query has no such bound. ``SQL`` has one of 20 bits,
-which no word is under up to 2**20 words: above that size it scores rare words
-as the unknown word and is not what the query computes.
+as one unknown word. Neither the query nor ``SQL`` has such a bound.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, told apart by 64-bit
 hash (see ``textarrays``).
@@ -283,10 +281,8 @@ with d as (
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
   from documents
 ), t as (select r, unnest(ws) as w, generate_subscripts(ws, 1) as i from d),
-c as (select w, count(*) as n from t group by w), total as (select sum(n)::double as s from c),
-k as (select t.r, t.i, case when c.n * {1 << VOCABULARY_BITS} >= s then t.w end as w from t join c using (w), total),
-u as (select w, count(*) as n from k group by w),
-b as (select k.r, k.i, k.w, p.i is not null as inner_word, p.w as v from k left join k p on p.r = k.r and p.i = k.i - 1),
+u as (select w, count(*) as n from t group by w), total as (select sum(n)::double as s from u),
+b as (select t.r, t.i, t.w, p.i is not null as inner_word, p.w as v from t left join t p on p.r = t.r and p.i = t.i - 1),
 bc as (select v, w, count(*) as n from b where inner_word group by v, w),
 s as (
   select b.r, sum(case when not inner_word then ln(uw.n / s)
