@@ -118,7 +118,7 @@ def _bigrams(vocabulary: _Vocabulary, b: np.ndarray, at: np.ndarray):
 
 def _head_counts(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = sent.value
+        vocabulary = _Vocabulary(*sent.value)
         counts = np.zeros(HEAD * HEAD, np.int64)
         for batch in batches:
             data, offsets = texts(batch.column(0))
@@ -140,7 +140,8 @@ def _explode(sent):
     its words and what its head bigrams and numbered first word score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, log_count, log_total, head, min_count = sent.value
+        words, log_count, log_total, head, min_count = sent.value
+        vocabulary = _Vocabulary(*words)
         least = vocabulary.least
         for batch in batches:
             data, offsets = texts(batch.column(2))
@@ -213,7 +214,8 @@ def lm_scores(
         # Hashes that could be taken for a number have one, so no other word's hash is a number.
         numbered |= F.col("word").between(0, (1 << _ID_BITS) - 1)
     known = words.where(numbered).orderBy(F.desc("n"), "word").toArrow()
-    vocabulary = _Vocabulary(known["word"].to_numpy().astype(np.int64).view(np.uint64), bits is not None)
+    # Arrays only: a broadcast is pickled by reference, so it holds no class of this package.
+    vocabulary = (known["word"].to_numpy().astype(np.int64).view(np.uint64), bits is not None)
     counts = known["n"].to_numpy()
     counts = np.concatenate(([total - int(counts.sum())], counts))
     log_count = np.log(np.maximum(counts, 1).astype(float))
