@@ -80,12 +80,19 @@ def hot_table(hot: DataFrame) -> DataFrame | None:
     return None if not n else F.broadcast(table) if n <= BROADCAST_ROWS else table
 
 
+def with_salts(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the ``_salts`` of their id, a null id's too: null ids
+    match no order, but they must not all go to one task."""
+    table = hot.select(F.col(key).alias("_hot_key"), "_salts")
+    return rows.join(table, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+
+
 def salted(rows: DataFrame, hot: DataFrame, key: str, by: list[str]) -> DataFrame:
     """``rows`` with ``_salt``: 0, or for a hot id a hash of the columns
     ``by`` modulo its number of salts."""
     spread = F.pmod(F.xxhash64(*by), F.col("_salts")).cast("int")
     return (
-        rows.join(hot, key, "left")
+        with_salts(rows, hot, key)
         .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(spread))
         .drop("_salts")
     )
@@ -94,7 +101,7 @@ def salted(rows: DataFrame, hot: DataFrame, key: str, by: list[str]) -> DataFram
 def per_salt(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """``rows`` (few per id) once per salt value of their id."""
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    return rows.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+    return with_salts(rows, hot, key).withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
 def salted_join(

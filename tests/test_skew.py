@@ -97,6 +97,15 @@ def test_hot_key_turnover_is_correct(skewed, rows_per_task):
     assert got == exp
 
 
+def test_null_ids_are_salted(skewed):
+    pays, orders, p, o = skewed
+    p = p.withColumn("order_id", F.when(F.col("order_id") != 7, F.col("order_id")))
+    pending = pending_payments(p, o, rows_per_task=2_000)
+    hot = pays.order_id == 7
+    assert pending.count() == int(hot.sum() + (~hot & ~pays.order_id.isin(orders.order_id)).sum())
+    assert max(_task_rows(pending)) < hot.sum() / 2
+
+
 def test_salts_grow_with_the_id(spark):
     from tallyflow.operators.skew import hot_keys, hot_table, salted
 
