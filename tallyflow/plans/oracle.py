@@ -272,6 +272,9 @@ FROM pay_v p JOIN s ON p.order_id = s.order_id AND p.arrival > s.seen"""
 # Streaming D2 must equal batch D2 on the same (redelivered) feed.
 ORACLE_SQL["stream_changed_payments"] = ORACLE_SQL["changed_payments"]
 ORACLE_SQL["stream_matched_payments"] = ORACLE_SQL["matched_payments"]
+ORACLE_SQL["stream_live_matched"] = ORACLE_SQL["matched_payments"]
+ORACLE_SQL["stream_pending_payments"] = ORACLE_SQL["pending_payments"]
+ORACLE_SQL["stream_arrived_matched"] = ORACLE_SQL["arrived_matched"]
 
 # Append mode publishes a minute once the watermark (newest minute start
 # minus 6 minutes) reaches the end of its window: minutes up to newest - 7.

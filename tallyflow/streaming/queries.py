@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.operators.matching import first_orders
+from tallyflow.operators.skew import hot_keys, hot_table
 from tallyflow.session import materialize, shared_path
 from tallyflow.sinks.metrics_store import MetricsTable
-from tallyflow.sources.tables import orders_ev, payments_v, redelivered, redelivered_soon
+from tallyflow.sources.tables import orders_ev, orders_v, payments_li, payments_v, redelivered, redelivered_soon
 from tallyflow.streaming.feeds import FILES_PER_SLICE, read_feed, write_feed
 from tallyflow.streaming.live import LiveMetrics
+from tallyflow.streaming.live_match import arrived_match, end_marker, live_match, messages
 from tallyflow.streaming.matching import match_payments_stream
 from tallyflow.streaming.reset_ratio import ResetRatioStream
 from tallyflow.streaming.state import changed_payments_stream
@@ -143,6 +145,46 @@ def q_stream_matched_payments(spark, sf):
     return spark.read.schema(matched.schema).parquet(out)
 
 
+def _appended(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    out = shared_path(spark, name, "table", unique=True)
+    _run(_start_parquet_sink(rows, out, shared_path(spark, name, "checkpoint", unique=True)))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def q_stream_live_matched(spark, sf):
+    """J1 + J2 in one keyed state, orders and payments on one feed in arrival
+    order; equals the batch J1."""
+    name, feed = "stream_live_matched", messages(payments_v(spark, sf), orders_ev(spark, sf))
+    hot = hot_table(hot_keys(feed, "order_id"))
+    return _appended(spark, name, live_match(_replay(spark, name, feed), hot=hot))
+
+
+#: Minutes that a payment waits for its order in ``stream_pending_payments``:
+#: longer than the tables' whole span of days, so every order counts.
+PENDING_HORIZON = 20 * 366 * 24 * 60
+
+
+def q_stream_pending_payments(spark, sf):
+    """Payments given up by their timers, after the end marker has moved
+    the watermark past the last one's horizon; equals the batch J3."""
+    name = "stream_pending_payments"
+    at = F.col("create_time_ms")
+    known = orders_v(spark, sf).where(F.col("order_status") != "P").withColumn("arrival", at)
+    feed = messages(payments_li(spark, sf).withColumn("arrival", at), known)
+    hot = hot_table(hot_keys(feed, "order_id"))
+    stream = _feed(spark, name, feed, end_marker(feed, PENDING_HORIZON))
+    out = _appended(spark, name, live_match(stream, PENDING_HORIZON, unmatched=True, hot=hot))
+    return out.where("platform is null").select("order_id", "amount_cents", "pay_source", "pay_platform", "minute")
+
+
+def q_stream_arrived_matched(spark, sf):
+    """J5 in arrival order; equals the batch J5."""
+    name, feed = "stream_arrived_matched", messages(payments_v(spark, sf), orders_ev(spark, sf))
+    hot = hot_table(hot_keys(feed, "order_id"))
+    out = _appended(spark, name, arrived_match(_replay(spark, name, feed), hot=hot))
+    return out.select("arrival", "order_id", "amount_cents", "platform")
+
+
 def q_stream_metrics(spark, sf):
     """The whole live flow: payment and order streams -> M1, M2, M3."""
     pays = _replay(spark, "stream_metrics_pay", payments_v(spark, sf))
@@ -205,6 +247,9 @@ STREAM_QUERIES = {
     "stream_ratio_reset": q_stream_ratio_reset,
     "stream_metrics": q_stream_metrics,
     "stream_matched_payments": q_stream_matched_payments,
+    "stream_live_matched": q_stream_live_matched,
+    "stream_pending_payments": q_stream_pending_payments,
+    "stream_arrived_matched": q_stream_arrived_matched,
     "stream_turnover": q_stream_turnover,
     "stream_upsert": q_stream_upsert,
     "stream_closed_minutes": q_stream_closed_minutes,
