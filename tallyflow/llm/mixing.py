@@ -12,9 +12,10 @@ task, or the same document in another run, draws the same number.
 
 ``kept`` and ``probability`` (the ratio times ``rate``, but 1 at most) say
 whether a document is taken at all. A cell to be scaled up by more than
-1 / ``rate`` cannot meet its targets by documents taken once: the kept ones
-without their copies, which are what the registered query (its SQL has no
-copies) and the pipeline's stage return, have too few tokens of such cells.
+1 / ``rate`` meets its targets by the copies only: the registered query
+returns them, and the pipeline's stage returns a document as often
+(``repeated``). ``mixed`` takes each document once and has too few tokens of
+such cells.
 
 Targets: the share of a source and of a language is its token share to the
 power ``temper`` (rescaled), so large ones are scaled down and small ones up;
@@ -23,14 +24,15 @@ occur. ``ROUNDS`` rounds run at any size.
 
 Only DataFrame functions: no Python runs on the executors. The raking works
 on the cells (a staged table), never on rows, and every step is a window sum
-over them; nothing is collected. A cell's probability reaches its documents
+over them; only the totals (four numbers) reach the driver. A cell's probability reaches its documents
 through ``skew_lookup``, so a cell with a third of all rows is not one task.
 
 Defined cases: null source, language or topic is a value of its own
 (``MISSING``); a null or empty text has no tokens, and a cell without tokens
 has probability ``rate``; a null id draws as the text ``null`` would; repeated
 rows draw alike; an empty table gives an empty result; other columns are not
-read (``mixed`` returns them untouched).
+read, whatever their names (``mixed`` and ``repeated`` return them untouched);
+a text of any length is only counted.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import BROADCAST_ROWS, keep_ids, skew_lookup, staged
+from tallyflow.llm.common import BROADCAST_ROWS, one_row, skew_lookup, staged
 
 RATE = 0.7
 TEMPER = 0.7
@@ -86,30 +88,32 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, topics:
     """``cells`` (cell, source, lang, topic, tokens, docs) with ``ratio``:
     raked tokens / tokens. A marginal without a target keeps its share."""
     weights = TOPIC_WEIGHTS if topics is None else topics
-    whole = Window.partitionBy("one")
-    total = F.sum("tokens").over(whole)
+    live = cells.where("tokens > 0")
+
+    def total(df: DataFrame, column: str) -> Column:
+        return F.lit(float(one_row(df, [F.sum(column).alias("t")])["t"] or 1))
+
+    whole = total(live, "tokens")
 
-    def share(df: DataFrame, name: str, weight: Column) -> DataFrame:
+    def share(name: str, weight: Column) -> DataFrame:
         # One row per value of the marginal, rescaled to add up to 1.
-        by = df.groupBy(name).agg(F.sum("tokens").alias("t")).where("t > 0").withColumn("one", F.lit(1))
-        scaled = by.withColumn("w", weight)
-        return scaled.select(name, (F.col("w") / F.sum("w").over(whole)).alias(f"{name}_share"))
+        scaled = live.groupBy(name).agg(F.sum("tokens").alias("t")).withColumn("w", weight)
+        return scaled.select(name, (F.col("w") / total(scaled, "w")).alias(f"{name}_share"))
 
     given = F.lit(None).cast("double")
     for name, weight in weights.items():
         given = F.when(F.col("topic") == name, F.lit(float(weight))).otherwise(given)
     tempered = F.pow(F.col("t").cast("double"), F.lit(temper))
     # Topics without a weight of their own share what their tokens ask for.
-    topical = F.coalesce(given, F.col("t") / F.sum("t").over(whole))
-    live = cells.where("tokens > 0")
-    w = live.withColumn("one", F.lit(1)).withColumn("total", total).withColumn("w", F.col("tokens").cast("double"))
+    topical = F.coalesce(given, F.col("t") / whole)
+    w = live.withColumn("w", F.col("tokens").cast("double"))
     for name, weight in (("source", tempered), ("lang", tempered), ("topic", topical)):
-        w = w.join(share(live, name, weight), name)
+        w = w.join(share(name, weight), name)
     w = staged(w, "mixing_rake")
     for i in range(rounds):
         for name in ("source", "lang", "topic"):
             have = F.sum("w").over(Window.partitionBy(name))
-            w = w.withColumn("w", F.col("w") * F.col(f"{name}_share") * F.col("total") / have)
+            w = w.withColumn("w", F.col("w") * F.col(f"{name}_share") * whole / have)
         if i % 3 == 2:
             w = staged(w, "mixing_rake")
     return w.select("cell", (F.col("w") / F.col("tokens")).alias("ratio"))
@@ -143,37 +147,47 @@ def mix(docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float
     )
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, made longer until no column of ``docs`` has them."""
+    taken = {c.lower() for c in docs.columns}
+    tail = ""
+    while any(f"{n}{tail}" in taken for n in names):
+        tail += "_"
+    return [f"{n}{tail}" for n in names]
+
+
 def mixed(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that the calibrated draw keeps, once each, all
-    columns. A null id is kept when its draw is (ids are matched null-safely
-    by name)."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    kept = staged(mix(docs, **params).where("kept").select(key.alias("_mixed_id")).distinct(), "mixing_kept")
-    return keep_ids(docs.withColumn("_mixed_id", key), kept, "_mixed_id").select(*(F.col(f"`{c}`") for c in docs.columns))
+    columns."""
+    return _taken(docs, once=True, **params)
 
 
-def repeated(
-    docs: DataFrame, rate: float = RATE, rounds: int = ROUNDS, temper: float = TEMPER, topics: dict | None = None
-) -> DataFrame:
+def repeated(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs``, all columns, as many times as their copies."""
-    # Copies are a function of the cell and the id.
-    on = {
-        "_mixed_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-        "_mixed_cell": F.to_json(F.array(*marginals())),
-    }
+    return _taken(docs, once=False, **params)
+
+
+def _taken(
+    docs: DataFrame, once: bool, rate: float = RATE, rounds: int = ROUNDS, temper: float = TEMPER, topics: dict | None = None
+) -> DataFrame:
+    # Copies are a function of the cell and the id (null ids: as "null").
+    id_, cell, copies, copy = _free(docs, "_mixed_id", "_mixed_cell", "_mixed_copies", "_mixed_copy")
+    text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     kept = staged(
         _placed(docs, rate, rounds, temper, topics).where("copies > 0")
-        .select(on["_mixed_id"].alias("_mixed_id"), F.col("cell").alias("_mixed_cell"), F.col("copies").alias("_mixed_copies")).distinct(),
+        .select(text_id.alias(id_), F.col("cell").alias(cell), F.col("copies").alias(copies)).distinct(),
         "mixing_kept",
     )
     few = kept.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    taken = docs.withColumns(on).join(F.broadcast(kept) if few else kept, list(on))
-    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mixed_copies")))
-    return taken.withColumn("_mixed_copy", copy).select(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.withColumns({id_: text_id, cell: F.to_json(F.array(*marginals()))})
+    taken = keyed.join(F.broadcast(kept) if few else kept, [id_, cell])
+    if not once:
+        taken = taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    return taken.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("copies")
+    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.withColumn("probability", F.round("probability", 6))
 
 
@@ -204,10 +218,11 @@ def _sql() -> str:
             )
             k += 1
     return ",\n".join(parts) + f"""
-, p as (select rows.*, least(1.0, {RATE} * coalesce(w / r{k}.tokens, 1.0)) as probability
+, p as (select rows.*, {RATE} * coalesce(w / r{k}.tokens, 1.0) as times,
+    ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 8))::bigint / 4294967296.0 as draw
   from rows left join r{k} using (source, lang, topic))
-select doc_id, source, lang, topic, tokens, round(probability, 6) as probability,
-  ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 8))::bigint / 4294967296.0 < probability as kept from p"""
+select doc_id, source, lang, topic, tokens, round(least(1.0, times), 6) as probability, draw < least(1.0, times) as kept,
+  floor(times)::bigint + (draw < times - floor(times))::bigint as copies from p"""
 
 
 SQL = _sql()

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyflow.llm import mixing
 from tests.llm.helpers import SCHEMA, words
@@ -75,6 +76,17 @@ def test_repeated_edges(spark):
     assert got == +want and max(got.values()) > 1
 
 
+def test_clashing_names(spark):
+    names = ["_mixed_id", "_mixed_cell", "_mixed_copies", "_mixed_copy", "copies"]
+    odd = corpus(spark, 60)
+    for name in names:
+        odd = odd.withColumn(name, F.lit("own"))
+    for out in (mixing.mixed(odd), mixing.repeated(odd)):
+        rows = out.collect()
+        assert out.columns == odd.columns and rows
+        assert {r[name] for r in rows for name in names} == {"own"}
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(none).collect() == [] and mixing.mixed(none).collect() == []
