@@ -4,7 +4,7 @@
 2. n-gram Jaccard join (3): one document of each group of near copies stays;
 3. benchmark decontamination (5): documents in which an item occurs go;
 4. mixing to target weights (8): documents are drawn by calibrated
-   probabilities;
+   probabilities, those of cells to be scaled up as often as that takes;
 5. sharding (4): what is left is dealt to shards.
 
 A stage is ``function(spark, docs, sf_dir) -> DataFrame``. All but the last
@@ -37,7 +37,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs)
+    return mixing.repeated(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
