@@ -109,6 +109,12 @@ class _LiveMatch(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         order_id = key[0]
         first = self.first.get()
+        # Spark fires timers after a batch's rows: what has run out is judged here.
+        now = None if self.horizon_ms is None else timerValues.getCurrentWatermarkInMs()
+        if now is not None and first is not None and self._deadline(self.last.get()[0]) <= now:
+            self.first.clear()
+            self.last.clear()
+            first = None
         best, newest, deadlines = None, None, set()
 
         def unsettled() -> Iterator[tuple]:
@@ -137,7 +143,10 @@ class _LiveMatch(StatefulProcessor):
                 self.first.update((best[1],))
                 first = best
                 for pay in self.waiting.get():
-                    yield _matched(order_id, pay, best[1])
+                    if now is None or self._deadline(pay[-1]) > now:
+                        yield _matched(order_id, pay, best[1])
+                    elif self.unmatched:
+                        yield _matched(order_id, pay, None)
                 self.waiting.clear()
         if self.horizon_ms is None or newest is None:
             return
@@ -147,10 +156,10 @@ class _LiveMatch(StatefulProcessor):
             self.last.update((newest,))
             deadlines = {self._deadline(newest)}
         for at in deadlines:
-            self.handle.registerTimer(max(at, timerValues.getCurrentWatermarkInMs() + 1))
+            self.handle.registerTimer(max(at, now + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = timerValues.getCurrentWatermarkInMs()
         last = self.last.get()
         if last is not None:
             if self._deadline(last[0]) <= now:

@@ -1,0 +1,143 @@
+"""Keyed matching on live messages against plain versions over the same rows."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyflow.operators.skew import hot_keys, hot_table
+from tallyflow.session import shared_path
+from tallyflow.streaming.feeds import read_feed
+from tallyflow.streaming.live_match import MESSAGES, _keyed, arrived_match, end_marker, live_match, messages
+
+MIN = 60_000
+T0 = 1_000_000 * MIN
+COLUMNS = [f.split()[0] for f in MESSAGES.split(", ")]
+
+
+def order(arrival, order_id, platform, minute=0):
+    return (True, order_id, platform, arrival, None, None, None, None, T0 + minute * MIN)
+
+
+def pay(arrival, order_id, minute=0):
+    return (False, order_id, None, arrival, 100 + arrival, 1, 0, T0 // MIN + minute, T0 + minute * MIN)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, MESSAGES)
+
+
+def stream(spark, batches):
+    """One micro-batch per list of rows, in two files without order."""
+    path = shared_path(spark, "lm_feed", unique=True)
+    for rows in batches:
+        rows = random.Random(len(rows)).sample(rows, len(rows))
+        frame(spark, rows).repartition(2).write.mode("append").parquet(path)
+    return read_feed(spark, path, frame(spark, []).schema, 2)
+
+
+def run(spark, df):
+    out = shared_path(spark, "lm_out", unique=True)
+    q = (df.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", shared_path(spark, "lm_ck", unique=True)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    rows = spark.read.schema(df.schema).parquet(out).collect()
+    return Counter((r.arrival, r.order_id, r.platform) for r in rows), q
+
+
+def corpus(n, ids, seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        i = None if rng.random() < 0.03 else 7 if rng.random() < 1 / 3 else rng.randrange(ids)
+        rows.append(order(k, i, rng.randrange(2)) if rng.random() < 0.15 else pay(k, i))
+    return rows
+
+
+def cut(rows, parts):
+    return [rows[len(rows) * i // parts : len(rows) * (i + 1) // parts] for i in range(parts)]
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_first_order_by_arrival_takes_every_payment(spark, salted):
+    rows = corpus(1200, 120, 1)
+    first = {}
+    for is_order, i, platform, *_ in rows:
+        if is_order and i is not None:
+            first.setdefault(i, platform)
+    want = Counter((r[3], r[1], first[r[1]]) for r in rows if not r[0] and r[1] in first)
+    hot = hot_table(hot_keys(frame(spark, rows), "order_id", 50, fraction=1.0)) if salted else None
+    got, _ = run(spark, live_match(stream(spark, cut(rows, 3)), hot=hot))
+    assert got == want
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_arrived_orders_only(spark, salted):
+    rows = corpus(1200, 120, 2)
+    seen, want = {}, Counter()
+    for is_order, i, platform, arrival, *_ in rows:
+        if i is None:
+            continue
+        if is_order:
+            seen.setdefault(i, set()).add(platform)
+        else:
+            want.update((arrival, i, p) for p in seen.get(i, ()))
+    hot = hot_table(hot_keys(frame(spark, rows), "order_id", 50, fraction=1.0)) if salted else None
+    got, _ = run(spark, arrived_match(stream(spark, cut(rows, 3)), hot=hot))
+    assert got == want
+
+
+def test_horizon_gives_up_what_waits_and_forgets_orders(spark):
+    horizon = 10
+    batches = [
+        # The first order by arrival wins within a batch, with a horizon too.
+        [pay(1, 1), order(3, 1, 1), order(2, 1, 0), pay(4, 2), pay(5, None)],
+        [pay(6, 1, 5), order(7, 1, 1, 5)],  # id 1 is settled; 2 still waits
+        [pay(8, 3, 60)],  # far ahead: 2 and the null id are given up, 1 is forgotten
+        [order(9, 2, 1, 61), pay(10, 2, 61), order(11, 1, 1, 61), pay(12, 1, 61)],
+    ]
+    whole = frame(spark, [r for b in batches for r in b])
+    marker = [tuple(r) for r in end_marker(whole, horizon).collect()]
+    got, q = run(spark, live_match(stream(spark, [*batches, marker]), horizon, unmatched=True))
+    assert got == Counter(
+        [(1, 1, 0), (6, 1, 0), (4, 2, None), (5, None, None), (10, 2, 1), (12, 1, 1), (8, 3, None)]
+    )
+    inner, _ = run(spark, live_match(stream(spark, [*batches, marker]), horizon))
+    assert inner == Counter([(1, 1, 0), (6, 1, 0), (10, 2, 1), (12, 1, 1)])
+
+
+def test_state_is_bounded_by_the_horizon(spark):
+    """Ids come and go: the state holds those of the horizon, however many have passed."""
+    held = []
+    for minutes in (60, 240):
+        rows = [[pay(m * 40 + k, m * 20 + k, m) if k % 2 else order(m * 40 + k, m * 20 + k, 0, m) for k in range(20)] for m in range(minutes)]
+        batches = [sum(part, []) for part in cut(rows, 6)]
+        _, q = run(spark, live_match(stream(spark, batches), 5, late_minutes=1))
+        held.append(q.recentProgress[-1].stateOperators[0].numRowsTotal)
+    assert max(held) <= 2 * 20 * (5 + 1 + 240 // 6)
+    endless, q = run(spark, live_match(stream(spark, batches)))
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal >= 240 * 20
+
+
+def test_no_state_key_holds_a_hot_id(spark):
+    rows = [pay(k, 7 if k % 3 == 0 else None if k % 3 == 1 else k) for k in range(9000)] + [order(9000, 7, 1)]
+    feed = frame(spark, rows)
+    hot = hot_table(hot_keys(feed, "order_id", 100, fraction=1.0))
+    keys = _keyed(feed, hot, True).where("not is_order").groupBy("order_id", "_salt").count()
+    assert keys.agg(F.max("count")).first()[0] < 250
+    assert _keyed(feed, hot, True).where("is_order").count() == 31  # one order per salt of its id
+
+
+def test_edges(spark):
+    with pytest.raises(ValueError, match="horizon"):
+        live_match(frame(spark, []), unmatched=True)
+    assert end_marker(frame(spark, []), 5).columns == COLUMNS
+    nothing, _ = run(spark, live_match(stream(spark, [[pay(1, None), order(2, None, 0)]])))
+    assert not nothing
+    raw = spark.createDataFrame([(1, 5, 1.0, 2, 0, T0)], "arrival long, order_id long, pay_amount double, pay_source int, pay_platform int, create_time_ms long")
+    orders = spark.createDataFrame([(2, 5, 1, T0)], "arrival long, order_id long, platform int, create_time_ms long")
+    assert {(r.is_order, r.amount_cents) for r in messages(raw, orders).collect()} == {(False, 100), (True, None)}
