@@ -16,14 +16,18 @@ band's diagonals are computed, widened by k on both sides.
 The items are sent to the tasks in blocks of at most ``block_bytes`` of text
 (a benchmark of any size takes as many passes as it has blocks); a bit table
 of their q-grams passes over most places of a document at once. Documents
-are scanned whole, piece by piece with an overlap, and never shuffled.
+are scanned whole, piece by piece with an overlap, and never shuffled. The
+places that a piece shares with the items are listed for a range of items, and
+within one item for a range of the piece's places, such that at most ``HITS``
+are in memory however often a q-gram occurs on both sides.
 
 Defined cases: null and empty documents and items occur nowhere; an item of
 fewer than Q bytes after normalisation has no q-gram, and does not count as
 evidence; repeated documents and items get rows of their own; of equal
 distances in a band the first end is reported; of overlapping passages of
 one item the one with the fewest edits is; empty tables give an empty result; other
-columns are not read.
+columns are not read. ``clean`` judges a row by its text, so rows with null or
+repeated ids are kept or removed each on its own.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ EDITS = 0.08
 BLOCK_BYTES = 8 << 20
 #: Bytes of a document scanned at once.
 PIECE = 1 << 19
+#: Shared q-grams (place in the document, place in an item) listed at once.
+HITS = 1 << 20
 
 _U = np.uint64
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], np.uint8)
@@ -98,20 +104,53 @@ class Items:
         self.item, self.place = item[order], place[order]
         self.grams, self.start = np.unique(g[order], return_index=True)
         self.end = np.append(self.start[1:], len(g)) if len(g) else self.start
+        # Ascending: the q-gram's number, then the item.
+        self.key = np.repeat(np.arange(len(self.grams)), self.end - self.start) * len(self.size) + self.item
         self.table = np.zeros(1 << _BITS, bool)
         self.table[_slot(self.grams)] = True
 
-    def hits(self, b: np.ndarray):
-        """(item, place in b, place in the item) of every shared q-gram."""
+    def shared(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of ``b`` whose q-gram is in an item, and its number."""
         g = _grams(b)
         at = np.flatnonzero(self.table[_slot(g)]) if len(self.grams) else np.zeros(0, np.int64)
         found = np.minimum(np.searchsorted(self.grams, g[at]), max(0, len(self.grams) - 1))
         real = self.grams[found] == g[at] if len(at) else np.zeros(0, bool)
-        at, found = at[real], found[real]
-        times = self.end[found] - self.start[found]
-        first = np.repeat(self.start[found] - (np.cumsum(times) - times), times)
-        row = first + np.arange(int(times.sum()))
-        return self.item[row], np.repeat(at, times), self.place[row]
+        return at[real], found[real]
+
+    def ranges(self, found: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of items with at most HITS shared q-grams each, or one item."""
+        everything = [(0, len(self.size))]
+        if int((self.end[found] - self.start[found]).sum()) <= HITS:
+            return everything
+        g, count = np.unique(found, return_counts=True)
+        times = self.end[g] - self.start[g]
+        row = np.repeat(self.start[g] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        per_item = np.bincount(self.item[row], weights=np.repeat(count, times), minlength=len(self.size))
+        cuts, held = [0], 0.0
+        for i, n in enumerate(per_item.tolist()):
+            if held and held + n > HITS:
+                cuts.append(i)
+                held = 0.0
+            held += n
+        return list(zip(cuts, [*cuts[1:], len(self.size)], strict=True))
+
+    def hits(self, at: np.ndarray, found: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, place in b, place in the item) of the q-grams that ``b``
+        shares with the items low to high - 1, at most HITS (or one place's) at
+        a time."""
+        n = len(self.size)
+        start = np.searchsorted(self.key, found * n + low)
+        times = np.searchsorted(self.key, found * n + high) - start
+        total = np.cumsum(times)
+        x = 0
+        while x < len(at):
+            before = int(total[x - 1]) if x else 0
+            y = max(x + 1, int(np.searchsorted(total, before + HITS, "right")))
+            t = times[x:y]
+            row = np.repeat(start[x:y] - (total[x:y] - t - before), t) + np.arange(int(total[y - 1]) - before)
+            if len(row):
+                yield self.item[row], np.repeat(at[x:y], t), self.place[row]
+            x = y
 
 
 def align(item: np.ndarray, b: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
@@ -161,6 +200,38 @@ def unedited(item: np.ndarray, b: np.ndarray, low: int, high: int) -> tuple[int,
     return None if at < 0 else (0, first + at, first + at + len(item))
 
 
+def _bands(items: Items, places: np.ndarray, grams: np.ndarray, low: int, high: int, shift: int) -> Iterator[tuple[int, int]]:
+    """(item, lowest diagonal) of the bands that meet the bound, of the items
+    low to high - 1."""
+    span = 2 * shift + 4
+    longest = int(items.size[low:high].max())
+    key, n, slices = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    for item, place, own in items.hits(places, grams, low, high):
+        slices += 1
+        # Bands overlap by half, so 2 k + 1 neighbouring diagonals share one.
+        band = item * span + (place - own + shift) // (2 * items.k[item] + 1)
+        # The bound holds for q-grams of the item, however often each is met.
+        met = np.unique(np.concatenate((band, band + 1)) * longest + np.concatenate((own, own)))
+        new, times = np.unique(met // longest, return_counts=True)
+        key, at = np.unique(np.concatenate((key, new)), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate((n, times))).astype(np.int64)
+    which = key // span
+    for at in np.flatnonzero(n >= items.need[which]).tolist():
+        i = int(which[at])
+        h = int(2 * items.k[i] + 1)
+        edge = int(key[at] % span - 1) * h - shift
+        if slices == 1:
+            yield i, edge
+            continue
+        # Slices may have met the same q-gram: count it once.
+        x, y = np.searchsorted(places, [edge, edge + 2 * h + int(items.size[i])])
+        met = np.zeros(int(items.size[i]), bool)
+        for _, place, own in items.hits(places[x:y], grams[x:y], i, i + 1):
+            met[own[(place - own >= edge) & (place - own < edge + 2 * h)]] = True
+        if met.sum() >= items.need[i]:
+            yield i, edge
+
+
 def occurrences(b: np.ndarray, items: Items) -> list[tuple[int, int, int, int]]:
     """(item, edits, start, end) in the normalised document ``b``."""
     if not len(items.size):
@@ -170,27 +241,14 @@ def occurrences(b: np.ndarray, items: Items) -> list[tuple[int, int, int, int]]:
     step = max(PIECE, 2 * reach)
     for at in range(0, max(1, len(b)), step):
         piece = b[at : at + step + reach]
-        item, place, own = items.hits(piece)
-        if not len(item):
-            continue
-        # Bands overlap by half, so 2 k + 1 neighbouring diagonals share one.
-        half = 2 * items.k[item] + 1
-        band = (place - own + len(piece) + reach) // half
-        span = 2 * (len(piece) + reach) + 4
-        key, n = np.unique(np.concatenate((item * span + band, item * span + band + 1)), return_counts=True)
-        which = key // span
-        for key_at in np.flatnonzero(n >= items.need[which]).tolist():
-            i = int(which[key_at])
-            k, h = int(items.k[i]), int(2 * items.k[i] + 1)
-            edge = int(key[key_at] % span - 1) * h - len(piece) - reach
-            # The bound holds for q-grams of the item, however often each is met.
-            in_band = (item == i) & (place - own >= edge) & (place - own < edge + 2 * h)
-            if len(np.unique(own[in_band])) < items.need[i]:
-                continue
-            found = unedited(items.bytes[i], piece, edge - k, edge + 2 * h - 1 + k)
-            found = found or align(items.bytes[i], piece, edge - k, edge + 2 * h - 1 + k, k)
-            if found:
-                out.append((i, at + found[1], at + found[2], found[0]))
+        places, grams = items.shared(piece)
+        for low, high in items.ranges(grams) if len(places) else ():
+            for i, edge in _bands(items, places, grams, low, high, len(piece) + reach):
+                k, h = int(items.k[i]), int(2 * items.k[i] + 1)
+                found = unedited(items.bytes[i], piece, edge - k, edge + 2 * h - 1 + k)
+                found = found or align(items.bytes[i], piece, edge - k, edge + 2 * h - 1 + k, k)
+                if found:
+                    out.append((i, at + found[1], at + found[2], found[0]))
     # Of overlapping passages of an item, the one with the fewest edits.
     best: list[tuple[int, int, int, int]] = []
     for o in sorted(set(out)):
@@ -260,7 +318,12 @@ def op5_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that no item occurs in. A row with
-    a null id goes only when it is found, which its id cannot say: it stays."""
-    away = staged(contaminated(docs, benchmark).select("doc_id").where("doc_id is not null").distinct(), "decontamination_away")
-    return keep_ids(docs, away, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs``, all columns, that no item occurs in. Rows are told
+    by their text (its SHA-256), so a contaminated row without an id goes and a
+    clean row that shares a contaminated row's id stays."""
+    key = "_clean_key"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    keyed = docs.withColumn(key, F.sha2("text", 256))
+    away = staged(contaminated(keyed, benchmark, id_col=key).select(key).distinct(), "decontamination_away")
+    return keep_ids(keyed, away, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -61,6 +62,35 @@ def test_places_across_pieces(monkeypatch):
     assert body[start:end].tobytes() == array(item).tobytes()
 
 
+def test_slices_of_hits_change_nothing(monkeypatch):
+    rng = random.Random(12)
+    common = " ".join(words(rng, 4))
+    bodies = [" ".join([common, *words(rng, 30), common]) for _ in range(4)] + ["ab" * 20, "a" * 24]
+    items = dec.Items(list(range(len(bodies))), [b.encode() for b in bodies])
+    docs = [array(" ".join([common] * 6 + [edited(rng, b, 1)] + [common] * 6)) for b in bodies]
+    docs += [array("ab" * 30 + " " + "a" * 40), array("xyz")]
+    whole = [dec.occurrences(d, items) for d in docs]
+    assert all(whole[: len(bodies)])
+    for most in (50, 400):
+        monkeypatch.setattr(dec, "HITS", most)
+        assert [dec.occurrences(d, items) for d in docs] == whole
+
+
+def test_memory_does_not_follow_the_shared_places():
+    rng = random.Random(13)
+    common = " ".join(words(rng, 4))
+    bodies = [" ".join([*words(rng, 6), common, *words(rng, 6)]) for _ in range(2500)]
+    items = dec.Items(list(range(len(bodies))), [b.encode() for b in bodies])
+    doc = array(" ".join([common] * 400))
+    found = items.shared(doc)[1]
+    assert (items.end[found] - items.start[found]).sum() > 10 * dec.HITS
+    tracemalloc.start()
+    dec.occurrences(doc, items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
 def test_operator_in_blocks_equals_brute_force(spark):
     rng = random.Random(10)
     items = [" ".join(words(rng, rng.randint(12, 30))) for _ in range(12)]
@@ -95,4 +125,9 @@ def test_edges(spark):
     )
     assert sorted((tuple(r)[:3] for r in dec.contaminated(df, bench).collect()), key=str) == [(2, 1, 0), (None, 1, 0)]
     assert dec.clean(df, bench).columns == df.columns
+    assert [tuple(r) for r in dec.clean(df, bench).collect()] == [(2, "other", "c")]
+    own = df.withColumnRenamed("item_id", "_clean_key")
+    assert [tuple(r) for r in dec.clean(own, bench).collect()] == [(2, "other", "c")]
+    empty = spark.createDataFrame([(1, None), (None, None), (3, "")], "doc_id long, text string")
+    assert dec.clean(empty, bench).count() == 3
     assert dec.budget(5) == 0 and dec.budget(8) == 0 and dec.budget(100) == 8
