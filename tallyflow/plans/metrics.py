@@ -19,7 +19,9 @@ D1 fields (so copies of a payment share a salt and D1 stays exact), and their
 single order row is replicated per salt. The shuffle key becomes (order_id,
 salt), after a first distinct (or sum) whose map side combines what a task
 has of a payment. With no hot id the plain plan runs.
-``rows_per_task=None`` skips the detection.
+``rows_per_task=None`` skips the detection. The rows are counted, and beyond
+``ROWS_PER_PART`` times the session's shuffle partitions both sides are dealt
+over more partitions, so that a task's memory does not grow with the table.
 
 M3 (ratio): payments only (no join, no dedup) -> A2 per minute -> W1
 running totals (two-level, parallel per day) -> W2.
@@ -38,6 +40,18 @@ from tallyflow.operators.windows import cumulative_turnover, wireless_pc_ratio
 from tallyflow.sources.feeds import payments_source
 
 
+#: Rows of one task of the payments' shuffle (about 0.5 kB of memory each in
+#: the distinct, the sum and the join together).
+ROWS_PER_PART = 1_000_000
+
+
+def shuffle_parts(rows: DataFrame) -> int | None:
+    """The number of partitions that keeps a task at ``ROWS_PER_PART`` rows;
+    None where the session's number of shuffle partitions does."""
+    need = -(-rows.count() // ROWS_PER_PART)
+    return need if need > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def platform_turnover(
     payments: DataFrame,
     orders: DataFrame,
@@ -50,11 +64,14 @@ def platform_turnover(
 
     ``dedup=False`` gives A3 (sum without D1)."""
     p = payments_source(payments, cents_mode).select(*D1_KEYS)
+    parts = shuffle_parts(p)
+    if parts:
+        orders = orders.repartition(parts, "order_id")
     first = first_orders(orders, arrival_col).select("order_id", "platform")
     table = None if rows_per_task is None else hot_table(hot_keys(p, "order_id", rows_per_task))
     if table is None:
         keys = ["order_id"]
-        p = p.repartition("order_id")
+        p = p.repartition(parts, "order_id") if parts else p.repartition("order_id")
     else:
         keys = ["order_id", "_salt"]
         p = salted(p, table, "order_id", D1_KEYS)
@@ -65,7 +82,7 @@ def platform_turnover(
             p = p.dropDuplicates([*D1_KEYS, "_salt"])
         else:
             p = p.groupBy(*keys, "minute").agg(F.sum("amount_cents").alias("amount_cents"))
-        p = p.repartition(*keys)
+        p = p.repartition(parts, *keys) if parts else p.repartition(*keys)
         first = per_salt(first, table, "order_id")
     if dedup and table is None:
         p = p.dropDuplicates(D1_KEYS)

@@ -61,3 +61,18 @@ def test_skewed_query_matches_oracle(spark, skewed_dir, name):
     assert digest(df.columns, rows)[:3] == want[:3]
     if name in ("matched_payments", "platform_minute_turnover_events"):
         assert "_salt" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_turnover_partitions_follow_the_rows(spark, monkeypatch):
+    """Both sides are dealt over as many tasks as the payments' rows need."""
+    from tallyflow.plans import metrics
+    from tallyflow.sources import orders_v, payments_li
+
+    sf = "/root/testdata/sf0.001"
+    pays, orders = payments_li(spark, sf), orders_v(spark, sf)
+    want = sorted(map(tuple, metrics.platform_turnover(pays, orders, "create_time_ms").collect()))
+    monkeypatch.setattr(metrics, "ROWS_PER_PART", 100)
+    many = metrics.platform_turnover(pays, orders, "create_time_ms")
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {-(-pays.count() // 100)}), REPARTITION_BY_NUM") == 2
+    assert sorted(map(tuple, many.collect())) == want
