@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.operators.skew import hot_keys, hot_table
 from tallyflow.session import shared_path
+from tallyflow.streaming import live_match as live
 from tallyflow.streaming.feeds import read_feed
 from tallyflow.streaming.live_match import MESSAGES, _keyed, arrived_match, end_marker, live_match, messages
 
@@ -91,6 +92,32 @@ def test_arrived_orders_only(spark, salted):
     assert got == want
 
 
+@pytest.mark.parametrize("horizon", [None, 10_000])
+def test_many_ids_share_a_state_key(spark, monkeypatch, horizon):
+    """State is read and written per page of ids, not per id; what one id
+    releases leaves the others' payments waiting, however many blobs hold them."""
+    monkeypatch.setattr(live, "PAGES", 2)
+    monkeypatch.setattr(live, "CHUNK", 7)
+    rows = corpus(1500, 400, 5)
+    first = {}
+    for is_order, i, platform, *_ in rows:
+        if is_order and i is not None:
+            first.setdefault(i, platform)
+    want = Counter((r[3], r[1], first[r[1]]) for r in rows if not r[0] and r[1] in first)
+    got, q = run(spark, live_match(stream(spark, cut(rows, 4)), horizon))
+    assert got == want
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal <= 12
+    seen, want = {}, Counter()
+    for is_order, i, platform, arrival, *_ in rows:
+        if i is not None and is_order:
+            seen.setdefault(i, set()).add(platform)
+        elif i is not None:
+            want.update((arrival, i, p) for p in seen.get(i, ()))
+    got, q = run(spark, arrived_match(stream(spark, cut(rows, 4))))
+    assert got == want
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal <= 2
+
+
 def test_horizon_gives_up_what_waits_and_forgets_orders(spark):
     horizon = 10
     batches = [
