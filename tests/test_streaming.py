@@ -525,6 +525,30 @@ def test_feed_slices_hold_several_files_in_arrival_order(spark):
     assert spans[0][1] < spans[1][0] and spans[1][1] < spans[2][0] and sum(s[2] for s in spans) == 1000
 
 
+def test_changed_payments_state_is_per_page_of_ids(spark, monkeypatch):
+    import random
+
+    from tallyflow.operators import changed_payments
+    from tallyflow.sources import payments_source
+    from tallyflow.streaming import state
+
+    monkeypatch.setattr(state, "PAGES", 3)
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, *range(200)]), float(rng.randrange(2)), 0, 0, T0) for k in range(3000)]
+    path = shared_path(spark, "d2_pages", unique=True)
+    for at in (0, 1000, 2000):
+        spark.createDataFrame(rows[at : at + 1000], SCHEMA).repartition(1).write.mode("append").parquet(path)
+    want = sorted(r.arrival for r in changed_payments(payments_source(spark.createDataFrame(rows, SCHEMA))).collect())
+    for timeout in (None, 1000):
+        out = shared_path(spark, "d2_pages_out", unique=True)
+        q = (state.changed_payments_stream(read_feed(spark, path, spark.createDataFrame([], SCHEMA).schema), timeout)
+             .writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", shared_path(spark, "ck", unique=True)).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert sorted(r.arrival for r in spark.read.parquet(out).collect()) == want
+        assert q.recentProgress[-1].stateOperators[0].numRowsTotal <= 4
+
+
 def test_compaction_bounds_what_a_read_lists(spark):
     table = MetricsTable(spark, shared_path(spark, "test_bound", unique=True))
     for batch in range(9):
