@@ -525,6 +525,26 @@ def test_feed_slices_hold_several_files_in_arrival_order(spark):
     assert spans[0][1] < spans[1][0] and spans[1][1] < spans[2][0] and sum(s[2] for s in spans) == 1000
 
 
+def test_feed_reads_its_input_once_however_many_slices(spark):
+    from tallyflow.streaming.feeds import write_feed
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(4000).selectExpr("id arrival").mapInArrow(seen, "arrival long")
+    counts = []
+    for slices in (2, 12):
+        before = read.value
+        path = write_feed(rows, shared_path(spark, "once", unique=True), slices=slices, files_per_slice=2)
+        counts.append(read.value - before)
+        assert spark.read.option("recursiveFileLookup", "true").schema("arrival long").parquet(path).count() == 4000
+    assert counts[0] == counts[1]
+
+
 def test_changed_payments_state_is_per_page_of_ids(spark, monkeypatch):
     import random
 
