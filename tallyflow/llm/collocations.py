@@ -12,8 +12,10 @@ that do, so a level only gathers places where both are in the level before.
 Tasks test that with ``keyset.bitmap``, which has a fixed size and no false
 negatives, and count within the task before the shuffle. Stripes of prefixes
 with more than one in HOT_SHARE of all words (fewer than HOT_SHARE of them) are
-cut into BLOCKS by next word; the others are dealt by prefix. Merging streams
-over sorted stripes and holds one at a time.
+cut into BLOCKS by next word; the others are dealt whole. A task hands stripes on
+in pages by hash, one row per page, so the rows follow the entries handed on and
+not the number of prefixes. There are PAGES, or as many as keep a page at
+PAGE_PLACES places. Merging streams over sorted pages and holds one at a time.
 
 Words are ``[^\\x20\\x09]+`` of pieces between ``[.,;:!?\\x0A-\\x0D]``, A-Z
 lower-cased, told apart by 64-bit hash; a phrase is its words' hashes. A cut's
@@ -45,6 +47,8 @@ MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 BLOCKS = 64
+PAGES = 1024
+PAGE_PLACES = 1 << 23
 #: Tasks that first rank on their own before a language's rows meet.
 SALTS = 64
 #: Entries that a task holds before it adds them up, and hands them on.
@@ -111,25 +115,36 @@ def _added(prefix: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndar
     return prefix[new], word[new], np.add.reduceat(n, new)
 
 
-def _stripe_rows(prefix: np.ndarray, word: np.ndarray, n: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-    block = np.where(np.isin(prefix, hot), (word % np.uint64(BLOCKS)).astype(np.int32), 0).astype(np.int32)
-    order = np.lexsort((block, prefix))
-    prefix, word, n, block = prefix[order], word[order], n[order], block[order]
-    new = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (block[1:] != block[:-1]))))
-    at = pa.array(np.append(new, len(prefix)).astype(np.int32))
+def _total(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _added(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+
+
+def _page_rows(prefix: np.ndarray, word: np.ndarray, n: np.ndarray, hot: np.ndarray, pages: int) -> pa.RecordBatch:
+    """Stripes of entries sorted by prefix and word, one row per page: the
+    prefixes, how many words each has, and these words and their counts."""
+    block = np.where(np.isin(prefix, hot), word % np.uint64(BLOCKS), 0).astype(np.uint64)
+    page = _joined(prefix, block) % np.uint64(pages)
+    order = np.argsort(page.astype(np.uint16) if pages <= 1 << 16 else page, kind="stable")
+    page, prefix, word, n = page[order], prefix[order], word[order], n[order]
+    other = page[1:] != page[:-1]
+    row = np.flatnonzero(np.concatenate(([True], other)))
+    stripe = np.flatnonzero(np.concatenate(([True], other | (prefix[1:] != prefix[:-1]))))
+    at = pa.array(np.append(row, len(page)).astype(np.int32))
+    first = pa.array(np.append(np.searchsorted(stripe, row), len(stripe)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(prefix[new].view(np.int64)),
-            pa.array(block[new]),
+            pa.array(page[row].astype(np.int32)),
+            pa.ListArray.from_arrays(first, pa.array(prefix[stripe].view(np.int64))),
+            pa.ListArray.from_arrays(first, pa.array(np.diff(np.append(stripe, len(page))).astype(np.int32))),
             pa.ListArray.from_arrays(at, pa.array(word.view(np.int64))),
             pa.ListArray.from_arrays(at, pa.array(n.astype(np.int32))),
         ],
-        ["prefix", "block", "words", "counts"],
+        ["page", "prefixes", "sizes", "words", "counts"],
     )
 
 
-def _stripes(sent, k: int):
-    """Stripes of the prefixes of k - 1 words in each task's texts."""
+def _stripes(sent, k: int, pages: int = PAGES):
+    """Pages of the stripes of the prefixes of k - 1 words in each task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hot = sent.value
@@ -154,54 +169,53 @@ def _stripes(sent, k: int):
                     parts.append(entries)
                     held += len(entries[0])
                 if held > 2 * _HOLD:
-                    entries = _added(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+                    entries = _total(parts)
                     parts, held = [entries], len(entries[0])
                     if held > _HOLD:
-                        yield _stripe_rows(*entries, hot)
+                        yield _page_rows(*entries, hot, pages)
                         parts, held = [], 0
         if held:
-            yield _stripe_rows(*_added(*(np.concatenate(c) for c in zip(*parts, strict=True))), hot)
+            yield _page_rows(*_total(parts), hot, pages)
 
     return run
 
 
 def _merge(min_count: int):
-    """Merge sorted stripes; entries that occur ``min_count`` times."""
+    """Merge sorted pages; entries that occur ``min_count`` times."""
 
-    def out(prefix, word, n):
-        prefix, word, n = _added(prefix, word, n)
+    def out(parts):
+        prefix, word, n = _total(parts)
         keep = n >= min_count
         prefix, word = prefix[keep], word[keep]
         columns = (prefix.view(np.int64), word.view(np.int64), _joined(prefix, word).view(np.int64), n[keep])
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["prefix", "word", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
+        last, parts, held, most = None, [], 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(2)
-            prefix = batch.column(0).to_numpy().view(np.uint64)
-            block = batch.column(1).to_numpy()
-            length = np.diff(lists.offsets.to_numpy())
-            entry = np.repeat(np.arange(len(prefix)), length)
-            word = lists.flatten().to_numpy().view(np.uint64)
-            n = batch.column(3).flatten().to_numpy().astype(np.int64)
-            p = prefix[entry]
-            if held is not None:
-                if last != (prefix[0], block[0]):
-                    yield out(*held)
-                else:  # the stripe goes on: it comes before this batch's rows
-                    p, word, n = (np.concatenate(c) for c in zip(held, (p, word, n), strict=True))
-                    entry = np.concatenate((np.zeros(len(held[0]), np.int64), entry))
-            last = (prefix[-1], block[-1])
-            tail = np.flatnonzero((prefix != prefix[-1]) | (block != block[-1]))
-            cut = np.searchsorted(entry, tail[-1] + 1) if len(tail) else 0
-            if cut:
-                yield out(p[:cut], word[:cut], n[:cut])
-            held = _added(p[cut:], word[cut:], n[cut:])
-        if held is not None:
-            yield out(*held)
+            page = batch.column(0).to_numpy()
+            prefix = np.repeat(batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()).view(np.uint64)
+            word = batch.column(3).flatten().to_numpy().view(np.uint64)
+            n = batch.column(4).flatten().to_numpy().astype(np.int64)
+            at = batch.column(3).offsets.to_numpy()
+            at = at - at[0]
+            new = np.flatnonzero(np.concatenate(([True], page[1:] != page[:-1])))
+            for i, j in zip(new, np.append(new[1:], len(page)), strict=True):
+                if parts and last != page[i]:
+                    yield out(parts)
+                    parts, held = [], 0
+                last, some = page[i], slice(at[i], at[j])
+                most = max(most, _HOLD) if parts else _HOLD
+                parts.append((prefix[some], word[some], n[some]))
+                held += at[j] - at[i]
+                if held > most:  # at most twice what is left when added up
+                    parts = [_total(parts)]
+                    held = len(parts[0][0])
+                    most = 2 * held
+        if parts:
+            yield out(parts)
 
     return run
 
@@ -220,6 +234,7 @@ def phrase_counts(
     words = staged(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "phrase_words")
     totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase_totals")
     total = totals.agg(F.sum("n")).first()[0] or 0
+    pages = max(PAGES, -(-total // PAGE_PLACES))
     keyed = words.where(F.col("n") >= min_count).mapInArrow(_with_keys, "lang string, word string, n long, key long")
     one = staged(
         keyed.select("key", "lang", F.array("key").alias("xs"), F.col("word").alias("phrase"), F.col("n").alias("a")), "phrase_1"
@@ -230,8 +245,10 @@ def phrase_counts(
         before = levels[-1]
         hot = before.where(F.col("a") * HOT_SHARE > total).select("key").toArrow()["key"].to_numpy()
         sent = sc.broadcast((keyset.bitmap(before), hot.view(np.uint64)))
-        stripes = rows.mapInArrow(_stripes(sent, k), "prefix long, block int, words array<long>, counts array<int>")
-        dealt = stripes.repartition("prefix", "block").sortWithinPartitions("prefix", "block")
+        stripes = rows.mapInArrow(
+            _stripes(sent, k, pages), "page int, prefixes array<long>, sizes array<int>, words array<long>, counts array<int>"
+        )
+        dealt = stripes.repartition("page").sortWithinPartitions("page")
         grown = dealt.mapInArrow(_merge(min_count), "prefix long, word long, key long, n long")
         prefixes = before.select(F.col("key").alias("prefix"), "lang", "xs", "phrase")
         level = (

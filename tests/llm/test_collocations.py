@@ -3,7 +3,10 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyflow.llm import collocations as col
@@ -53,3 +56,35 @@ def test_matches_brute_force(spark, monkeypatch, share):
 
 def test_empty_table(spark):
     assert col.collocations(documents(spark, [])).count() == 0
+
+
+def test_pages_that_go_on_over_many_rows_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(col, "_HOLD", 64)
+    monkeypatch.setattr(col, "HOT_SHARE", 20)
+    monkeypatch.setattr(col, "PAGES", 2)
+    monkeypatch.setattr(col, "PAGE_PLACES", 1 << 12)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{min(rng.randrange(40), rng.randrange(40))}" for _ in range(rng.randint(0, 90)))
+    rows = [(k, text(), rng.choice(["en", None]), "s", 0) for k in range(300)]
+    try:
+        got = sorted(tuple(r) for r in col.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), min_count=4, top=400).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute([(r[2], r[1]) for r in rows], 4, 400)
+
+
+def test_rows_handed_on_grow_as_the_words_do(monkeypatch):
+    monkeypatch.setattr(col, "_HOLD", 1 << 13)
+    sent = SimpleNamespace(value=(np.full(1 << 24, 255, np.uint8), np.zeros(0, np.uint64)))
+
+    def made(docs, vocabulary):
+        rng = random.Random(docs)
+        texts = [" ".join(f"w{rng.randrange(vocabulary)}" for _ in range(500)) for _ in range(docs)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(["en"] * 10), pa.array(texts[k : k + 10])], ["lang", "text"]) for k in range(0, docs, 10)]
+        out = list(col._stripes(sent, 2)(iter(batches)))
+        assert sum(np.sum(b["counts"].flatten().to_numpy()) for b in out) == docs * 499
+        return sum(b.num_rows for b in out)
+
+    # five times the words, and with them more different words, as in any text
+    assert made(1000, 30_000) <= 6 * made(200, 6000)
