@@ -8,9 +8,13 @@ sets. The result is each document's component under links.
    sets hold a shingle of each of SKETCH hash classes. Documents with equal
    sets are one class from here on (they link with all that one links with).
 2. Rare first: the class counts order all shingles (rare classes first, then
-   by hash). The sketch has a fixed size and is broadcast.
+   by hash). The sketch has a fixed size and is broadcast. A class holds many
+   shingles of a large input, so what one of them adds does not show: the
+   prefixes of this order are counted by shingle, and the most frequent ones
+   (OFTEN at most, each in more than SMALL / 8 prefixes) come last.
 3. Prefixes: a set of n shingles posts its n - ceil(0.75 n) + 1 first ones
-   with their positions. Two linked sets share a posted shingle, and their
+   with their positions, once for a class of equal sets as far as a bitmap of
+   the classes' ids tells. Two linked sets share a posted shingle, and their
    first shared one satisfies the length filter (n_small >= 0.75 n_large) and
    the positional filter (what is left after it still allows the overlap
    that the link needs).
@@ -20,10 +24,11 @@ sets. The result is each document's component under links.
    shingle posted by at most SMALL documents gives its pairs, which are
    counted per pair and kept when they reach that number; it gives at most
    SMALL / 2 pairs per posting. A more frequent one joins neighbours, ordered
-   by n, into one cluster as far as the length filter allows: one row per
-   posting. A shingle of a frequent class is split by salt, and the heads of
-   its parts are joined. A linked pair shares a frequent shingle, or shares
-   only counted ones and reaches the number.
+   by n, into one cluster as far as both filters allow: one row per posting.
+   A shingle of a frequent class is split by salt, and the heads of its parts
+   are joined. If the first posted shingle that a linked pair shares is a
+   frequent one, its cluster has both; if not, the pair is counted, and what
+   it lacks of the number are frequent ones: no more than either posted.
 5. Verification: the texts of a cluster meet once, in blocks. A pair whose
    documents are already connected needs no test; the others pass the length
    filter and the suffix filter (set sizes within fixed ranges of the hash
@@ -56,8 +61,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import HOT_SHARE, bounded_batches, keep_ids, skew_lookup, staged
+from tallyflow.llm.common import BROADCAST_ROWS, HOT_SHARE, bounded_batches, keep_ids, skew_lookup, staged
 from tallyflow.llm.components import components
+from tallyflow.llm.keyset import bitmap, may_hold
 from tallyflow.llm.textarrays import mix, shingle_sets, slices, texts
 
 SKETCH_BITS = 18
@@ -69,6 +75,10 @@ BLOCK_SHINGLES = 1 << 20
 HOT_SALTS = 4
 #: Documents up to which a posted shingle gives its pairs.
 SMALL = 64
+#: Frequent shingles that are ordered by their own count, at most (broadcast).
+OFTEN = 1 << 19
+#: The first rank of these; classes rank below.
+_LAST = 192
 _U = np.uint64
 _KEY = _U(0x9E6C63D0876A9A4B)
 
@@ -103,42 +113,70 @@ def _digest(s: np.ndarray) -> tuple[int, int, int]:
     return len(s), int(s.sum(dtype=np.uint64)), int(mix(s ^ _KEY).sum(dtype=np.uint64))
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch], sent) -> Iterator[tuple]:
+    """(ids, sizes, prefixes) of runs of sets of the rows (id, text, key)."""
+    rank, bits, often, level = sent
+    held = np.zeros(SKETCH, bool)  # classes with a shingle of ``often``
+    held[_class(often)] = True
+    seen: set = set()  # sets this task has posted: copies post once
+    for batch in batches:
+        mine = pa.array(may_hold(bits, batch.column(2).to_numpy().view(np.uint64)))
+        batch = batch.filter(mine)
+        data, offsets = texts(batch.column(1))
+        ids = batch.column(0).to_numpy()
+        for i, _, b, at in slices(data, offsets):
+            tokens, sizes, rows = [], [], []
+            for k, s in enumerate(shingle_sets(b, at), i):
+                d = _digest(s)
+                if not d[0] or d in seen:
+                    continue
+                seen.add(d)
+                size = d[0]
+                of = (s >> _U(64 - SKETCH_BITS)).astype(np.int64)
+                order = (rank[of].astype(np.uint64) << _U(56)) | (s >> _U(8))
+                if len(often):
+                    maybe = np.flatnonzero(held[of])
+                    place = np.minimum(np.searchsorted(often, order[maybe]), len(often) - 1)
+                    hit = often[place] == order[maybe]
+                    order[maybe[hit]] = (level[place[hit]].astype(np.uint64) << _U(56)) | (s[maybe[hit]] >> _U(8))
+                order.sort()
+                tokens.append(order[: size + (-75 * size // 100) + 1])
+                sizes.append(size)
+                rows.append(k)
+            if rows:
+                yield ids[rows], np.array(sizes, np.int64), tokens
+
+
+def _class(token: np.ndarray) -> np.ndarray:
+    """The hash class of tokens: it is in the bits below the rank."""
+    return ((token << _U(8)) >> _U(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _tokens(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, tokens in _prefixes(batches, sent.value):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64))], ["token"])
+
+    return run
+
+
 def _post(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, salts = sent.value
-        seen: set = set()  # sets this task has posted: copies post once
-        for batch in batches:
-            data, offsets = texts(batch.column(1))
-            ids = batch.column(0).to_numpy()
-            for i, _, b, at in slices(data, offsets):
-                tokens, sizes, rows = [], [], []
-                for k, s in enumerate(shingle_sets(b, at), i):
-                    d = _digest(s)
-                    if not d[0] or d in seen:
-                        continue
-                    seen.add(d)
-                    size = d[0]
-                    order = (rank[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << _U(56)) | (s >> _U(8))
-                    order.sort()
-                    tokens.append(order[: size + (-75 * size // 100) + 1])
-                    sizes.append(size)
-                    rows.append(k)
-                if not rows:
-                    continue
-                length = np.array([len(t) for t in tokens])
-                token = np.concatenate(tokens)
-                n = np.repeat(np.array(sizes, np.int64), length)
-                pos = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length) + 1
-                doc = np.repeat(ids[rows], length)
-                # The largest partner that both filters allow.
-                reach = np.minimum(n * 100 // 75, 7 * (n - pos + 1) // 3 - n)
-                # The class is in the token's bits below the rank.
-                s = salts[((token << _U(8)) >> _U(64 - SKETCH_BITS)).astype(np.int64)]
-                salt = np.where(s > 0, (mix(doc.astype(np.uint64)) % np.maximum(s, 1).astype(np.uint64)).astype(np.int64), -1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(n.astype(np.int32)), pa.array(reach.astype(np.int32))],
-                    ["token", "salt", "doc", "n", "reach"],
-                )
+        salts, *order = sent.value
+        for ids, sizes, tokens in _prefixes(batches, order):
+            length = np.array([len(t) for t in tokens])
+            token = np.concatenate(tokens)
+            n = np.repeat(sizes, length)
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length) + 1
+            doc = np.repeat(ids, length)
+            # The largest partner that both filters allow.
+            reach = np.minimum(n * 100 // 75, 7 * (n - pos + 1) // 3 - n)
+            s = salts[_class(token)]
+            salt = np.where(s > 0, (mix(doc.astype(np.uint64)) % np.maximum(s, 1).astype(np.uint64)).astype(np.int64), -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(n.astype(np.int32)), pa.array(reach.astype(np.int32))],
+                ["token", "salt", "doc", "n", "reach"],
+            )
 
     return run
 
@@ -261,17 +299,23 @@ def _candidates(rows: DataFrame, described: DataFrame, sets: DataFrame, classes:
     sketch = np.zeros(SKETCH, np.int64)
     sketch[counted["id"].to_numpy()] = counted["n"].to_numpy()
     total = max(1, int(sketch.sum()))
-    rank = np.minimum(255, np.round(8 * np.log2(sketch + 1.0))).astype(np.uint8)
+    rank = np.minimum(_LAST - 1, np.round(8 * np.log2(sketch + 1.0))).astype(np.uint8)
     share = sketch * HOT_SHARE / total
     salts = np.where(share > 1, np.ceil(share * HOT_SALTS), 0).astype(np.int64)
-    sent = spark.sparkContext.broadcast((rank, salts))
-    posted = rows.where(F.col("id").isNotNull()).mapInArrow(_post(sent), "token long, salt int, doc long, n int, reach int")
+    # An id that shares its bit with a class's id posts too; see the end.
+    bits = bitmap(classes.where("rep is not null").select(F.xxhash64("rep").alias("key")))
+    keyed = rows.where(F.col("id").isNotNull()).select("id", "text", F.xxhash64("id").alias("key"))
+    often, level = _often(keyed, spark.sparkContext.broadcast((rank, bits, np.zeros(0, np.uint64), np.zeros(0, np.uint8))))
+    sent = spark.sparkContext.broadcast((salts, rank, bits, often, level))
+    posted = keyed.mapInArrow(_post(sent), "token long, salt int, doc long, n int, reach int")
     bucket = Window.partitionBy("token", "salt")
     shared = staged(
         posted.withColumn("df", F.count(F.lit(1)).over(bucket)).where("df > 1 or salt >= 0"), "jaccard_shared"
     )
     is_small = (F.col("salt") < 0) & (F.col("df") <= SMALL)
-    edges = _counted(shared.where(is_small)).unionByName(_chained(shared.where(~is_small))).distinct()
+    large = shared.where(~is_small)
+    uncounted = staged(large.groupBy("doc").agg(F.count(F.lit(1)).alias("more")), "jaccard_uncounted")
+    edges = _counted(shared.where(is_small), uncounted).unionByName(_chained(large)).distinct()
     # Tasks posted copies of a class under different ids: name it alike.
     other = staged(
         skew_lookup(
@@ -286,9 +330,25 @@ def _candidates(rows: DataFrame, described: DataFrame, sets: DataFrame, classes:
     return edges.select(F.coalesce("prev_rep", "prev").alias("a"), F.coalesce("doc_rep", "doc").alias("b")).where("a != b")
 
 
-def _counted(small: DataFrame) -> DataFrame:
+def _often(keyed: DataFrame, sent) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the class order that more than SMALL / 8 sets post, ascending,
+    and the ranks that they get instead: the more sets, the later. (A set posts
+    a quarter of its shingles; what is frequent is posted by more sets yet.)"""
+    least = max(1, SMALL // 8)
+    counted = (
+        keyed.mapInArrow(_tokens(sent), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+        .where(F.col("df") > least).orderBy(F.desc("df"), "token").limit(OFTEN).toArrow()
+    )
+    token = counted["token"].to_numpy().view(np.uint64)
+    level = np.minimum(255, _LAST + np.round(4 * np.log2(counted["df"].to_numpy() / least))).astype(np.uint8)
+    order = np.argsort(token)
+    return token[order], level[order]
+
+
+def _counted(small: DataFrame, uncounted: DataFrame) -> DataFrame:
     """Pairs of small buckets that share as many posted shingles as a link
-    needs (see step 4), by at least one that may be their first shared one."""
+    needs (see step 4), by at least one that may be their first shared one.
+    ``uncounted``: how many a document posted to other buckets."""
     before = Window.partitionBy("token").orderBy("n", "doc").rowsBetween(-(SMALL - 1), -1)
     pairs = (
         small.withColumn("earlier", F.collect_list(F.struct("n", "doc", "reach")).over(before))
@@ -302,18 +362,26 @@ def _counted(small: DataFrame) -> DataFrame:
     )
     overlap = F.expr("(3 * (nx + n) + 6) div 7")
     need = overlap - F.expr("(75 * n + 99) div 100") + 1
-    return pairs.where(F.col("first") & (F.col("same") >= need)).select("prev", "doc")
+    first = pairs.where("first").select("prev", "doc", (need - F.col("same")).alias("lack"))
+    if uncounted.isEmpty():
+        return first.where("lack <= 0").select("prev", "doc")
+    few = uncounted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    for end in ("prev", "doc"):
+        more = uncounted.select(F.col("doc").alias(end), F.col("more").alias(f"{end}_more"))
+        first = first.join(F.broadcast(more) if few else more, end, "left")
+    may = F.least(F.coalesce("prev_more", F.lit(0)), F.coalesce("doc_more", F.lit(0)))
+    return first.where(F.col("lack") <= may).select("prev", "doc")
 
 
 def _chained(large: DataFrame) -> DataFrame:
-    """Neighbours by size in large buckets, as far as the length filter lets
-    a pair reach across them; parts of a split bucket are joined whole."""
+    """Neighbours by size in large buckets, as far as the filters let a pair
+    reach across them; parts of a split bucket are joined whole."""
     by = Window.partitionBy("token", "salt").orderBy("n", "doc")
     split = F.col("salt") >= 0
     chains = staged(
         large.select(
             "token", "salt", "doc", "n", F.lag("doc").over(by).alias("prev"),
-            F.max(F.expr("n * 100 div 75")).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+            F.max("reach").over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
         )
         .where(F.when(F.col("prev").isNull(), split).otherwise(split | (F.col("before") >= F.col("n"))))
         .select("token", "prev", "doc"),

@@ -53,6 +53,40 @@ def test_frequent_shingles_are_split(spark, monkeypatch):
     assert run(spark, texts) == jaccard_components(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("often", [0, 3, 1 << 19])
+def test_frequent_shingles_come_last(spark, monkeypatch, often):
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)  # most pairs share some shingles that are not counted
+    monkeypatch.setattr(jaccard_join, "OFTEN", often)
+    texts = corpus(4, 8, 10)
+    assert run(spark, texts) == jaccard_components(list(enumerate(texts)))
+
+
+def test_a_common_passage_and_copies_make_no_clusters(spark, monkeypatch):
+    """What many unlike texts share, and copies dealt over tasks, must not
+    bring texts together: the rows and texts that meet grow with the near
+    copies, not with the square of a passage's texts."""
+    monkeypatch.setattr(jaccard_join, "SKETCH_BITS", 4)  # classes as full as those of a large input
+    monkeypatch.setattr(jaccard_join, "SKETCH", 1 << 4)
+    monkeypatch.setattr(jaccard_join, "SMALL", 8)
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", 1)  # none of them is split
+    rng = random.Random(6)
+    passage = words(rng, 20)
+    texts = [" ".join([*words(rng, 40), *passage, *words(rng, 40)]) for _ in range(120)]
+    texts = [t for t in texts for _ in range(5)]
+    rows = {}
+
+    def counted(df, name, staged=jaccard_join.staged):
+        out = staged(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    df = documents(spark, texts).repartition(8)
+    got = {r[0]: r[2] for r in jaccard_join.jaccard_components(df).collect()}
+    assert got == {k: k // 5 * 5 for k in range(600)}
+    assert rows["jaccard_texts"] == 0 and rows["jaccard_shared"] < 600
+
+
 def test_edges(spark):
     assert jaccard_join.jaccard_components(documents(spark, [])).collect() == []
     df = spark.createDataFrame(
