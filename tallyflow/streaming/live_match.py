@@ -19,7 +19,11 @@ the horizon, so the watermark that it moves fires every timer left.
 Scale: ids are dealt to ``PAGES`` state keys by hash. A page has one value (its
 ids' first orders, which of them have waiting payments, one timer) and a list
 of the waiting payments in blobs, which is only read when an order or the
-watermark releases some of them; a page's rows are read as an iterator. A hot id
+watermark releases some of them. Rows reach the processors and leave them in
+packs (one binary of many rows of a page): Spark hands rows to a processor cell by
+cell, which costs many times what the matching does. What is late is judged here,
+not by Spark before the state: a row that is older than the watermark is matched,
+or given up where its horizon has passed. A hot id
 is split over pages: ``hot`` (of ``operators.skew.hot_keys``) names the ids and
 the number of salts; a payment's salt is a hash of its row, an order goes to
 each salt of its id. Payments without an id match nothing: they are dropped, or
@@ -33,6 +37,9 @@ import pickle
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -57,6 +64,13 @@ PAYMENT = "arrival long, amount_cents long, pay_source int, pay_platform int, mi
 FIELDS = ["arrival", "amount_cents", "pay_source", "pay_platform", "minute", "create_time_ms"]
 MATCHED = "arrival long, order_id long, amount_cents long, pay_source int, pay_platform int, minute long, platform int"
 MESSAGES = f"is_order boolean, order_id long, platform int, {PAYMENT}"
+#: The columns of a packed row, as 64-bit integers and a last one that has a bit
+#: per null.
+PACKED = ["is_order", "order_id", "_salt", "platform", *FIELDS]
+#: Rows that a task packs at a time.
+PACK_ROWS = 1 << 18
+#: Rows of a pack that a processor emits.
+OUT_ROWS = 1 << 14
 
 
 def messages(payments: DataFrame, orders: DataFrame, cents_mode: str = "exact") -> DataFrame:
@@ -78,16 +92,82 @@ def end_marker(feed: DataFrame, horizon_minutes: int, late_minutes: int = LATE_M
     return last.select(*(own.get(c, F.lit(None)).cast(t).alias(c) for c, t in names.items()))
 
 
-def _payment(row: Row) -> tuple:
-    return tuple(row[c] for c in FIELDS)
-
-
-def _matched(order_id: int | None, pay: tuple, platform: int | None) -> Row:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_page, rows) of each page among PACK_ROWS rows (_page, then PACKED)."""
+    pages, parts, n = [], [], 0
+
+    def packs():
+        page, rows = np.concatenate(pages), np.concatenate(parts)
+        order = np.argsort(page, kind="stable")
+        page, rows = page[order], rows[order]
+        cut = np.flatnonzero(np.diff(page)) + 1
+        starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(page)]))
+        # One buffer: a pack is a run of its bytes.
+        width = rows.shape[1] * 8
+        at = np.concatenate((starts, ends[-1:])).astype(np.int64) * width
+        packed = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(rows.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(page[starts]), packed.cast(pa.binary())], ["_page", "rows"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.zeros((batch.num_rows, len(PACKED) + 1), np.int64)
+        for k in range(len(PACKED)):
+            column = batch.column(k + 1)
+            if column.null_count:
+                rows[:, -1] |= column.is_null().to_numpy(zero_copy_only=False).astype(np.int64) << k
+            rows[:, k] = pc.fill_null(column.cast(pa.int64()), 0).to_numpy()
+        pages.append(batch.column(0).to_numpy())
+        parts.append(rows)
+        n += batch.num_rows
+        if n >= PACK_ROWS:
+            yield packs()
+            pages, parts, n = [], [], 0
+    if n:
+        yield packs()
+
+
+def _rows(packed: Iterator[Row]) -> Iterator[tuple]:
+    """(is_order, key, platform, payment) of the rows of ``packed``; not the
+    control rows."""
+    for pack in packed:
+        rows = np.frombuffer(pack["rows"], np.int64).reshape(-1, len(PACKED) + 1)
+        for first in range(0, len(rows), OUT_ROWS):
+            for *row, nulls in rows[first : first + OUT_ROWS].tolist():
+                if nulls:
+                    row = [None if nulls >> k & 1 else x for k, x in enumerate(row)]
+                if row[0] is not None:
+                    yield row[0], (row[1], row[2]), row[3], tuple(row[4:])
+
+
+def _packs(matched: Iterator[tuple]) -> Iterator[Row]:
+    out = []
+    for row in matched:
+        out.append(row)
+        if len(out) >= OUT_ROWS:
+            yield Row(rows=pickle.dumps(out))
+            out = []
+    if out:
+        yield Row(rows=pickle.dumps(out))
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fields = [f.split() for f in MATCHED.split(", ")]
+    kinds = [pa.int64() if kind == "long" else pa.int32() for _, kind in fields]
+    for batch in batches:
+        rows = []
+        for k, pack in enumerate(batch.column(0), 1):
+            rows += pickle.loads(pack.as_py())
+            if rows and (len(rows) >= OUT_ROWS or k == batch.num_rows):
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
+                rows = []
+
+
+def _matched(order_id: int | None, pay: tuple, platform: int | None) -> tuple:
+    """A row of MATCHED."""
     arrival, cents, source, pay_platform, minute, _ = pay
-    return Row(
-        arrival=arrival, order_id=order_id, amount_cents=cents, pay_source=source, pay_platform=pay_platform,
-        minute=minute, platform=platform,
-    )
+    return arrival, order_id, cents, source, pay_platform, minute, platform
 
 
 def _earlier(order: tuple, than: tuple | None) -> bool:
@@ -123,10 +203,11 @@ class _Waiting:
 
 
 class _LiveMatch(StatefulProcessor):
-    """A page of ids. ``page`` holds (first, waits, oldest, side, timer): per
-    key (id, salt) the platform of its first order and the newest time seen;
+    """A page of ids. ``page`` holds (first, waits, oldest, side, timer, low):
+    per key (id, salt) the platform of its first order and the newest time seen;
     the keys with waiting payments and the oldest time of these; which of the
-    two lists has them; the time of the page's timer."""
+    two lists has them; the time of the page's timer; a time that none of the
+    newest times is below."""
 
     def __init__(self, horizon_ms: int | None, unmatched: bool):
         self.horizon_ms = horizon_ms
@@ -144,13 +225,15 @@ class _LiveMatch(StatefulProcessor):
     def _load(self, now: int | None) -> None:
         held = self.page.get()
         self.stored = held is not None
-        self.first, waits, oldest, self.side, self.timer = pickle.loads(held[0]) if self.stored else ({}, set(), None, 0, None)
+        empty = ({}, set(), None, 0, None, None)
+        self.first, waits, oldest, self.side, self.timer, self.low = pickle.loads(held[0]) if self.stored else empty
         self.waiting = _Waiting(self.lists[self.side])
         self.waiting.keys, self.waiting.oldest = waits, oldest
-        if now is not None:  # what nothing came for is forgotten
+        if now is not None and self.first and self._deadline(self.low) <= now:  # what nothing came for is forgotten
             self.first = {k: v for k, v in self.first.items() if self._deadline(v[1]) > now}
+            self.low = min((time_ms for _, time_ms in self.first.values()), default=None)
 
-    def _released(self, now: int | None, first: dict) -> Iterator[Row]:
+    def _released(self, now: int | None, first: dict) -> Iterator[tuple]:
         """What has run out is given up, what has its order in ``first`` is
         matched; the others go on to the other list."""
         late = now is not None and self.waiting.keys and self._deadline(self.waiting.oldest) <= now
@@ -178,7 +261,7 @@ class _LiveMatch(StatefulProcessor):
         elif now is None:
             at = None
         else:
-            oldest = [self._deadline(time_ms) for _, time_ms in self.first.values()]
+            oldest = [self._deadline(self.low)] if self.first else []
             if self.waiting.keys:
                 oldest.append(self._deadline(self.waiting.oldest))
             at = max(min(oldest), now + 1)
@@ -188,40 +271,42 @@ class _LiveMatch(StatefulProcessor):
             if at is not None:
                 self.handle.registerTimer(at)
         if self.first or self.waiting.keys:
-            self.page.update((pickle.dumps((self.first, self.waiting.keys, self.waiting.oldest, self.side, at)),))
+            self.page.update((pickle.dumps((self.first, self.waiting.keys, self.waiting.oldest, self.side, at, self.low)),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from _packs(self._answers(_rows(rows), timerValues))
+
+    def _answers(self, rows: Iterator[tuple], timerValues) -> Iterator[tuple]:
         # Spark fires timers after a batch's rows: what has run out is judged here.
         now = None if self.horizon_ms is None else timerValues.getCurrentWatermarkInMs()
         self._load(now)
         best, newest = {}, {}
-        for row in rows:
-            if row["is_order"] is None:  # a control row
-                continue
-            k = (row["order_id"], row["_salt"])
+        for is_order, k, platform, pay in rows:
             if now is not None:
-                newest[k] = max(newest.get(k, 0), row["create_time_ms"] or 0)
-            if row["is_order"]:
-                order = (row["arrival"], row["platform"])
+                newest[k] = max(newest.get(k, 0), pay[-1] or 0)
+            if is_order:
+                order = (pay[0], platform)
                 if k not in self.first and _earlier(order, best.get(k)):
                     best[k] = order
             elif k in self.first:
-                yield _matched(k[0], _payment(row), self.first[k][0])
+                yield _matched(k[0], pay, self.first[k][0])
             else:
-                self.waiting.add(k, _payment(row))
+                self.waiting.add(k, pay)
         yield from self._released(now, {k: platform for k, (_, platform) in best.items()})
         for k, (_, platform) in best.items():
             self.first[k] = (platform, 0)
         for k, time_ms in newest.items():
             if k in self.first:
                 platform, before = self.first[k]
-                self.first[k] = (platform, max(before, time_ms))
+                last = max(before, time_ms)
+                self.first[k] = (platform, last)
+                self.low = last if self.low is None else min(self.low, last)
         self._store(now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
         self._load(now)
-        yield from self._released(now, {})
+        yield from _packs(self._released(now, {}))
         self._store(now)
 
     def close(self) -> None:
@@ -236,16 +321,17 @@ class _ArrivedMatch(StatefulProcessor):
         self.held = handle.getListState("held", "payments binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield from _packs(self._answers(_rows(rows)))
+
+    def _answers(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         stored = self.seen.get()
         seen = {} if stored is None else pickle.loads(stored[0])
         fresh: dict[tuple, dict] = {}
         held = _Waiting(self.held)  # until the micro-batch's orders are known
-        for row in rows:
-            if row["is_order"] is None:
-                continue
-            k, platform, arrival = (row["order_id"], row["_salt"]), row["platform"], row["arrival"]
-            if not row["is_order"]:
-                held.add(k, _payment(row))
+        for is_order, k, platform, pay in rows:
+            arrival = pay[0]
+            if not is_order:
+                held.add(k, pay)
             elif platform not in seen.get(k, ()) and arrival is not None:
                 own = fresh.setdefault(k, {})
                 own[platform] = min(arrival, own.get(platform, arrival))
@@ -265,8 +351,12 @@ class _ArrivedMatch(StatefulProcessor):
         pass
 
 
-def _paged(keyed: DataFrame):
-    return keyed.withColumn("_page", F.pmod(F.xxhash64("order_id", "_salt"), F.lit(PAGES)).cast("int")).groupBy("_page")
+def _processed(keyed: DataFrame, processor: StatefulProcessor, mode: str) -> DataFrame:
+    """The rows of MATCHED that ``processor`` makes of the pages of ``keyed``."""
+    page = F.pmod(F.xxhash64("order_id", "_salt"), F.lit(PAGES)).cast("int").alias("_page")
+    packed = keyed.select(page, *PACKED).mapInArrow(_pack, "_page int, rows binary")
+    out = packed.groupBy("_page").transformWithState(processor, "rows binary", "append", mode)
+    return out.mapInArrow(_unpack, MATCHED)
 
 
 def _keyed(feed: DataFrame, hot: DataFrame | None, nulls: bool) -> DataFrame:
@@ -303,14 +393,10 @@ def live_match(
     keyed = _keyed(feed, hot, unmatched)
     horizon_ms = None if horizon_minutes is None else horizon_minutes * MINUTE_MS
     mode = "None" if horizon_minutes is None else "EventTime"
-    return _paged(keyed).transformWithState(
-        _LiveMatch(horizon_ms, unmatched), MATCHED, "append", mode
-    )
+    return _processed(keyed, _LiveMatch(horizon_ms, unmatched), mode)
 
 
 def arrived_match(feed: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """J5 over a stream of ``messages`` in arrival order (a micro-batch may
     hold its rows in any order)."""
-    return _paged(_keyed(feed, hot, False)).transformWithState(
-        _ArrivedMatch(), MATCHED, "append", "None"
-    )
+    return _processed(_keyed(feed, hot, False), _ArrivedMatch(), "None")

@@ -159,6 +159,25 @@ def test_no_state_key_holds_a_hot_id(spark):
     assert _keyed(feed, hot, True).where("is_order").count() == 31  # one order per salt of its id
 
 
+def test_rows_go_to_the_state_in_packs(spark, monkeypatch):
+    """A page's rows are one row for Spark, which hands rows over cell by cell;
+    nulls and the largest values come through."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(live, "OUT_ROWS", 7)
+    big = 2**63 - 1
+    rows = [order(k, k, None if k % 2 else 1) for k in range(40)] + [pay(k, None if k % 3 else big - k) for k in range(60)]
+    rows += [(False, 5, None, -big, None, None, 1, None, None), (None,) * 9]
+    keyed = _keyed(frame(spark, rows), None, True)
+    batch = keyed.select((F.coalesce("order_id", F.lit(0)) % 2).cast("int").alias("_page"), *live.PACKED).toArrow().combine_chunks().to_batches()
+    packed = pa.Table.from_batches(live._pack(iter(batch))).to_pylist()
+    assert [r["_page"] for r in packed] == [0, 1]
+    want = Counter((r.is_order, (r.order_id, r._salt), r.platform, tuple(r[c] for c in live.FIELDS)) for r in keyed.collect() if r.is_order is not None)
+    assert Counter(live._rows(iter(packed))) == want
+    out = pa.Table.from_batches(live._unpack(iter([pa.RecordBatch.from_pylist([r.asDict() for r in live._packs((k, None, big, 1, 0, k, None) for k in range(30))])])))
+    assert [tuple(r.values()) for r in out.to_pylist()] == [(k, None, big, 1, 0, k, None) for k in range(30)]
+
+
 def test_edges(spark):
     with pytest.raises(ValueError, match="horizon"):
         live_match(frame(spark, []), unmatched=True)
